@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from ..operators import features as FE
 from ..operators import impute as IM
 from ..operators import panel as PA
+from ..operators import profile as PR
 from ..sources import adapters as A
 from . import oracle as O
+from ..functions import expr as X
 
 
 @dataclass
@@ -26,18 +28,23 @@ class Query:
     sql: str | None = None
     r2: list[str] = field(default_factory=list)
     r6: list[str] = field(default_factory=list)
+    scales: dict[str, int] = field(default_factory=dict)
+
+    def _scales(self) -> dict[str, int]:
+        out = {c: 4 for c in self.r2}
+        out.update({c: 6 for c in self.r6})
+        out.update(self.scales)
+        return out
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.fn(spark, sf_dir)
-        reps = {c: F.round(F.col(c), 4) for c in self.r2}
-        reps.update({c: F.round(F.col(c), 6) for c in self.r6})
+        reps = {c: F.round(F.col(c), k) for c, k in self._scales().items()}
         return df.withColumns(reps) if reps else df
 
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        reps = [f"round({c}, 4) AS {c}" for c in self.r2] + [
-            f"round({c}, 6) AS {c}" for c in self.r6]
+        reps = [f"round({c}, {k}) AS {c}" for c, k in self._scales().items()]
         if not reps:
             return self.sql
         return f"SELECT * REPLACE ({', '.join(reps)}) FROM (\n{self.sql}\n) q"
@@ -46,9 +53,9 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, sql: str | None = None, r2=(), r6=()):
+def register(name: str, sql: str | None = None, r2=(), r6=(), scales=None):
     def deco(fn):
-        REGISTRY[name] = Query(fn, sql, list(r2), list(r6))
+        REGISTRY[name] = Query(fn, sql, list(r2), list(r6), dict(scales or {}))
         return fn
     return deco
 
@@ -196,3 +203,135 @@ def q_months_since_upgrade(spark, d):
           r2=MONEY_PANEL, r6=RATIOS)
 def q_model_ready(spark, d):
     return model_ready(spark, d)
+
+
+# --------------------------------------------------------------------------
+# profiling (over the cleaned clients, as the reference's EDA reads them)
+# --------------------------------------------------------------------------
+_SEG_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{s}' AS segment, CAST({s} AS VARCHAR) AS segment_value, "
+    f"avg(CAST(is_churned AS INTEGER)) * 100 AS churn_rate, count(*) AS clients "
+    f"FROM clients_clean GROUP BY {s}" for s in PR.SEGMENTS)
+
+
+@register("segment_churn_rate", O.sql(_SEG_SQL, ["clients_clean"]), r6=["churn_rate"])
+def q_segment_churn_rate(spark, d):
+    return PR.segment_churn_rate(clients_clean(spark, d))
+
+
+_BIN_CASE = "CASE " + " ".join(
+    f"WHEN tenure_months > {lo} AND tenure_months <= {hi} THEN '{lab}'"
+    for lo, hi, lab in zip(X.TENURE_EDGES[:-1], X.TENURE_EDGES[1:], X.TENURE_LABELS)) + " END"
+_BIN_VALUES = ", ".join(f"('{lab}', {i})" for i, lab in enumerate(X.TENURE_LABELS))
+
+
+@register("tenure_churn", O.sql(f"""
+SELECT b.tenure_bin, CAST(b.bin_order AS INTEGER) AS bin_order, a.churn_rate,
+       COALESCE(a.clients, 0) AS clients
+FROM (VALUES {_BIN_VALUES}) b(tenure_bin, bin_order)
+LEFT JOIN (SELECT {_BIN_CASE} AS tenure_bin,
+                  avg(CAST(is_churned AS INTEGER)) * 100 AS churn_rate, count(*) AS clients
+           FROM clients_clean WHERE {_BIN_CASE} IS NOT NULL GROUP BY 1) a USING (tenure_bin)""",
+    ["clients_clean"]), r6=["churn_rate"])
+def q_tenure_churn(spark, d):
+    return PR.tenure_churn(clients_clean(spark, d))
+
+
+@register("monthly_revenue_by_status", O.sql("""
+SELECT year_month,
+       CASE WHEN GROUPING(is_churned) = 1 THEN 'all' WHEN is_churned THEN 'churned'
+            ELSE 'active' END AS churn_status,
+       sum(invoiced_amt) AS revenue
+FROM model_ready GROUP BY ROLLUP (year_month, is_churned) HAVING year_month IS NOT NULL""",
+    ["model_ready"]), r2=["revenue"])
+def q_monthly_revenue_by_status(spark, d):
+    return PR.monthly_revenue_by_status(model_ready(spark, d))
+
+
+O.cte("box_long", ["clients_clean"], "\nUNION ALL\n".join(
+    f"SELECT is_churned, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM clients_clean"
+    for m in PR.BOX_METRICS))
+O.cte("box_q", ["box_long"], """
+SELECT metric, is_churned, count(value) AS n, quantile_cont(value, 0.25) AS q1,
+       quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3
+FROM box_long WHERE value IS NOT NULL GROUP BY metric, is_churned""")
+
+
+@register("box_summary", O.sql("""
+SELECT metric, is_churned, any_value(n) AS n, any_value(q1) AS q1, any_value(median) AS median,
+       any_value(q3) AS q3, any_value(q3 - q1) AS iqr,
+       min(CASE WHEN value >= q1 - 1.5 * (q3 - q1) THEN value END) AS whisker_low,
+       max(CASE WHEN value <= q3 + 1.5 * (q3 - q1) THEN value END) AS whisker_high,
+       count(*) FILTER (WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1))
+         AS outliers
+FROM box_long JOIN box_q USING (metric, is_churned)
+WHERE value IS NOT NULL GROUP BY metric, is_churned""", ["box_long", "box_q"]),
+    r6=["q1", "median", "q3", "iqr", "whisker_low", "whisker_high"])
+def q_box_summary(spark, d):
+    return PR.box_summary(clients_clean(spark, d))
+
+
+O.cte("corr_in", ["clients_clean"], """
+SELECT *, CAST(is_churned AS INTEGER) AS is_churned_numeric,
+  CASE contract_type WHEN 'Monthly' THEN 1 WHEN 'Annual' THEN 2 WHEN 'Multi-year' THEN 3 END
+    AS contract_type_num,
+  CASE client_size WHEN 'Small' THEN 1 WHEN 'Medium' THEN 2 WHEN 'Enterprise' THEN 3 END
+    AS size_num
+FROM clients_clean""")
+_CORR_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r "
+    f"FROM corr_in"
+    for i, a in enumerate(PR.CORR_COLUMNS) for j, b in enumerate(PR.CORR_COLUMNS) if j < i)
+
+
+@register("corr_matrix", O.sql(_CORR_SQL, ["corr_in"]), r6=["r"])
+def q_corr_matrix(spark, d):
+    return PR.corr_matrix(clients_clean(spark, d))
+
+
+O.cte("lorenz", ["clients_clean"], """
+SELECT client_id, monthly_recurring_revenue, pos, pos / n AS cum_client_share,
+       cum / t AS cum_revenue_share
+FROM (SELECT client_id, monthly_recurring_revenue,
+        row_number() OVER (ORDER BY monthly_recurring_revenue, client_id) AS pos,
+        sum(monthly_recurring_revenue) OVER (ORDER BY monthly_recurring_revenue, client_id
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+          AS cum,
+        count(*) OVER () AS n, sum(monthly_recurring_revenue) OVER () AS t
+      FROM clients_clean WHERE monthly_recurring_revenue IS NOT NULL)""")
+
+
+@register("lorenz_curve", O.sql("SELECT * FROM lorenz", ["lorenz"]),
+          r2=["monthly_recurring_revenue"], r6=["cum_client_share", "cum_revenue_share"])
+def q_lorenz_curve(spark, d):
+    return PR.lorenz_curve(clients_clean(spark, d))
+
+
+@register("gini_top_decile", O.sql("""
+SELECT count(*) AS n,
+       1.0 - (2 * sum(cum_revenue_share) - max(CASE WHEN pos = 1 THEN cum_revenue_share END)
+              - max(CASE WHEN pos = n_all THEN cum_revenue_share END)) / count(*) AS gini,
+       sum(CASE WHEN pos > floor(n_all * 0.9) THEN monthly_recurring_revenue END)
+         / sum(monthly_recurring_revenue) AS top_decile_share
+FROM (SELECT *, count(*) OVER () AS n_all FROM lorenz)""", ["lorenz"]),
+    r6=["gini", "top_decile_share"])
+def q_gini_top_decile(spark, d):
+    return PR.gini_top_decile(PR.lorenz_curve(clients_clean(spark, d)))
+
+
+@register("kde_mrr", O.sql("""
+SELECT is_churned, grid_index, any_value(g0 + grid_index * dg) AS x,
+       sum(exp(-0.5 * ((g0 + grid_index * dg - v) / h) * ((g0 + grid_index * dg - v) / h))
+           / (n * h * sqrt(2 * pi()))) AS density
+FROM (SELECT is_churned, monthly_recurring_revenue AS v FROM clients_clean
+      WHERE monthly_recurring_revenue IS NOT NULL) b
+JOIN (SELECT is_churned, n, h, lo - 3 * h AS g0, (hi - lo + 6 * h) / 199.0 AS dg
+      FROM (SELECT is_churned, count(*) AS n, stddev_samp(monthly_recurring_revenue)
+                     * pow(count(*), -0.2) AS h,
+                   min(monthly_recurring_revenue) AS lo, max(monthly_recurring_revenue) AS hi
+            FROM clients_clean WHERE monthly_recurring_revenue IS NOT NULL GROUP BY 1)) s
+  USING (is_churned),
+  (SELECT CAST(range AS INTEGER) AS grid_index FROM range(0, 200)) g
+GROUP BY is_churned, grid_index""", ["clients_clean"]), r2=["x"], scales={"density": 12})
+def q_kde_mrr(spark, d):
+    return PR.kde(clients_clean(spark, d))
