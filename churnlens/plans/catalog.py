@@ -17,6 +17,9 @@ from ..operators import features as FE
 from ..operators import impute as IM
 from ..operators import panel as PA
 from ..operators import profile as PR
+from ..operators import labels as LB
+from ..operators import metrics as MT
+from ..operators import decisions as DE
 from ..sources import adapters as A
 from . import oracle as O
 from ..functions import expr as X
@@ -335,3 +338,159 @@ JOIN (SELECT is_churned, n, h, lo - 3 * h AS g0, (hi - lo + 6 * h) / 199.0 AS dg
 GROUP BY is_churned, grid_index""", ["clients_clean"]), r2=["x"], scales={"density": 12})
 def q_kde_mrr(spark, d):
     return PR.kde(clients_clean(spark, d))
+
+
+# --------------------------------------------------------------------------
+# label, split, fixed-formula score, ranking, metrics
+# --------------------------------------------------------------------------
+def labelled(spark, d):
+    """Model-ready rows with the 3-month churn label and the client split."""
+    return LB.group_split(LB.churn_label(model_ready(spark, d)))
+
+
+def latest_features(spark, d):
+    return DE.latest_per_client(model_ready(spark, d))
+
+
+def scored_latest(spark, d):
+    cc = clients_clean(spark, d)
+    enc = LB.encode_features(latest_features(spark, d), cc, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
+    return LB.formula_score(enc)
+
+
+def ranking(spark, d):
+    return DE.risk_ranking(scored_latest(spark, d), clients_clean(spark, d))
+
+
+def scored_test(spark, d):
+    cc = clients_clean(spark, d)
+    enc = LB.encode_features(labelled(spark, d), cc, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
+    return LB.formula_score(enc).where(F.col("split") == "test")
+
+
+_MONTHS_TO_CHURN = ("((year(churn_date) - year(CAST(year_month || '-01' AS DATE))) * 12 "
+                    "+ month(churn_date) - month(CAST(year_month || '-01' AS DATE)))")
+O.cte("labelled", ["model_ready"], f"""
+SELECT *, CAST(COALESCE(is_churned AND {_MONTHS_TO_CHURN} BETWEEN 0 AND 3, FALSE) AS INTEGER)
+            AS target_churn_3m,
+       CASE WHEN ((client_id * 7919 + 42) % 10007) % 100 < 25 THEN 'test' ELSE 'train' END
+            AS split
+FROM model_ready""")
+_ENC = ("CAST(CASE l.client_size WHEN 'Small' THEN 1 WHEN 'Medium' THEN 2 WHEN 'Enterprise' "
+        "THEN 3 END AS DOUBLE) AS size_num, CAST(CASE l.contract_type WHEN 'Monthly' THEN 1 "
+        "WHEN 'Annual' THEN 2 WHEN 'Multi-year' THEN 3 END AS DOUBLE) AS contract_type_num")
+O.cte("latest", ["model_ready"], """
+SELECT * FROM model_ready
+QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY year_month DESC) = 1""")
+O.cte("scored_latest", ["latest", "clients_clean"], f"""
+SELECT *, {LB.formula_sql()} AS predicted_churn_probability
+FROM (SELECT l.*, c.monthly_recurring_revenue, {_ENC}
+      FROM latest l JOIN clients_clean c USING (client_id))""")
+O.cte("ranking", ["scored_latest", "clients_clean"], f"""
+SELECT c.client_id, c.client_name, c.account_manager, c.monthly_recurring_revenue,
+       c.contract_type, c.is_churned, s.predicted_churn_probability,
+       CASE WHEN s.predicted_churn_probability >= {X.TIER_HIGH} THEN 'High'
+            WHEN s.predicted_churn_probability >= {X.TIER_MEDIUM} THEN 'Medium'
+            WHEN s.predicted_churn_probability IS NOT NULL THEN 'Low' END AS risk_tier
+FROM clients_clean c LEFT JOIN scored_latest s USING (client_id)""")
+O.cte("scored_test", ["labelled", "clients_clean"], f"""
+SELECT *, {LB.formula_sql()} AS predicted_churn_probability
+FROM (SELECT l.*, c.monthly_recurring_revenue, {_ENC}
+      FROM labelled l JOIN clients_clean c USING (client_id))
+WHERE split = 'test'""")
+O.cte("curve", ["scored_test"], """
+SELECT *, sum(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS tp,
+       sum(neg) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS fp,
+       sum(pos) OVER () AS p_all, sum(neg) OVER () AS n_all
+FROM (SELECT predicted_churn_probability AS s, sum(target_churn_3m) AS pos,
+             sum(1 - target_churn_3m) AS neg
+      FROM scored_test GROUP BY 1)""")
+O.cte("confusion", ["scored_test"], """
+SELECT count(*) FILTER (WHERE target_churn_3m = 0 AND predicted_churn_probability < 0.5) AS tn,
+       count(*) FILTER (WHERE target_churn_3m = 0 AND predicted_churn_probability >= 0.5) AS fp,
+       count(*) FILTER (WHERE target_churn_3m = 1 AND predicted_churn_probability < 0.5) AS fn,
+       count(*) FILTER (WHERE target_churn_3m = 1 AND predicted_churn_probability >= 0.5) AS tp
+FROM scored_test""")
+
+
+@register("churn_label", O.sql("""
+SELECT client_id, year_month, target_churn_3m FROM labelled""", ["labelled"]))
+def q_churn_label(spark, d):
+    return labelled(spark, d).select("client_id", "year_month", "target_churn_3m")
+
+
+@register("group_split", O.sql("""
+SELECT split, count(DISTINCT client_id) AS clients, count(*) AS client_months,
+       CAST(sum(target_churn_3m) AS BIGINT) AS positives
+FROM labelled GROUP BY split""", ["labelled"]))
+def q_group_split(spark, d):
+    return (labelled(spark, d).groupBy("split")
+            .agg(F.countDistinct("client_id").alias("clients"),
+                 F.count(F.lit(1)).alias("client_months"),
+                 F.sum(F.col("target_churn_3m").cast("long")).alias("positives")))
+
+
+@register("latest_per_client", O.sql("""
+SELECT client_id, year_month, invoiced_amt, sla_breach_rate FROM latest""", ["latest"]),
+    r2=["invoiced_amt"], r6=["sla_breach_rate"])
+def q_latest_per_client(spark, d):
+    return latest_features(spark, d).select("client_id", "year_month", "invoiced_amt",
+                                            "sla_breach_rate")
+
+
+@register("risk_ranking", O.sql("SELECT * FROM ranking", ["ranking"]),
+          r2=["monthly_recurring_revenue"], r6=["predicted_churn_probability"])
+def q_risk_ranking(spark, d):
+    return ranking(spark, d)
+
+
+@register("risk_tiers", O.sql("""
+SELECT is_churned, risk_tier, count(*) AS clients FROM ranking GROUP BY 1, 2""", ["ranking"]))
+def q_risk_tiers(spark, d):
+    return DE.tier_counts(ranking(spark, d))
+
+
+@register("roc_auc", O.sql("""
+SELECT sum((fp / n_all - (fp - neg) / n_all) * (tp / p_all + (tp - pos) / p_all) / 2)
+         AS roc_auc FROM curve""", ["curve"]), r6=["roc_auc"])
+def q_roc_auc(spark, d):
+    return MT.roc_auc(scored_test(spark, d), "target_churn_3m", "predicted_churn_probability")
+
+
+@register("pr_auc", O.sql("""
+SELECT sum((tp / p_all - (tp - pos) / p_all)
+           * (tp / (tp + fp) + CASE WHEN (tp - pos) + (fp - neg) > 0
+                                    THEN (tp - pos) / ((tp - pos) + (fp - neg)) ELSE 1.0 END) / 2)
+         AS pr_auc FROM curve""", ["curve"]), r6=["pr_auc"])
+def q_pr_auc(spark, d):
+    return MT.pr_auc(scored_test(spark, d), "target_churn_3m", "predicted_churn_probability")
+
+
+@register("confusion", O.sql("SELECT * FROM confusion", ["confusion"]))
+def q_confusion(spark, d):
+    return MT.confusion(scored_test(spark, d), "target_churn_3m", "predicted_churn_probability")
+
+
+def _d0(a, b):
+    return f"COALESCE(CASE WHEN ({b}) = 0 THEN NULL ELSE ({a}) / ({b}) END, 0.0)"
+
+
+_P1, _R1 = _d0("tp", "tp + fp"), _d0("tp", "tp + fn")
+_P0, _R0 = _d0("tn", "tn + fn"), _d0("tn", "tn + fp")
+
+
+@register("class_report", O.sql(f"""
+SELECT precision_1, recall_1, {_d0("2 * precision_1 * recall_1", "precision_1 + recall_1")}
+         AS f1_1, precision_0, recall_0,
+       {_d0("2 * precision_0 * recall_0", "precision_0 + recall_0")} AS f1_0,
+       ({_d0("2 * precision_1 * recall_1", "precision_1 + recall_1")}
+        + {_d0("2 * precision_0 * recall_0", "precision_0 + recall_0")}) / 2 AS macro_f1,
+       accuracy
+FROM (SELECT {_P1} AS precision_1, {_R1} AS recall_1, {_P0} AS precision_0,
+             {_R0} AS recall_0, {_d0("tp + tn", "tp + tn + fp + fn")} AS accuracy
+      FROM confusion)""", ["confusion"]),
+    r6=["precision_1", "recall_1", "f1_1", "precision_0", "recall_0", "f1_0", "macro_f1",
+        "accuracy"])
+def q_class_report(spark, d):
+    return MT.class_report(MT.confusion(scored_test(spark, d), "target_churn_3m",
+                                        "predicted_churn_probability"))
