@@ -29,7 +29,7 @@ TEST_PERCENT = 25
 SPLIT_SEED = 42
 
 # Fixed weights of the formula score (logit = intercept + sum w * x)
-FORMULA_INTERCEPT = -2.0
+FORMULA_INTERCEPT = 1.5
 FORMULA_WEIGHTS = {
     "sla_breach_rate": 2.0,
     "late_payment_rate": 1.5,

@@ -494,3 +494,183 @@ FROM (SELECT {_P1} AS precision_1, {_R1} AS recall_1, {_P0} AS precision_0,
 def q_class_report(spark, d):
     return MT.class_report(MT.confusion(scored_test(spark, d), "target_churn_3m",
                                         "predicted_churn_probability"))
+
+
+# --------------------------------------------------------------------------
+# decisions and reporting (on the formula-scored ranking)
+# --------------------------------------------------------------------------
+USAGE_FLOOR = 20.0   # usage per client-month is far below the reference's 300 here
+
+
+def recs(spark, d):
+    return DE.recommendations(ranking(spark, d), latest_features(spark, d),
+                              usage_floor=USAGE_FLOOR)
+
+
+def _sql_fill(template: str, **parts: str) -> str:
+    """Split a fixed text on its {slots} into a SQL concatenation."""
+    out, rest = [], template
+    for key, expr in parts.items():
+        head, rest = rest.split("{" + key + "}")
+        out += ["'" + head.replace("'", "''") + "'", expr]
+    out.append("'" + rest.replace("'", "''") + "'")
+    return " || ".join(out)
+
+
+_ISSUE = f"""CASE WHEN f.has IS NULL THEN '{DE.ISSUE_NO_FEATURES}'
+  WHEN f.sla_breach_rate > {DE.SLA_LIMIT} THEN '{DE.ISSUE_SLA}'
+  WHEN f.total_usage < {USAGE_FLOOR} THEN '{DE.ISSUE_USAGE}'
+  WHEN f.late_payment_rate > {DE.LATE_LIMIT} THEN '{DE.ISSUE_LATE}'
+  WHEN f.nps_score < {DE.NPS_FLOOR} THEN '{DE.ISSUE_NPS}'
+  ELSE '{DE.ISSUE_DEFAULT}' END"""
+_ACTION = f"""CASE primary_issue
+  WHEN '{DE.ISSUE_SLA}' THEN {_sql_fill(DE.ACTION_SLA, rate="printf('%.1f%%', sla_breach_rate * 100)")}
+  WHEN '{DE.ISSUE_USAGE}' THEN '{DE.ACTION_USAGE}'
+  WHEN '{DE.ISSUE_LATE}' THEN {_sql_fill(DE.ACTION_LATE, contract="contract_type")}
+  WHEN '{DE.ISSUE_NPS}' THEN {_sql_fill(DE.ACTION_NPS, manager="account_manager",
+                                         nps="CAST(nps_score AS VARCHAR)")}
+  WHEN '{DE.ISSUE_DEFAULT}' THEN '{DE.ACTION_DEFAULT}'
+  ELSE '{DE.ACTION_NO_FEATURES}' END"""
+O.cte("recs", ["ranking", "latest"], f"""
+SELECT row_number() OVER (ORDER BY predicted_churn_probability DESC, client_id) AS priority,
+       client_id, client_name, predicted_churn_probability AS predicted_probability, risk_tier,
+       monthly_recurring_revenue, account_manager, contract_type, primary_issue,
+       {_ACTION} AS action_item,
+       monthly_recurring_revenue * predicted_churn_probability AS expected_revenue_saved
+FROM (SELECT r.*, f.sla_breach_rate, f.nps_score, {_ISSUE} AS primary_issue
+      FROM ranking r
+      LEFT JOIN (SELECT client_id, sla_breach_rate, total_usage, late_payment_rate, nps_score,
+                        TRUE AS has FROM latest) f USING (client_id)
+      WHERE NOT r.is_churned AND r.predicted_churn_probability >= {DE.TARGET_PROBABILITY})""")
+
+
+@register("recommendations", O.sql("SELECT * FROM recs", ["recs"]),
+          r2=["monthly_recurring_revenue", "expected_revenue_saved"],
+          r6=["predicted_probability"])
+def q_recommendations(spark, d):
+    return recs(spark, d)
+
+
+@register("retention_impact", O.sql(f"""
+SELECT count(*) FILTER (WHERE hit) AS total_clients_targeted,
+       COALESCE(sum(CASE WHEN hit THEN monthly_recurring_revenue END), 0.0) AS total_mrr_at_risk,
+       COALESCE(sum(CASE WHEN hit THEN monthly_recurring_revenue * predicted_churn_probability
+                    END), 0.0) * {DE.MITIGATION} AS projected_mrr_saved,
+       avg(predicted_churn_probability) * 100 AS baseline_churn_rate,
+       avg(CASE WHEN hit THEN predicted_churn_probability * (1.0 - {DE.MITIGATION})
+                ELSE predicted_churn_probability END) * 100 AS new_churn_rate,
+       (avg(predicted_churn_probability)
+        - avg(CASE WHEN hit THEN predicted_churn_probability * (1.0 - {DE.MITIGATION})
+                   ELSE predicted_churn_probability END)) * 100 AS absolute_churn_reduction,
+       CASE WHEN avg(predicted_churn_probability) > 0 THEN
+         (avg(predicted_churn_probability)
+          - avg(CASE WHEN hit THEN predicted_churn_probability * (1.0 - {DE.MITIGATION})
+                     ELSE predicted_churn_probability END)) / avg(predicted_churn_probability)
+         ELSE 0.0 END * 100 AS relative_churn_reduction,
+       CASE WHEN avg(predicted_churn_probability) > 0 THEN
+         (avg(predicted_churn_probability)
+          - avg(CASE WHEN hit THEN predicted_churn_probability * (1.0 - {DE.MITIGATION})
+                     ELSE predicted_churn_probability END)) / avg(predicted_churn_probability)
+         ELSE 0.0 END >= {DE.TARGET_RELATIVE_REDUCTION} AS target_achieved
+FROM (SELECT *, predicted_churn_probability >= {DE.TARGET_PROBABILITY} AS hit
+      FROM ranking WHERE NOT is_churned)""", ["ranking"]),
+    r2=["total_mrr_at_risk", "projected_mrr_saved"],
+    r6=["baseline_churn_rate", "new_churn_rate", "absolute_churn_reduction",
+        "relative_churn_reduction"])
+def q_retention_impact(spark, d):
+    return DE.retention_impact(ranking(spark, d))
+
+
+@register("kpi_block", O.sql("""
+SELECT count(*) AS total_clients, count(*) FILTER (WHERE NOT is_churned) AS active_clients,
+       count(*) - count(*) FILTER (WHERE NOT is_churned) AS historical_churned,
+       (count(*) - count(*) FILTER (WHERE NOT is_churned)) / count(*) * 100
+         AS historical_churn_pct,
+       avg(CASE WHEN NOT is_churned THEN predicted_churn_probability END) * 100
+         AS active_avg_risk_pct,
+       sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue END) AS total_active_mrr,
+       sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue * predicted_churn_probability
+           END) AS mrr_at_risk,
+       sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue * predicted_churn_probability
+           END) / sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue END) * 100
+         AS mrr_at_risk_pct,
+       count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'High') AS high_risk_clients,
+       count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'Medium') AS medium_risk_clients,
+       count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'Low') AS low_risk_clients
+FROM ranking""", ["ranking"]),
+    r2=["total_active_mrr", "mrr_at_risk"],
+    r6=["historical_churn_pct", "active_avg_risk_pct", "mrr_at_risk_pct"])
+def q_kpi_block(spark, d):
+    return DE.kpi_block(ranking(spark, d))
+
+
+@register("risk_ledger", O.sql("""
+SELECT client_id AS "Client ID", client_name AS "Client Name",
+       account_manager AS "Account Manager", contract_type AS "Contract Type",
+       '$' || format('{:,.2f}', monthly_recurring_revenue) AS "MRR ($)",
+       printf('%.1f%%', predicted_churn_probability * 100) AS "Churn Probability",
+       risk_tier AS "Risk Tier"
+FROM ranking WHERE NOT is_churned""", ["ranking"]))
+def q_risk_ledger(spark, d):
+    return DE.risk_ledger(ranking(spark, d))
+
+
+@register("alert_cards", O.sql("""
+SELECT priority AS "Priority", client_id AS "Client ID", client_name AS "Client Name",
+       printf('%.1f%%', predicted_probability * 100) AS "Churn Prob", risk_tier AS "Risk Tier",
+       account_manager AS "Account Manager", primary_issue AS "Identified Trigger",
+       action_item AS "Recommended Retention Action"
+FROM recs WHERE priority <= 5""", ["recs"]))
+def q_alert_cards(spark, d):
+    return DE.alert_table(recs(spark, d), top=5)
+
+
+# what-if scoring with the formula score
+def what_if(spark, d):
+    la = DE.latest_active(model_ready(spark, d), clients_clean(spark, d))
+    enc = LB.encode_features(la, None, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
+    base = LB.formula_score(enc, "base_p")
+    mod = LB.formula_score(DE.apply_scenarios(enc), "mod_p")
+    return DE.what_if_summary(base, mod)
+
+
+_SCEN = ", ".join(f"('{n}', {s!r}, {u!r}, {p})" for n, s, u, p in DE.SCENARIOS)
+_STRONG = "(usage_pct >= 10.0 OR sla_pct >= 10.0)"
+_M_TREND = (f"CASE WHEN {_STRONG} AND usage_trend_3mo < 1.0 THEN usage_trend_3mo * 1.10 "
+            f"ELSE usage_trend_3mo END")
+_MOD_SQL = LB.formula_sql({
+    "sla_breach_rate": "sla_breach_rate * (1.0 - sla_pct / 100.0)",
+    "nps_score": "LEAST(GREATEST(nps_score + nps_points, -100), 100)",
+    "is_declining_engagement_flag":
+        f"CASE WHEN {_STRONG} AND ({_M_TREND}) > 0.95 THEN 0 ELSE is_declining_engagement_flag END",
+})
+O.cte("what_if_rows", ["model_ready", "clients_clean"], f"""
+SELECT scenario, monthly_recurring_revenue AS mrr, {LB.formula_sql()} AS base_p,
+       {_MOD_SQL} AS mod_p
+FROM (SELECT l.*, c.monthly_recurring_revenue, {_ENC}
+      FROM model_ready l JOIN clients_clean c USING (client_id)
+      WHERE NOT c.is_churned
+      QUALIFY row_number() OVER (PARTITION BY l.client_id ORDER BY l.year_month DESC) = 1) a,
+     (VALUES {_SCEN}) s(scenario, sla_pct, usage_pct, nps_points)""")
+
+
+@register("what_if", O.sql(f"""
+SELECT scenario, count(*) AS num_active_clients, avg(base_p) AS base_avg_prob,
+       avg(mod_p) AS mod_avg_prob, (avg(base_p) - avg(mod_p)) * 100 AS churn_rate_reduction_pct,
+       sum(mrr * base_p) AS base_expected_mrr_loss, sum(mrr * mod_p) AS mod_expected_mrr_loss,
+       sum(mrr * base_p) - sum(mrr * mod_p) AS mrr_retained,
+       count(*) FILTER (WHERE base_p >= 0.5) AS base_at_risk_count,
+       count(*) FILTER (WHERE mod_p >= 0.5) AS mod_at_risk_count,
+       CASE WHEN avg(base_p) > 0 THEN (avg(base_p) - avg(mod_p)) / avg(base_p) * 100
+            ELSE 0.0 END AS relative_reduction_pct,
+       LEAST(GREATEST(CASE WHEN avg(base_p) > 0 THEN (avg(base_p) - avg(mod_p)) / avg(base_p)
+                           * 100 ELSE 0.0 END / {DE.TARGET_RELATIVE_REDUCTION * 100}, 0.0), 1.0)
+         AS target_progress,
+       (sum(mrr * base_p) - sum(mrr * mod_p)) * 12 AS annual_mrr_retained
+FROM what_if_rows GROUP BY scenario""", ["what_if_rows"]),
+    r2=["base_expected_mrr_loss", "mod_expected_mrr_loss", "mrr_retained",
+        "annual_mrr_retained"],
+    r6=["base_avg_prob", "mod_avg_prob", "churn_rate_reduction_pct", "relative_reduction_pct",
+        "target_progress"])
+def q_what_if(spark, d):
+    return what_if(spark, d)
