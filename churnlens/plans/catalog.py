@@ -20,6 +20,7 @@ from ..operators import profile as PR
 from ..operators import labels as LB
 from ..operators import metrics as MT
 from ..operators import decisions as DE
+from ..operators import models as MD
 from ..sources import adapters as A
 from . import oracle as O
 from ..functions import expr as X
@@ -674,3 +675,52 @@ FROM what_if_rows GROUP BY scenario""", ["what_if_rows"]),
         "target_progress"])
 def q_what_if(spark, d):
     return what_if(spark, d)
+
+
+# --------------------------------------------------------------------------
+# fitted churn models (rows-only checks: the fits are iterative)
+# --------------------------------------------------------------------------
+FEATURES = LB.feature_names(A.INDUSTRY_VOCAB, A.REGION_VOCAB)
+_FITTED: dict = {}
+
+
+def labelled_encoded(spark, d):
+    return LB.encode_features(labelled(spark, d), clients_clean(spark, d), A.INDUSTRY_VOCAB,
+                              A.REGION_VOCAB)
+
+
+def fitted_models(spark, d):
+    """Fitted pipelines, memoised per session and input folder (model objects,
+    not data, are kept)."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FITTED:
+        _FITTED[key] = MD.fit_models(labelled_encoded(spark, d), FEATURES)
+    return _FITTED[key]
+
+
+def model_comparison(spark, d):
+    return MD.compare(fitted_models(spark, d), labelled_encoded(spark, d), FEATURES)
+
+
+def best_pipeline(spark, d):
+    key = ("best", spark.sparkContext.applicationId, d)
+    if key not in _FITTED:
+        _FITTED[key] = MD.best_model(model_comparison(spark, d))
+    return fitted_models(spark, d)[_FITTED[key]]
+
+
+@register("model_compare")
+def q_model_compare(spark, d):
+    return model_comparison(spark, d)
+
+
+@register("driver_importance")
+def q_driver_importance(spark, d):
+    return MD.importances(best_pipeline(spark, d), FEATURES).orderBy(F.desc("importance"))
+
+
+@register("risk_ranking_ml")
+def q_risk_ranking_ml(spark, d):
+    cc = clients_clean(spark, d)
+    enc = LB.encode_features(latest_features(spark, d), cc, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
+    return DE.risk_ranking(MD.score(best_pipeline(spark, d), enc, FEATURES), cc)
