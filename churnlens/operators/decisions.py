@@ -223,7 +223,8 @@ def format_forecast(forecast: DataFrame) -> DataFrame:
     """Currency-formatted forecast table."""
     money = ["baseline_forecast", "ci_lower", "ci_upper", "churn_adjusted_forecast",
              "expected_mrr_loss"]
-    out = forecast.select("year_month", *[X.fmt_currency(c).alias(c) for c in money])
+    keys = [c for c in ("series_id", "year_month") if c in forecast.columns]
+    out = forecast.select(*keys, *[X.fmt_currency(c).alias(c) for c in money])
     return out.withColumnsRenamed(FORECAST_NAMES)
 
 

@@ -21,6 +21,7 @@ from ..operators import labels as LB
 from ..operators import metrics as MT
 from ..operators import decisions as DE
 from ..operators import models as MD
+from ..operators import forecast as FC
 from ..sources import adapters as A
 from . import oracle as O
 from ..functions import expr as X
@@ -724,3 +725,131 @@ def q_risk_ranking_ml(spark, d):
     cc = clients_clean(spark, d)
     enc = LB.encode_features(latest_features(spark, d), cc, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
     return DE.risk_ranking(MD.score(best_pipeline(spark, d), enc, FEATURES), cc)
+
+
+# --------------------------------------------------------------------------
+# forecasting: region series + the total, last complete month 2001-07
+# --------------------------------------------------------------------------
+LAST_COMPLETE_MONTH = "2001-07"
+
+
+def series(spark, d):
+    return FC.monthly_series(model_ready(spark, d), "region", last_month=LAST_COMPLETE_MONTH)
+
+
+O.cte("series_parts", ["model_ready"], f"""
+SELECT CAST(region AS VARCHAR) AS series_id, year_month, sum(invoiced_amt) AS value
+FROM model_ready WHERE year_month <= '{LAST_COMPLETE_MONTH}' GROUP BY 1, 2
+UNION ALL
+SELECT '{FC.ALL_SERIES}', year_month, sum(invoiced_amt)
+FROM model_ready WHERE year_month <= '{LAST_COMPLETE_MONTH}' GROUP BY 2""")
+O.cte("series", ["series_parts"], """
+SELECT s.series_id, strftime(c.m, '%Y-%m') AS year_month, COALESCE(p.value, 0.0) AS value
+FROM (SELECT DISTINCT series_id FROM series_parts) s
+CROSS JOIN (SELECT unnest(generate_series(CAST(min(year_month) || '-01' AS DATE),
+                                          CAST(max(year_month) || '-01' AS DATE),
+                                          INTERVAL 1 MONTH)) AS m FROM series_parts) c
+LEFT JOIN series_parts p ON p.series_id = s.series_id AND p.year_month = strftime(c.m, '%Y-%m')""")
+O.cte("series_idx", ["series"], """
+SELECT *, row_number() OVER w AS t, count(*) OVER (PARTITION BY series_id) AS n,
+       lag(value, 12) OVER w AS prev
+FROM series WINDOW w AS (PARTITION BY series_id ORDER BY year_month)""")
+O.cte("naive_future", ["series_idx"], f"""
+SELECT f.series_id, f.h, strftime(CAST(f.last_month || '-01' AS DATE) + to_months(f.h), '%Y-%m')
+         AS year_month, v.value AS prediction, f.resid_std
+FROM (SELECT series_id, stddev_pop(value - prev) AS resid_std, max(year_month) AS last_month,
+             max(n) AS n, unnest(range(1, {FC.HORIZON + 1})) AS h
+      FROM series_idx GROUP BY series_id) f
+JOIN series_idx v ON v.series_id = f.series_id AND v.t = f.n - 12 + ((f.h - 1) % 12) + 1""")
+O.cte("series_loss", ["ranking", "clients_clean"], f"""
+SELECT CAST(c.region AS VARCHAR) AS series_id,
+       sum(r.monthly_recurring_revenue * r.predicted_churn_probability) AS expected_loss
+FROM ranking r JOIN clients_clean c USING (client_id) WHERE NOT r.is_churned GROUP BY 1
+UNION ALL
+SELECT '{FC.ALL_SERIES}', sum(monthly_recurring_revenue * predicted_churn_probability)
+FROM ranking WHERE NOT is_churned""")
+_RAMP = "CASE h " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(FC.LOSS_RAMP, 1)) + \
+    " ELSE 1.0 END"
+O.cte("adjusted", ["naive_future", "series_loss"], f"""
+SELECT series_id, year_month, prediction AS baseline_forecast,
+       prediction - {FC.Z95} * resid_std * sqrt(h) AS ci_lower,
+       prediction + {FC.Z95} * resid_std * sqrt(h) AS ci_upper,
+       prediction - COALESCE(expected_loss, 0.0) * {_RAMP} AS churn_adjusted_forecast,
+       COALESCE(expected_loss, 0.0) * {_RAMP} AS expected_mrr_loss
+FROM naive_future LEFT JOIN series_loss USING (series_id)""")
+
+_ADJ_MONEY = ["baseline_forecast", "ci_lower", "ci_upper", "churn_adjusted_forecast",
+              "expected_mrr_loss"]
+
+
+def adjusted_naive(spark, d):
+    return FC.churn_adjusted(FC.seasonal_naive(series(spark, d)),
+                             FC.expected_loss(ranking(spark, d), clients_clean(spark, d)))
+
+
+@register("monthly_series", O.sql("SELECT * FROM series", ["series"]), r2=["value"])
+def q_monthly_series(spark, d):
+    return series(spark, d)
+
+
+@register("lag_features", O.sql("""
+SELECT series_id, year_month, value,
+       lag(value, 1) OVER w AS lag1, lag(value, 2) OVER w AS lag2, lag(value, 3) OVER w AS lag3
+FROM series WINDOW w AS (PARTITION BY series_id ORDER BY year_month)""", ["series"]),
+    r2=["value", "lag1", "lag2", "lag3"])
+def q_lag_features(spark, d):
+    return FC.lag_features(series(spark, d))
+
+
+@register("naive_backtest_metrics", O.sql(f"""
+SELECT series_id, sqrt(avg((value - prev) * (value - prev))) AS rmse,
+       avg(abs(CASE WHEN value = 0 THEN NULL ELSE (value - prev) / value END)) * 100 AS mape
+FROM series_idx WHERE t > n - {FC.HOLDOUT} GROUP BY series_id""", ["series_idx"]),
+    r2=["rmse"], r6=["mape"])
+def q_naive_backtest_metrics(spark, d):
+    return FC.backtest_metrics(FC.seasonal_naive(series(spark, d)))
+
+
+@register("churn_adjusted_forecast", O.sql("SELECT * FROM adjusted", ["adjusted"]),
+          r2=_ADJ_MONEY)
+def q_churn_adjusted_forecast(spark, d):
+    return adjusted_naive(spark, d)
+
+
+@register("forecast_table", O.sql("""
+SELECT series_id, year_month AS "Month",
+       '$' || format('{:,.2f}', baseline_forecast) AS "Baseline ($)",
+       '$' || format('{:,.2f}', ci_lower) AS "Lower CI ($)",
+       '$' || format('{:,.2f}', ci_upper) AS "Upper CI ($)",
+       '$' || format('{:,.2f}', churn_adjusted_forecast) AS "Churn-Adjusted ($)",
+       '$' || format('{:,.2f}', expected_mrr_loss) AS "Expected Loss ($)"
+FROM adjusted""", ["adjusted"]))
+def q_forecast_table(spark, d):
+    return DE.format_forecast(adjusted_naive(spark, d))
+
+
+@register("horizon_total", O.sql("""
+SELECT series_id, sum(churn_adjusted_forecast) AS next_12m_revenue,
+       max(expected_mrr_loss) AS peak_monthly_loss
+FROM adjusted GROUP BY series_id""", ["adjusted"]),
+    r2=["next_12m_revenue", "peak_monthly_loss"])
+def q_horizon_total(spark, d):
+    return FC.horizon_total(adjusted_naive(spark, d))
+
+
+@register("hw_forecast")
+def q_hw_forecast(spark, d):
+    return FC.holt_winters(series(spark, d))
+
+
+@register("gbt_lag_forecast")
+def q_gbt_lag_forecast(spark, d):
+    return FC.gbt_lags(series(spark, d))
+
+
+@register("forecast_model_choice")
+def q_forecast_model_choice(spark, d):
+    s = series(spark, d)
+    preds = (FC.holt_winters(s).drop("alpha", "gamma").withColumn("model", F.lit("holt_winters"))
+             .unionByName(FC.gbt_lags(s).withColumn("model", F.lit("gbt_lags"))))
+    return FC.choose_model(FC.backtest_metrics(preds))
