@@ -22,6 +22,8 @@ from ..operators import metrics as MT
 from ..operators import decisions as DE
 from ..operators import models as MD
 from ..operators import forecast as FC
+from ..operators import calendar as CA
+from ..operators import quality as QA
 from ..sources import adapters as A
 from . import oracle as O
 from ..functions import expr as X
@@ -853,3 +855,117 @@ def q_forecast_model_choice(spark, d):
     preds = (FC.holt_winters(s).drop("alpha", "gamma").withColumn("model", F.lit("holt_winters"))
              .unionByName(FC.gbt_lags(s).withColumn("model", F.lit("gbt_lags"))))
     return FC.choose_model(FC.backtest_metrics(preds))
+
+
+# --------------------------------------------------------------------------
+# client rules, billing calendar, top-k, quality report, streaming panel
+# --------------------------------------------------------------------------
+def rules(spark, d):
+    return CA.client_rules(clients(spark, d), A.WINDOW_START, A.WINDOW_END)
+
+
+O.cte("client_rules", ["clients"], f"""
+SELECT client_id, contract_type, services_subscribed,
+  COALESCE(CASE contract_type WHEN 'Monthly' THEN 4.0 WHEN 'Annual' THEN 1.0 END, 0.0)
+  + COALESCE(CASE len(string_split(services_subscribed, ';')) WHEN 1 THEN 3.0 WHEN 2 THEN 1.5
+             END, 0.0) AS rule_risk_score,
+  GREATEST(1, (year(COALESCE(churn_date, DATE '{A.WINDOW_END}')) - year(contract_start_date)) * 12
+    + month(COALESCE(churn_date, DATE '{A.WINDOW_END}')) - month(contract_start_date))
+    AS tenure_months,
+  active_start, active_end,
+  (year(active_end) - year(active_start)) * 12 + month(active_end) - month(active_start) + 1
+    AS months_active
+FROM (SELECT *, CASE WHEN s0 > e0 THEN CAST(e0 - INTERVAL 30 DAY AS DATE) ELSE s0 END
+                  AS active_start, e0 AS active_end
+      FROM (SELECT *, GREATEST(contract_start_date, DATE '{A.WINDOW_START}') AS s0,
+                   COALESCE(churn_date, DATE '{A.WINDOW_END}') AS e0 FROM clients))""")
+
+
+@register("client_rules", O.sql("SELECT * FROM client_rules", ["client_rules"]))
+def q_client_rules(spark, d):
+    return rules(spark, d)
+
+
+@register("billing_calendar", O.sql("""
+SELECT client_id, CAST(unnest(generate_series(date_trunc('month', active_start),
+                                              active_end, INTERVAL 1 MONTH)) AS DATE)
+         AS billing_month
+FROM client_rules WHERE active_start IS NOT NULL""", ["client_rules"]))
+def q_billing_calendar(spark, d):
+    return CA.billing_calendar(rules(spark, d))
+
+
+RULE_TOP_K = 36
+
+
+@register("risk_top_k", O.sql(f"""
+SELECT * FROM (SELECT *, row_number() OVER (ORDER BY rule_risk_score DESC, client_id) AS rank
+               FROM client_rules) WHERE rank <= {RULE_TOP_K}""", ["client_rules"]))
+def q_risk_top_k(spark, d):
+    return CA.top_k_by(rules(spark, d), "rule_risk_score", RULE_TOP_K)
+
+
+CHURN_RATE_EXPECTED, CHURN_RATE_TOL = 0.195, 0.02
+_MR_COLS = FE.MODEL_READY_COLUMNS
+_NULL_SUM = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in _MR_COLS if c != "churn_date")
+
+
+@register("quality_report", O.sql(f"""
+SELECT 'clients_match_customers' AS rule, CAST(a AS DOUBLE) AS observed,
+       CAST(b AS VARCHAR) AS expected, a = b AS passed
+FROM (SELECT count(*) AS a FROM clients), (SELECT count(*) AS b FROM customer)
+UNION ALL
+SELECT 'churn_rate', avg(CAST(is_churned AS DOUBLE)), '{CHURN_RATE_EXPECTED} +- {CHURN_RATE_TOL}',
+       abs(avg(CAST(is_churned AS DOUBLE)) - {CHURN_RATE_EXPECTED}) <= {CHURN_RATE_TOL}
+FROM clients
+UNION ALL
+SELECT 'model_ready_no_nulls', CAST(COALESCE(sum({_NULL_SUM}), 0) AS DOUBLE), '0',
+       COALESCE(sum({_NULL_SUM}), 0) = 0 FROM model_ready
+UNION ALL
+SELECT 'forecast_shape', CAST(count(*) FILTER (WHERE c <> 12) AS DOUBLE),
+       '0 missing columns, 12 rows each', count(*) FILTER (WHERE c <> 12) = 0
+FROM (SELECT series_id, count(*) AS c FROM adjusted GROUP BY 1)
+UNION ALL
+SELECT 'probability_range',
+       CAST(count(*) FILTER (WHERE predicted_churn_probability < 0
+                             OR predicted_churn_probability > 1) AS DOUBLE),
+       'all in [0.0, 1.0]',
+       min(predicted_churn_probability) >= 0 AND max(predicted_churn_probability) <= 1
+FROM ranking
+UNION ALL
+SELECT 'churned_scored_higher',
+       avg(CASE WHEN is_churned THEN predicted_churn_probability END)
+       - avg(CASE WHEN NOT is_churned THEN predicted_churn_probability END), '> 0',
+       COALESCE(avg(CASE WHEN is_churned THEN predicted_churn_probability END)
+                > avg(CASE WHEN NOT is_churned THEN predicted_churn_probability END), FALSE)
+FROM ranking""", ["clients", "model_ready", "adjusted", "ranking"]), r6=["observed"])
+def q_quality_report(spark, d):
+    from ..sources.io import read_table
+    cl, rk = clients(spark, d), ranking(spark, d)
+    fc = adjusted_naive(spark, d)
+    return QA.report([
+        QA.row_count_equals(cl, read_table(spark, d, "customer"), "clients_match_customers"),
+        QA.rate_within(cl, "is_churned", CHURN_RATE_EXPECTED, CHURN_RATE_TOL, "churn_rate"),
+        QA.no_nulls(model_ready(spark, d), ["churn_date"], "model_ready_no_nulls"),
+        QA.has_columns(fc, ["year_month", "baseline_forecast", "ci_lower", "ci_upper",
+                            "churn_adjusted_forecast", "expected_mrr_loss"], 12, "series_id",
+                       "forecast_shape"),
+        QA.in_range(rk, "predicted_churn_probability", 0.0, 1.0, "probability_range"),
+        QA.separates(rk, "is_churned", "predicted_churn_probability", "churned_scored_higher"),
+    ])
+
+
+@register("incremental_panel", O.sql("""
+SELECT user_id AS client_id, strftime(ts, '%Y-%m') AS year_month, count(*) AS event_count,
+       COALESCE(sum(value), 0.0) AS value_sum,
+       COALESCE(sum(CASE WHEN event_type = 'purchase' THEN value END), 0.0) AS purchase_value,
+       count(*) FILTER (WHERE event_type = 'view') AS view_count,
+       count(*) FILTER (WHERE event_type = 'click') AS click_count,
+       count(*) FILTER (WHERE event_type = 'purchase') AS purchase_count,
+       count(*) FILTER (WHERE event_type = 'error') AS error_count,
+       count(*) FILTER (WHERE event_type = 'signup') AS signup_count
+FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2"""),
+    r2=["value_sum", "purchase_value"])
+def q_incremental_panel(spark, d):
+    from ..streaming import incremental_panel as ST
+    return ST.run(spark, d)

@@ -196,7 +196,7 @@ FROM feat_all f LEFT JOIN clients_clean c USING (client_id)
 QUALIFY c.churn_date IS NULL OR CAST(f.year_month || '-01' AS DATE) <= c.churn_date""")
 
 
-def sql(final: str, needs: list[str]) -> str:
+def sql(final: str, needs: list[str] = ()) -> str:
     """Prefix ``final`` with the CTEs it needs, dependencies first."""
     order: list[str] = []
 
