@@ -101,3 +101,13 @@ def model_ready(transactions: DataFrame, clients: DataFrame, ticket_ceiling: flo
                                carry=STATIC_COLUMNS + ["services_subscribed"])
     feats = engineer_features(panel, ticket_ceiling, trend_floor)
     return feats.select(*MODEL_READY_COLUMNS)
+
+
+def model_ready_from_panel(panel: DataFrame, clients: DataFrame, ticket_ceiling: float = 5,
+                           trend_floor: float = 0.90) -> DataFrame:
+    """Same result from an already materialised panel: one join adds the static
+    attributes, then the windows run per client."""
+    static = clients.select("client_id", *STATIC_COLUMNS, "services_subscribed")
+    feats = engineer_features(panel.join(static, "client_id", "left"), ticket_ceiling,
+                              trend_floor)
+    return feats.select(*MODEL_READY_COLUMNS)

@@ -61,7 +61,8 @@ def fit_mrr_model(clients: DataFrame, industry_vocab: Sequence[str],
                   target: str = "monthly_recurring_revenue"):
     """OLS of MRR on the regressors over rows where MRR is known.
 
-    Returns (fitted model, assembler, R2 on the training rows)."""
+    Returns (fitted model, assembler); ``model.summary.r2`` is the R2 on the
+    training rows (computed only when read)."""
     feats = ["_size_num", "_num_services"] + [f"_ind_{v}" for v in industry_vocab]
     data = mrr_regressors(clients, industry_vocab)
     assembler = VectorAssembler(inputCols=feats, outputCol="_x")
@@ -70,7 +71,7 @@ def fit_mrr_model(clients: DataFrame, industry_vocab: Sequence[str],
                           solver="normal", regParam=0.0, fitIntercept=True,
                           standardization=False)
     model = lr.fit(train)
-    return model, assembler, model.summary.r2
+    return model, assembler
 
 
 def impute_mrr_ols(clients: DataFrame, industry_vocab: Sequence[str],
@@ -78,7 +79,7 @@ def impute_mrr_ols(clients: DataFrame, industry_vocab: Sequence[str],
     """Fill missing MRR with the regression prediction; known values stay."""
     if clients.where(F.col(target).isNull()).limit(1).count() == 0:
         return clients  # nothing missing: no-op (a rerun must not fail)
-    model, assembler, _ = fit_mrr_model(clients, industry_vocab, target)
+    model, assembler = fit_mrr_model(clients, industry_vocab, target)
     data = assembler.transform(mrr_regressors(clients, industry_vocab))
     scored = model.transform(data)
     helper = [c for c in scored.columns if c.startswith("_")]

@@ -36,11 +36,14 @@ def test_quantiles_match_numpy(spark):
     import numpy as np
     vals = [float(v) for v in np.random.default_rng(7).integers(0, 50, 301)]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "x double, g int")
-    got = {r["g"]: r for r in exact_quantiles(df, "x", {"q1": .25, "q3": .75}, ["g"]).collect()}
-    for g in range(3):
-        sub = np.array(vals[g::3])
-        assert got[g]["q1"] == pytest.approx(np.percentile(sub, 25))
-        assert got[g]["q3"] == pytest.approx(np.percentile(sub, 75))
+    for limit in (0, 100_000):   # distributed prefix path and bounded local finish
+        q = exact_quantiles(df, "x", {"q1": .25, "q3": .75}, ["g"], local_limit=limit)
+        got = {r["g"]: r for r in q.collect()}
+        for g in range(3):
+            sub = np.array(vals[g::3])
+            assert got[g]["n"] == len(sub)
+            assert got[g]["q1"] == pytest.approx(np.percentile(sub, 25))
+            assert got[g]["q3"] == pytest.approx(np.percentile(sub, 75))
 
 
 def test_zero_denominators_and_short_history(spark):
