@@ -68,6 +68,14 @@ def with_index(series: DataFrame) -> DataFrame:
             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("series_id"))))
 
 
+def history_tail(series: DataFrame, months: int = 24) -> DataFrame:
+    """K6: the last ``months`` observations of every series (a top-k per group,
+    pushed below the window by Spark's group limit)."""
+    w = Window.partitionBy("series_id").orderBy(F.desc("year_month"))
+    return (series.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= months)
+            .drop("_r"))
+
+
 def lag_features(series: DataFrame, lags=(1, 2, 3)) -> DataFrame:
     """Lags of the value per series (NULL where history is short)."""
     w = Window.partitionBy("series_id").orderBy("year_month")

@@ -74,6 +74,22 @@ def fit_mrr_model(clients: DataFrame, industry_vocab: Sequence[str],
     return model, assembler
 
 
+def mrr_fit_quality(clients: DataFrame, industry_vocab: Sequence[str],
+                    target: str = "monthly_recurring_revenue") -> DataFrame:
+    """Training-row count and R2 of the MRR regression, one row (the R2 is
+    computed by the executors from the model's predictions)."""
+    model, assembler = fit_mrr_model(clients, industry_vocab, target)
+    train = assembler.transform(mrr_regressors(clients, industry_vocab)
+                                .where(F.col(target).isNotNull()))
+    pred = model.transform(train)
+    mean = pred.agg(F.avg(target).alias("_m")).withColumn("_one", F.lit(1))
+    resid = F.col(target) - F.col("_mrr_pred")
+    dev = F.col(target) - F.col("_m")
+    return (pred.withColumn("_one", F.lit(1)).join(F.broadcast(mean), "_one")   # one row
+            .agg(F.count(F.lit(1)).alias("n_train"),
+                 (F.lit(1.0) - F.sum(resid * resid) / F.sum(dev * dev)).alias("r2")))
+
+
 def impute_mrr_ols(clients: DataFrame, industry_vocab: Sequence[str],
                    target: str = "monthly_recurring_revenue") -> DataFrame:
     """Fill missing MRR with the regression prediction; known values stay."""

@@ -999,3 +999,33 @@ FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2"""),
 def q_incremental_panel(spark, d):
     from ..streaming import incremental_panel as ST
     return ST.run(spark, d)
+
+
+# --------------------------------------------------------------------------
+# small reporting pieces: fit quality, filter lists, recent history
+# --------------------------------------------------------------------------
+@register("impute_mrr_fit", O.sql("""
+SELECT count(*) AS n_train,
+       1.0 - sum((t.y - f.mrr_pred) * (t.y - f.mrr_pred))
+             / sum((t.y - m.my) * (t.y - m.my)) AS r2
+FROM mrr_train t JOIN mrr_fit f USING (client_id),
+     (SELECT avg(y) AS my FROM mrr_train) m""", ["mrr_train", "mrr_fit"]), r6=["r2"])
+def q_impute_mrr_fit(spark, d):
+    return IM.mrr_fit_quality(clients(spark, d), A.INDUSTRY_VOCAB)
+
+
+@register("manager_list", O.sql("""
+SELECT DISTINCT account_manager FROM clients ORDER BY account_manager""", ["clients"]))
+def q_manager_list(spark, d):
+    return clients(spark, d).select("account_manager").distinct().orderBy("account_manager")
+
+
+HISTORY_MONTHS = 24
+
+
+@register("history_tail", O.sql(f"""
+SELECT series_id, year_month, value FROM series
+QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY year_month DESC) <= {HISTORY_MONTHS}""",
+    ["series"]), r2=["value"])
+def q_history_tail(spark, d):
+    return FC.history_tail(series(spark, d), HISTORY_MONTHS)
