@@ -1029,3 +1029,18 @@ QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY year_month DESC) <= {
     ["series"]), r2=["value"])
 def q_history_tail(spark, d):
     return FC.history_tail(series(spark, d), HISTORY_MONTHS)
+
+
+@register("transaction_kind_counts", O.sql("""
+SELECT transaction_type, count(*) AS transactions,
+       count(DISTINCT client_id) AS clients
+FROM transactions
+WHERE transaction_type IN ('invoice', 'payment', 'support-ticket', 'service-upgrade',
+                           'service-downgrade', 'usage-log')
+GROUP BY transaction_type""", ["transactions"]))
+def q_transaction_kind_counts(spark, d):
+    """A20 + P5: rows and distinct clients per known transaction kind."""
+    tx = transactions(spark, d)
+    return (tx.where(F.col("transaction_type").isin(PA.KINDS)).groupBy("transaction_type")
+            .agg(F.count(F.lit(1)).alias("transactions"),
+                 F.countDistinct("client_id").alias("clients")))
