@@ -90,10 +90,27 @@ def product(spark, d, name, build):
         tag = hashlib.sha1(d.encode()).hexdigest()[:10]
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/products/{app}/{tag}/{name}"
         build().write.mode("overwrite").parquet(path)
-        _PRODUCTS[key] = path
-    return spark.read.parquet(_PRODUCTS[key])
+        _PRODUCTS[key] = spark.read.parquet(path)
+    return _PRODUCTS[key]
 
 
+def memo(fn):
+    """Reuse the (lazy) DataFrame a builder returns within one session: plans
+    are immutable, so queries of one family share one plan object instead of
+    rebuilding it column by column."""
+    cache: dict = {}
+
+    def wrapped(spark, d):
+        key = (spark.sparkContext.applicationId, d)
+        if key not in cache:
+            cache[key] = fn(spark, d)
+        return cache[key]
+    wrapped.__name__ = fn.__name__
+    wrapped.__doc__ = fn.__doc__
+    return wrapped
+
+
+@memo
 def clients(spark, d):
     return A.clients_view(spark, d)
 
@@ -103,6 +120,7 @@ def clients_clean(spark, d):
                    lambda: IM.clean_clients(clients(spark, d).persist(), A.INDUSTRY_VOCAB))
 
 
+@memo
 def transactions(spark, d):
     return A.transactions_view(spark, d)
 
@@ -375,15 +393,18 @@ def q_kde_mrr(spark, d):
 # --------------------------------------------------------------------------
 # label, split, fixed-formula score, ranking, metrics
 # --------------------------------------------------------------------------
+@memo
 def labelled(spark, d):
     """Model-ready rows with the 3-month churn label and the client split."""
     return LB.group_split(LB.churn_label(model_ready(spark, d)))
 
 
+@memo
 def latest_features(spark, d):
     return DE.latest_per_client(model_ready(spark, d))
 
 
+@memo
 def scored_latest(spark, d):
     cc = clients_clean(spark, d)
     enc = LB.encode_features(latest_features(spark, d), cc, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
@@ -395,6 +416,7 @@ def ranking(spark, d):
                    lambda: DE.risk_ranking(scored_latest(spark, d), clients_clean(spark, d)))
 
 
+@memo
 def scored_test(spark, d):
     cc = clients_clean(spark, d)
     enc = LB.encode_features(labelled(spark, d), cc, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
@@ -536,6 +558,7 @@ def q_class_report(spark, d):
 USAGE_FLOOR = 20.0   # usage per client-month is far below the reference's 300 here
 
 
+@memo
 def recs(spark, d):
     return DE.recommendations(ranking(spark, d), latest_features(spark, d),
                               usage_floor=USAGE_FLOOR)
@@ -660,6 +683,7 @@ def q_alert_cards(spark, d):
 
 
 # what-if scoring with the formula score
+@memo
 def what_if(spark, d):
     la = DE.latest_active(model_ready(spark, d), clients_clean(spark, d))
     enc = LB.encode_features(la, None, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
@@ -717,6 +741,7 @@ FEATURES = LB.feature_names(A.INDUSTRY_VOCAB, A.REGION_VOCAB)
 _FITTED: dict = {}
 
 
+@memo
 def labelled_encoded(spark, d):
     return LB.encode_features(labelled(spark, d), clients_clean(spark, d), A.INDUSTRY_VOCAB,
                               A.REGION_VOCAB)
@@ -731,6 +756,7 @@ def fitted_models(spark, d):
     return _FITTED[key]
 
 
+@memo
 def model_comparison(spark, d):
     return MD.compare(fitted_models(spark, d), labelled_encoded(spark, d), FEATURES)
 
@@ -765,6 +791,7 @@ def q_risk_ranking_ml(spark, d):
 LAST_COMPLETE_MONTH = "2001-07"
 
 
+@memo
 def series(spark, d):
     return FC.monthly_series(model_ready(spark, d), "region", last_month=LAST_COMPLETE_MONTH)
 
@@ -814,6 +841,7 @@ _ADJ_MONEY = ["baseline_forecast", "ci_lower", "ci_upper", "churn_adjusted_forec
               "expected_mrr_loss"]
 
 
+@memo
 def adjusted_naive(spark, d):
     return FC.churn_adjusted(FC.seasonal_naive(series(spark, d)),
                              FC.expected_loss(ranking(spark, d), clients_clean(spark, d)))
@@ -890,6 +918,7 @@ def q_forecast_model_choice(spark, d):
 # --------------------------------------------------------------------------
 # client rules, billing calendar, top-k, quality report, streaming panel
 # --------------------------------------------------------------------------
+@memo
 def rules(spark, d):
     return CA.client_rules(clients(spark, d), A.WINDOW_START, A.WINDOW_END)
 
