@@ -105,9 +105,18 @@ def model_ready(transactions: DataFrame, clients: DataFrame, ticket_ceiling: flo
 
 def model_ready_from_panel(panel: DataFrame, clients: DataFrame, ticket_ceiling: float = 5,
                            trend_floor: float = 0.90) -> DataFrame:
-    """Same result from an already materialised panel: one join adds the static
-    attributes, then the windows run per client."""
+    """Same result from an already materialised panel.
+
+    Only the churn date joins before the windows, so the sort and the window
+    buffers carry the narrow numeric panel; the wide static attributes join
+    after the windows, onto rows already partitioned by client."""
+    churn = clients.select("client_id", "churn_date")
+    df = truncate_after_churn(panel.join(churn, "client_id", "left"))
+    df = months_since_upgrade(rate_features(trend_features(df))).drop("churn_date")
     static = clients.select("client_id", *STATIC_COLUMNS, "services_subscribed")
-    feats = engineer_features(panel.join(static, "client_id", "left"), ticket_ceiling,
-                              trend_floor)
-    return feats.select(*MODEL_READY_COLUMNS)
+    out = (df.join(static, "client_id", "left")
+           .withColumn("is_declining_engagement_flag",
+                       X.engagement_flag("usage_trend_3mo", "ticket_count", trend_floor,
+                                         ticket_ceiling))
+           .withColumn("services_count", X.services_count("services_subscribed")))
+    return out.select(*MODEL_READY_COLUMNS)
