@@ -925,15 +925,15 @@ def rules(spark, d):
 
 O.cte("client_rules", ["clients"], f"""
 SELECT client_id, contract_type, services_subscribed,
-  COALESCE(CASE contract_type WHEN 'Monthly' THEN 4.0 WHEN 'Annual' THEN 1.0 END, 0.0)
-  + COALESCE(CASE len(string_split(services_subscribed, ';')) WHEN 1 THEN 3.0 WHEN 2 THEN 1.5
-             END, 0.0) AS rule_risk_score,
-  GREATEST(1, (year(COALESCE(churn_date, DATE '{A.WINDOW_END}')) - year(contract_start_date)) * 12
-    + month(COALESCE(churn_date, DATE '{A.WINDOW_END}')) - month(contract_start_date))
-    AS tenure_months,
+  CAST(COALESCE(CASE contract_type WHEN 'Monthly' THEN 4.0 WHEN 'Annual' THEN 1.0 END, 0.0)
+       + COALESCE(CASE len(string_split(services_subscribed, ';')) WHEN 1 THEN 3.0
+                  WHEN 2 THEN 1.5 END, 0.0) AS DOUBLE) AS rule_risk_score,
+  CAST(GREATEST(1, (year(COALESCE(churn_date, DATE '{A.WINDOW_END}')) - year(contract_start_date))
+    * 12 + month(COALESCE(churn_date, DATE '{A.WINDOW_END}')) - month(contract_start_date))
+    AS INTEGER) AS tenure_months,
   active_start, active_end,
-  (year(active_end) - year(active_start)) * 12 + month(active_end) - month(active_start) + 1
-    AS months_active
+  CAST((year(active_end) - year(active_start)) * 12 + month(active_end) - month(active_start) + 1
+       AS INTEGER) AS months_active
 FROM (SELECT *, CASE WHEN s0 > e0 THEN CAST(e0 - INTERVAL 30 DAY AS DATE) ELSE s0 END
                   AS active_start, e0 AS active_end
       FROM (SELECT *, GREATEST(contract_start_date, DATE '{A.WINDOW_START}') AS s0,
