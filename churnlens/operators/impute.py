@@ -144,6 +144,8 @@ def impute_amounts(transactions: DataFrame, clients: DataFrame,
     """
     kind = F.col("transaction_type")
     dim = clients.select("client_id", F.col("monthly_recurring_revenue").alias("_mrr"))
+    # one row per client on the right: a hot client is split by AQE's skew join
+    # (finding hot keys here would cost two extra passes over the derived view)
     j = transactions.join(dim, "client_id", "left")
     amount = (F.when(F.col("amount").isNotNull(), F.col("amount"))
               .when(kind.isin(UPGRADE, DOWNGRADE), F.lit(updown_fill))

@@ -31,3 +31,50 @@ def flag_membership(df: DataFrame, keys: DataFrame, key: str, name: str) -> Data
     """Boolean column telling whether the key is in ``keys``."""
     marked = keys.select(key).distinct().withColumn(name, F.lit(True))
     return df.join(marked, key, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+
+
+# ---------------------------------------------------------------------------
+# Hot keys: split them out of the shuffle
+# ---------------------------------------------------------------------------
+HOT_SHARE = 0.01          # a key holding >= 1 % of the rows is hot
+SAMPLE_ROWS = 1_000_000   # bound on the rows looked at to find hot keys
+
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE,
+             sample_rows: int = SAMPLE_ROWS, seed: int = 17) -> list:
+    """Keys holding at least ``share`` of the rows, estimated from a bounded
+    sample of the key column.  At most 1/share keys can qualify, so the list is
+    bounded by construction (it only steers the physical split, never which
+    rows are kept)."""
+    n = df.count()   # parquet scans answer this from footers
+    if n == 0:
+        return []
+    frac = min(1.0, sample_rows / n)
+    s = df.select(key).where(F.col(key).isNotNull())
+    if frac < 1.0:
+        s = s.sample(fraction=frac, seed=seed)
+    need = max(2, int(share * n * frac))
+    rows = (s.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= need)
+            .limit(int(1 / share) + 1).collect())
+    return [r[key] for r in rows]
+
+
+def split_hot_join(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str,
+                   how: str = "inner", hot: list | None = None) -> DataFrame:
+    """Equi-join a large table to a table with one row per key, keeping hot keys
+    out of the shuffle.
+
+    Rows of hot keys join against the broadcast dimension rows of those keys
+    (at most one row per hot key, so the broadcast is bounded); the remaining
+    rows take the ordinary (sort-merge or AQE-chosen) join.  The union of the
+    two parts is the plain join, whichever keys are picked as hot."""
+    hot = hot_keys(big, big_key) if hot is None else hot
+    cond = lambda b, d: b[big_key] == d[dim_key]
+    if not hot:
+        return big.join(dim, cond(big, dim), how)
+    is_hot = F.coalesce(F.col(big_key).isin(hot), F.lit(False))
+    big_hot, big_cold = big.where(is_hot), big.where(~is_hot)
+    dim_hot = F.broadcast(dim.where(F.col(dim_key).isin(hot)))
+    dim_cold = dim.where(~F.coalesce(F.col(dim_key).isin(hot), F.lit(False)))
+    return (big_hot.join(dim_hot, cond(big_hot, dim_hot), how)
+            .unionByName(big_cold.join(dim_cold, cond(big_cold, dim_cold), how)))

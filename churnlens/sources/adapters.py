@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from ..operators.joins import split_hot_join
 from .io import read_table
 
 # ---------------------------------------------------------------------------
@@ -116,9 +117,10 @@ def transactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_transactions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Union of order-derived rows (invoice + payment) and line-derived rows.
 
-    A line reaches its client through its order.  The join is a plain equi-join
-    on the order key: Spark sort-merges it (AQE splits a hot order key) or
-    broadcasts orders when AQE measures it small.
+    A line reaches its client through its order.  Order keys that hold a large
+    share of the lines are split out and joined against the broadcast order
+    rows of just those keys; all other lines take the ordinary equi-join
+    (sort-merge at scale, broadcast when AQE measures orders small).
     """
     ok = F.col("o_orderkey")
     amount = F.when(ok % 8 == 0, F.lit(None).cast("double")).otherwise(F.col("o_totalprice"))
@@ -139,8 +141,9 @@ def build_transactions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.lit(None).cast("double").alias("usage_units"),
         F.lit(0).alias("notes_flag"),
     )
-    li = lineitem.join(orders.select("o_orderkey", "o_custkey"),
-                       lineitem.l_orderkey == orders.o_orderkey)
+    # hot order keys (if any) join against a bounded broadcast, the rest shuffles
+    li = split_hot_join(lineitem, orders.select("o_orderkey", "o_custkey"),
+                        "l_orderkey", "o_orderkey")
     status, flag = F.col("l_linestatus"), F.col("l_returnflag")
     line_kind = (F.when(status == "F", "usage-log").when(flag == "R", "support-ticket")
                  .when(flag == "A", "service-upgrade").otherwise("service-downgrade"))

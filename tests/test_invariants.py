@@ -16,7 +16,8 @@ from .conftest import SF_SMALL
 
 
 def _sorted(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()),
+                  key=lambda r: tuple((x is None, x if x is not None else 0) for x in r))
 
 
 def test_prefix_sums_match_cumsum(spark):
@@ -62,3 +63,16 @@ def test_no_client_in_both_splits(spark):
     assert both.count() == 0
     share = s.where("split = 'test'").count() / s.count()
     assert 0.2 < share < 0.3
+
+
+def test_split_hot_join_equals_plain_join(spark):
+    from churnlens.operators.joins import hot_keys, split_hot_join
+    big = spark.createDataFrame([(1 if i % 3 == 0 else i % 50, i) for i in range(3000)]
+                                + [(None, -1)], "k long, v long")
+    dim = spark.createDataFrame([(k, k * 10) for k in range(0, 40)], "dk long, w long")
+    assert 1 in hot_keys(big, "k", share=0.2)
+    for how in ("inner", "left"):
+        a = _sorted(split_hot_join(big, dim, "k", "dk", how, hot=[1]))
+        b = _sorted(big.join(dim, big.k == dim.dk, how))
+        c = _sorted(split_hot_join(big, dim, "k", "dk", how))
+        assert a == b == c
