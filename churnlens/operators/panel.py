@@ -86,7 +86,12 @@ def client_month_panel(transactions: DataFrame, clients: DataFrame | None = None
     With ``clients`` = None no MRR fill happens (missing amounts add 0).  An
     unknown client or a NULL MRR also adds 0, as a failed dict lookup does.
     """
-    p = partial_panel(transactions, updown_fill)
+    return finish_panel(partial_panel(transactions, updown_fill), clients, carry)
+
+
+def finish_panel(p: DataFrame, clients: DataFrame | None = None,
+                 carry: Sequence[str] = ()) -> DataFrame:
+    """MRR fill (one join of client-month partials to clients) and zero fill."""
     if clients is not None:
         dim = clients.select("client_id", F.col("monthly_recurring_revenue").alias("_mrr"),
                              *carry)
@@ -107,6 +112,8 @@ def client_month_panel(transactions: DataFrame, clients: DataFrame | None = None
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:
-    """A2: sum panel partials that share a key (chunk / micro-batch merge)."""
-    return (partials.groupBy(*KEYS)
-            .agg(*[F.sum(c).alias(c) for c in PANEL_COLUMNS]))
+    """A2: sum partials that share a key (chunk / micro-batch merge).  Works on
+    finished panels and on ``partial_panel`` output (its fill counters are sums
+    too, so the MRR fill can run once after the merge)."""
+    cols = [c for c in partials.columns if c not in KEYS]
+    return partials.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in cols])

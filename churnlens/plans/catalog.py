@@ -1073,3 +1073,10 @@ def q_transaction_kind_counts(spark, d):
     return (tx.where(F.col("transaction_type").isin(PA.KINDS)).groupBy("transaction_type")
             .agg(F.count(F.lit(1)).alias("transactions"),
                  F.countDistinct("client_id").alias("clients")))
+
+
+@register("incremental_client_panel", O.sql("SELECT * FROM panel", ["panel"]), r2=MONEY_PANEL)
+def q_incremental_client_panel(spark, d):
+    """ST1: the client-month panel from two file streams (orders, lines)."""
+    from ..streaming import incremental_panel as ST
+    return ST.run_client_panel(spark, d, clients_clean(spark, d))

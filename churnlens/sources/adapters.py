@@ -115,19 +115,18 @@ def transactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_transactions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Union of order-derived rows (invoice + payment) and line-derived rows.
+    """Union of order-derived rows (invoice + payment) and line-derived rows."""
+    return order_transactions(orders).unionByName(line_transactions(orders, lineitem))
 
-    A line reaches its client through its order.  Order keys that hold a large
-    share of the lines are split out and joined against the broadcast order
-    rows of just those keys; all other lines take the ordinary equi-join
-    (sort-merge at scale, broadcast when AQE measures orders small).
-    """
+
+def order_transactions(orders: DataFrame) -> DataFrame:
+    """Each order is one invoice and one payment."""
     ok = F.col("o_orderkey")
     amount = F.when(ok % 8 == 0, F.lit(None).cast("double")).otherwise(F.col("o_totalprice"))
     kind = F.explode(F.array(F.lit("invoice"), F.lit("payment"))).alias("transaction_type")
     order_rows = orders.select(ok, "o_custkey", "o_orderdate", "o_orderstatus", amount.alias("a"),
                                kind)
-    order_rows = order_rows.select(
+    return order_rows.select(
         F.concat(F.when(F.col("transaction_type") == "invoice", "INV-").otherwise("PAY-"),
                  ok.cast("string")).alias("transaction_id"),
         F.col("o_custkey").alias("client_id"),
@@ -141,7 +140,15 @@ def build_transactions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.lit(None).cast("double").alias("usage_units"),
         F.lit(0).alias("notes_flag"),
     )
-    # hot order keys (if any) join against a bounded broadcast, the rest shuffles
+
+
+def line_transactions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Each line is a usage log, ticket, upgrade or downgrade of its order's client.
+
+    Order keys that hold a large share of the lines are split out and joined
+    against the broadcast order rows of just those keys; all other lines take
+    the ordinary equi-join (sort-merge at scale, broadcast when AQE measures
+    orders small)."""
     li = split_hot_join(lineitem, orders.select("o_orderkey", "o_custkey"),
                         "l_orderkey", "o_orderkey")
     status, flag = F.col("l_linestatus"), F.col("l_returnflag")
@@ -162,4 +169,4 @@ def build_transactions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.when(status == "F", F.col("l_quantity")).alias("usage_units"),
         (F.col("l_quantity") > 40).cast("int").alias("notes_flag"),
     )
-    return order_rows.unionByName(line_rows)
+    return line_rows

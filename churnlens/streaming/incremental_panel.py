@@ -65,3 +65,41 @@ def run(spark: SparkSession, source_dir: str, pattern: str = "events.parquet",
     q.awaitTermination()
     partials = guarded_read(spark, out_path, PARTIAL_SCHEMA)
     return merge(partials)
+
+
+# ---------------------------------------------------------------------------
+# The client-month panel itself, built incrementally from the fact tables
+# ---------------------------------------------------------------------------
+def run_client_panel(spark: SparkSession, source_dir: str, clients: DataFrame,
+                     files_per_batch: int = 1, work_dir: str | None = None) -> DataFrame:
+    """ST1 on the transactions: orders and line files arrive as two file
+    streams; every micro-batch is turned into transactions, folded to
+    client-month partials (``partial_panel``) and appended under its epoch.
+    The final panel merges the partials and applies the MRR fill once, so it
+    equals the batch ``client_month_panel``.  Lines find their client through
+    the (static) orders table: a stream-static join inside each batch."""
+    from ..operators import panel as PA
+    from ..sources import adapters as A
+    from ..sources.io import read_table
+
+    base = work_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/panel-{uuid.uuid4().hex}"
+    orders_static = read_table(spark, source_dir, "orders")
+    sources = {
+        "orders": A.order_transactions,
+        "lineitem": lambda b: A.line_transactions(orders_static, b),
+    }
+    for name, to_tx in sources.items():
+        schema = read_table(spark, source_dir, name).schema
+
+        def write_batch(batch: DataFrame, epoch: int, name=name, to_tx=to_tx) -> None:
+            (PA.partial_panel(to_tx(batch)).write.mode("overwrite")
+             .parquet(f"{base}/partials/source={name}/epoch={epoch}"))
+
+        q = (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+             .option("maxFilesPerTrigger", files_per_batch).parquet(source_dir)
+             .writeStream.foreachBatch(write_batch)
+             .option("checkpointLocation", f"{base}/checkpoint-{name}")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    partials = spark.read.parquet(f"{base}/partials").drop("source", "epoch")
+    return PA.finish_panel(PA.merge_partials(partials), clients)

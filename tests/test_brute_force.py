@@ -110,3 +110,16 @@ def test_ledger_filters(spark):
     assert ids(DE.risk_ledger(ranking, tiers=["High", "Medium"], managers=["Bob"])) == [3]
     row = DE.risk_ledger(ranking, search="Acme Corp").first()
     assert row["MRR ($)"] == "$10.00" and row["Churn Probability"] == "80.0%"
+
+
+def test_streamed_client_panel_equals_batch(spark):
+    from churnlens.operators import panel as PA
+    from churnlens.sources import adapters as A
+    clients = A.clients_view(spark, SF_SMALL)
+    streamed = ST.run_client_panel(spark, SF_SMALL, clients)
+    batch = PA.client_month_panel(A.transactions_view(spark, SF_SMALL), clients)
+    a = sorted(tuple(r) for r in streamed.collect())
+    b = sorted(tuple(r) for r in batch.collect())
+    assert len(a) == len(b) > 0
+    for x, y in zip(a, b):
+        assert x[:2] == y[:2] and x[2:] == pytest.approx(y[2:])
