@@ -69,6 +69,24 @@ def group_split(df: DataFrame, key: str = "client_id", test_percent: int = TEST_
     return df.withColumn("split", F.when(bucket < test_percent, "test").otherwise("train"))
 
 
+def group_split_exact(df: DataFrame, key: str = "client_id",
+                      test_share: float = TEST_PERCENT / 100.0,
+                      seed: int = SPLIT_SEED) -> DataFrame:
+    """M2, exact-count variant: of the n distinct clients, exactly
+    ceil(test_share * n) go to test (as a group shuffle split does), chosen by
+    their hash order.  The rank is a distributed running count over the
+    distinct clients, and the per-client split joins back on the key."""
+    from .ordering import prefix_sums
+    keys = df.select(key).distinct().withColumn(
+        "_h", F.pmod(F.col(key) * 7919 + seed, F.lit(10007)))
+    ranked = prefix_sums(keys, [F.col("_h"), F.col(key)], {}, "_rank")
+    n = keys.agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
+    split = (ranked.withColumn("_one", F.lit(1)).join(F.broadcast(n), "_one")   # one row
+             .select(key, F.when(F.col("_rank") <= F.ceil(F.col("_n") * test_share), "test")
+                     .otherwise("train").alias("split")))
+    return df.join(split, key, "left")
+
+
 def encode_features(df: DataFrame, clients: DataFrame, industry_vocab: Sequence[str],
                     region_vocab: Sequence[str]) -> DataFrame:
     """J2 + F7 + F8: the client's MRR, ordinal size/contract, one-hot industry and

@@ -1080,3 +1080,13 @@ def q_incremental_client_panel(spark, d):
     """ST1: the client-month panel from two file streams (orders, lines)."""
     from ..streaming import incremental_panel as ST
     return ST.run_client_panel(spark, d, clients_clean(spark, d))
+
+
+@register("group_split_exact", O.sql("""
+SELECT client_id,
+       CASE WHEN row_number() OVER (ORDER BY (client_id * 7919 + 42) % 10007, client_id)
+                 <= ceil(count(*) OVER () * 0.25) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT DISTINCT client_id FROM model_ready)""", ["model_ready"]))
+def q_group_split_exact(spark, d):
+    """M2 exact count: 25 % of the clients (rounded up) in test, per client."""
+    return LB.group_split_exact(model_ready(spark, d).select("client_id").distinct())
