@@ -77,8 +77,10 @@ def group_split_exact(df: DataFrame, key: str = "client_id",
     their hash order.  The rank is a distributed running count over the
     distinct clients, and the per-client split joins back on the key."""
     from .ordering import prefix_sums
-    keys = df.select(key).distinct().withColumn(
-        "_h", F.pmod(F.col(key) * 7919 + seed, F.lit(10007)))
+    is_num = isinstance(df.schema[key].dataType, NumericType)
+    h = (F.pmod(F.col(key) * 7919 + seed, F.lit(10007)) if is_num
+         else F.xxhash64(key, F.lit(seed)))
+    keys = df.select(key).distinct().withColumn("_h", h)
     ranked = prefix_sums(keys, [F.col("_h"), F.col(key)], {}, "_rank")
     n = keys.agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
     split = (ranked.withColumn("_one", F.lit(1)).join(F.broadcast(n), "_one")   # one row

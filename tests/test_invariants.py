@@ -76,3 +76,13 @@ def test_split_hot_join_equals_plain_join(spark):
         b = _sorted(big.join(dim, big.k == dim.dk, how))
         c = _sorted(split_hot_join(big, dim, "k", "dk", how))
         assert a == b == c
+
+
+def test_exact_split_counts(spark):
+    df = spark.range(0, 1001).withColumnRenamed("id", "client_id")
+    s = LB.group_split_exact(df.unionByName(df))
+    per = s.groupBy("client_id").agg(F.countDistinct("split").alias("n"))
+    assert per.where("n > 1").count() == 0
+    assert s.select("client_id", "split").distinct().where("split = 'test'").count() == 251
+    strs = spark.createDataFrame([(f"C{i:04d}",) for i in range(40)], "client_id string")
+    assert LB.group_split_exact(strs).where("split = 'test'").count() == 10
