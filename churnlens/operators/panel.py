@@ -66,7 +66,11 @@ def partial_panel(transactions: DataFrame, updown_fill: float = UPDOWN_FILL) ->
         _sum_if(kind == UPGRADE, F.coalesce(amt, F.lit(updown_fill))).alias("upgrade_amt"),
         _sum_if(kind == DOWNGRADE, F.coalesce(amt, F.lit(updown_fill))).alias("downgrade_amt"),
     ]
-    return t.groupBy("client_id", month_key("transaction_date").alias("year_month")).agg(*aggs)
+    # group on the month's first day (a 4-byte date) and format the label once
+    # per client-month after the aggregate instead of once per transaction
+    out = t.groupBy("client_id", F.trunc("transaction_date", "MM").alias("_month")).agg(*aggs)
+    return out.select("client_id", month_key("_month").alias("year_month"),
+                      *[c for c in out.columns if c not in ("client_id", "_month")])
 
 
 PANEL_COLUMNS = [
