@@ -1,47 +1,47 @@
 """Registered queries: each is (spark, sf_dir) -> DataFrame over the driver
-tables, with a DuckDB twin in ``ORACLE`` where the result is SQL-expressible.
+tables, with a DuckDB twin (``Query.sql``) where the result is SQL-expressible.
 
-Floating columns are rounded to a fixed scale in both engines (money to 4,
-ratios to 6) so that summation order cannot change the compared values.
+Floating columns are rounded to a fixed scale in both engines (``r4``: money,
+4 places; ``r6``: ratios, 6 places; ``scales``: other) so that summation order
+cannot change the compared values.
 """
 
 from __future__ import annotations
 
 import hashlib
-
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
+from ..operators import calendar as CA
+from ..operators import decisions as DE
 from ..operators import features as FE
+from ..operators import forecast as FC
 from ..operators import impute as IM
-from ..operators import panel as PA
-from ..operators import profile as PR
 from ..operators import labels as LB
 from ..operators import metrics as MT
-from ..operators import decisions as DE
 from ..operators import models as MD
-from ..operators import forecast as FC
-from ..operators import calendar as CA
+from ..operators import panel as PA
+from ..operators import profile as PR
 from ..operators import quality as QA
+from ..session import ensure_checkpoint_dir
 from ..sources import adapters as A
 from . import oracle as O
-from ..session import ensure_checkpoint_dir
-from ..functions import expr as X
 
 
 @dataclass
 class Query:
     fn: Callable[[SparkSession, str], DataFrame]
     sql: str | None = None
-    r2: list[str] = field(default_factory=list)
+    r4: list[str] = field(default_factory=list)
     r6: list[str] = field(default_factory=list)
     scales: dict[str, int] = field(default_factory=dict)
 
     def _scales(self) -> dict[str, int]:
-        out = {c: 4 for c in self.r2}
+        out = {c: 4 for c in self.r4}
         out.update({c: 6 for c in self.r6})
         out.update(self.scales)
         return out
@@ -63,9 +63,9 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, sql: str | None = None, r2=(), r6=(), scales=None):
+def register(name: str, sql: str | None = None, r4=(), r6=(), scales=None):
     def deco(fn):
-        REGISTRY[name] = Query(fn, sql, list(r2), list(r6), dict(scales or {}))
+        REGISTRY[name] = Query(fn, sql, list(r4), list(r6), dict(scales or {}))
         return fn
     return deco
 
@@ -195,7 +195,7 @@ def q_impute_delay_median(spark, d):
 
 @register("impute_mrr_ols", O.sql("""
 SELECT client_id, monthly_recurring_revenue FROM clients_clean""", ["clients_clean"]),
-    r2=["monthly_recurring_revenue"])
+    r4=["monthly_recurring_revenue"])
 def q_impute_mrr_ols(spark, d):
     return IM.impute_mrr_ols(clients(spark, d), A.INDUSTRY_VOCAB).select(
         "client_id", "monthly_recurring_revenue")
@@ -210,12 +210,12 @@ SELECT 'median', avg(COALESCE(monthly_recurring_revenue, m)),
 FROM clients, (SELECT median(monthly_recurring_revenue) AS m FROM clients)
 UNION ALL
 SELECT 'regression', avg(monthly_recurring_revenue), stddev_samp(monthly_recurring_revenue)
-FROM clients_clean""", ["clients", "clients_clean"]), r2=["mean", "std"])
+FROM clients_clean""", ["clients", "clients_clean"]), r4=["mean", "std"])
 def q_impute_compare(spark, d):
     return IM.impute_compare(clients(spark, d), A.INDUSTRY_VOCAB)
 
 
-@register("impute_amounts", O.sql("SELECT * FROM tx_filled", ["tx_filled"]), r2=["amount"])
+@register("impute_amounts", O.sql("SELECT * FROM tx_filled", ["tx_filled"]), r4=["amount"])
 def q_impute_amounts(spark, d):
     return IM.impute_amounts(transactions(spark, d), clients_clean(spark, d))
 
@@ -223,7 +223,7 @@ def q_impute_amounts(spark, d):
 # --------------------------------------------------------------------------
 # panel and features
 # --------------------------------------------------------------------------
-@register("client_month_panel", O.sql("SELECT * FROM panel", ["panel"]), r2=MONEY_PANEL)
+@register("client_month_panel", O.sql("SELECT * FROM panel", ["panel"]), r4=MONEY_PANEL)
 def q_client_month_panel(spark, d):
     return panel(spark, d)
 
@@ -246,14 +246,14 @@ def q_rate_features(spark, d):
 
 @register("months_since_upgrade", O.sql("""
 SELECT client_id, year_month, upgrade_amt, months_since_last_upgrade FROM model_ready""",
-    ["model_ready"]), r2=["upgrade_amt"])
+    ["model_ready"]), r4=["upgrade_amt"])
 def q_months_since_upgrade(spark, d):
     return model_ready(spark, d).select("client_id", "year_month", "upgrade_amt",
                                         "months_since_last_upgrade")
 
 
 @register("model_ready", O.sql("SELECT * FROM model_ready", ["model_ready"]),
-          r2=MONEY_PANEL, r6=RATIOS)
+          r4=MONEY_PANEL, r6=RATIOS)
 def q_model_ready(spark, d):
     return model_ready(spark, d)
 
@@ -296,7 +296,7 @@ SELECT year_month,
             ELSE 'active' END AS churn_status,
        sum(invoiced_amt) AS revenue
 FROM model_ready GROUP BY ROLLUP (year_month, is_churned) HAVING year_month IS NOT NULL""",
-    ["model_ready"]), r2=["revenue"])
+    ["model_ready"]), r4=["revenue"])
 def q_monthly_revenue_by_status(spark, d):
     return PR.monthly_revenue_by_status(model_ready(spark, d))
 
@@ -355,7 +355,7 @@ FROM (SELECT client_id, monthly_recurring_revenue,
 
 
 @register("lorenz_curve", O.sql("SELECT * FROM lorenz", ["lorenz"]),
-          r2=["monthly_recurring_revenue"], r6=["cum_client_share", "cum_revenue_share"])
+          r4=["monthly_recurring_revenue"], r6=["cum_client_share", "cum_revenue_share"])
 def q_lorenz_curve(spark, d):
     return PR.lorenz_curve(clients_clean(spark, d))
 
@@ -385,7 +385,7 @@ JOIN (SELECT is_churned, n, h, lo - 3 * h AS g0, (hi - lo + 6 * h) / 199.0 AS dg
             FROM clients_clean WHERE monthly_recurring_revenue IS NOT NULL GROUP BY 1)) s
   USING (is_churned),
   (SELECT CAST(range AS INTEGER) AS grid_index FROM range(0, 200)) g
-GROUP BY is_churned, grid_index""", ["clients_clean"]), r2=["x"], scales={"density": 12})
+GROUP BY is_churned, grid_index""", ["clients_clean"]), r4=["x"], scales={"density": 12})
 def q_kde_mrr(spark, d):
     return PR.kde(clients_clean(spark, d))
 
@@ -487,14 +487,14 @@ def q_group_split(spark, d):
 
 @register("latest_per_client", O.sql("""
 SELECT client_id, year_month, invoiced_amt, sla_breach_rate FROM latest""", ["latest"]),
-    r2=["invoiced_amt"], r6=["sla_breach_rate"])
+    r4=["invoiced_amt"], r6=["sla_breach_rate"])
 def q_latest_per_client(spark, d):
     return latest_features(spark, d).select("client_id", "year_month", "invoiced_amt",
                                             "sla_breach_rate")
 
 
 @register("risk_ranking", O.sql("SELECT * FROM ranking", ["ranking"]),
-          r2=["monthly_recurring_revenue"], r6=["predicted_churn_probability"])
+          r4=["monthly_recurring_revenue"], r6=["predicted_churn_probability"])
 def q_risk_ranking(spark, d):
     return ranking(spark, d).orderBy(F.desc_nulls_last("predicted_churn_probability"),
                                      "client_id")
@@ -602,7 +602,7 @@ FROM (SELECT r.*, f.sla_breach_rate, f.nps_score, {_ISSUE} AS primary_issue
 
 
 @register("recommendations", O.sql("SELECT * FROM recs", ["recs"]),
-          r2=["monthly_recurring_revenue", "expected_revenue_saved"],
+          r4=["monthly_recurring_revenue", "expected_revenue_saved"],
           r6=["predicted_probability"])
 def q_recommendations(spark, d):
     return recs(spark, d)
@@ -631,7 +631,7 @@ SELECT count(*) FILTER (WHERE hit) AS total_clients_targeted,
          ELSE 0.0 END >= {DE.TARGET_RELATIVE_REDUCTION} AS target_achieved
 FROM (SELECT *, predicted_churn_probability >= {DE.TARGET_PROBABILITY} AS hit
       FROM ranking WHERE NOT is_churned)""", ["ranking"]),
-    r2=["total_mrr_at_risk", "projected_mrr_saved"],
+    r4=["total_mrr_at_risk", "projected_mrr_saved"],
     r6=["baseline_churn_rate", "new_churn_rate", "absolute_churn_reduction",
         "relative_churn_reduction"])
 def q_retention_impact(spark, d):
@@ -655,7 +655,7 @@ SELECT count(*) AS total_clients, count(*) FILTER (WHERE NOT is_churned) AS acti
        count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'Medium') AS medium_risk_clients,
        count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'Low') AS low_risk_clients
 FROM ranking""", ["ranking"]),
-    r2=["total_active_mrr", "mrr_at_risk"],
+    r4=["total_active_mrr", "mrr_at_risk"],
     r6=["historical_churn_pct", "active_avg_risk_pct", "mrr_at_risk_pct"])
 def q_kpi_block(spark, d):
     return DE.kpi_block(ranking(spark, d))
@@ -726,7 +726,7 @@ SELECT scenario, count(*) AS num_active_clients, avg(base_p) AS base_avg_prob,
          AS target_progress,
        (sum(mrr * base_p) - sum(mrr * mod_p)) * 12 AS annual_mrr_retained
 FROM what_if_rows GROUP BY scenario""", ["what_if_rows"]),
-    r2=["base_expected_mrr_loss", "mod_expected_mrr_loss", "mrr_retained",
+    r4=["base_expected_mrr_loss", "mod_expected_mrr_loss", "mrr_retained",
         "annual_mrr_retained"],
     r6=["base_avg_prob", "mod_avg_prob", "churn_rate_reduction_pct", "relative_reduction_pct",
         "target_progress"])
@@ -847,7 +847,7 @@ def adjusted_naive(spark, d):
                              FC.expected_loss(ranking(spark, d), clients_clean(spark, d)))
 
 
-@register("monthly_series", O.sql("SELECT * FROM series", ["series"]), r2=["value"])
+@register("monthly_series", O.sql("SELECT * FROM series", ["series"]), r4=["value"])
 def q_monthly_series(spark, d):
     return series(spark, d)
 
@@ -856,7 +856,7 @@ def q_monthly_series(spark, d):
 SELECT series_id, year_month, value,
        lag(value, 1) OVER w AS lag1, lag(value, 2) OVER w AS lag2, lag(value, 3) OVER w AS lag3
 FROM series WINDOW w AS (PARTITION BY series_id ORDER BY year_month)""", ["series"]),
-    r2=["value", "lag1", "lag2", "lag3"])
+    r4=["value", "lag1", "lag2", "lag3"])
 def q_lag_features(spark, d):
     return FC.lag_features(series(spark, d))
 
@@ -865,13 +865,13 @@ def q_lag_features(spark, d):
 SELECT series_id, sqrt(avg((value - prev) * (value - prev))) AS rmse,
        avg(abs(CASE WHEN value = 0 THEN NULL ELSE (value - prev) / value END)) * 100 AS mape
 FROM series_idx WHERE t > n - {FC.HOLDOUT} GROUP BY series_id""", ["series_idx"]),
-    r2=["rmse"], r6=["mape"])
+    r4=["rmse"], r6=["mape"])
 def q_naive_backtest_metrics(spark, d):
     return FC.backtest_metrics(FC.seasonal_naive(series(spark, d)))
 
 
 @register("churn_adjusted_forecast", O.sql("SELECT * FROM adjusted", ["adjusted"]),
-          r2=_ADJ_MONEY)
+          r4=_ADJ_MONEY)
 def q_churn_adjusted_forecast(spark, d):
     return adjusted_naive(spark, d)
 
@@ -892,7 +892,7 @@ def q_forecast_table(spark, d):
 SELECT series_id, sum(churn_adjusted_forecast) AS next_12m_revenue,
        max(expected_mrr_loss) AS peak_monthly_loss
 FROM adjusted GROUP BY series_id""", ["adjusted"]),
-    r2=["next_12m_revenue", "peak_monthly_loss"])
+    r4=["next_12m_revenue", "peak_monthly_loss"])
 def q_horizon_total(spark, d):
     return FC.horizon_total(adjusted_naive(spark, d))
 
@@ -1024,7 +1024,7 @@ SELECT user_id AS client_id, strftime(ts, '%Y-%m') AS year_month, count(*) AS ev
        count(*) FILTER (WHERE event_type = 'error') AS error_count,
        count(*) FILTER (WHERE event_type = 'signup') AS signup_count
 FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2"""),
-    r2=["value_sum", "purchase_value"])
+    r4=["value_sum", "purchase_value"])
 def q_incremental_panel(spark, d):
     from ..streaming import incremental_panel as ST
     return ST.run(spark, d)
@@ -1036,9 +1036,9 @@ def q_incremental_panel(spark, d):
 @register("impute_mrr_fit", O.sql("""
 SELECT count(*) AS n_train,
        1.0 - sum((t.y - f.mrr_pred) * (t.y - f.mrr_pred))
-             / sum((t.y - m.my) * (t.y - m.my)) AS r2
+             / sum((t.y - m.my) * (t.y - m.my)) AS r4
 FROM mrr_train t JOIN mrr_fit f USING (client_id),
-     (SELECT avg(y) AS my FROM mrr_train) m""", ["mrr_train", "mrr_fit"]), r6=["r2"])
+     (SELECT avg(y) AS my FROM mrr_train) m""", ["mrr_train", "mrr_fit"]), r6=["r4"])
 def q_impute_mrr_fit(spark, d):
     return IM.mrr_fit_quality(clients(spark, d), A.INDUSTRY_VOCAB)
 
@@ -1055,7 +1055,7 @@ HISTORY_MONTHS = 24
 @register("history_tail", O.sql(f"""
 SELECT series_id, year_month, value FROM series
 QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY year_month DESC) <= {HISTORY_MONTHS}""",
-    ["series"]), r2=["value"])
+    ["series"]), r4=["value"])
 def q_history_tail(spark, d):
     return FC.history_tail(series(spark, d), HISTORY_MONTHS)
 
@@ -1075,7 +1075,7 @@ def q_transaction_kind_counts(spark, d):
                  F.countDistinct("client_id").alias("clients")))
 
 
-@register("incremental_client_panel", O.sql("SELECT * FROM panel", ["panel"]), r2=MONEY_PANEL)
+@register("incremental_client_panel", O.sql("SELECT * FROM panel", ["panel"]), r4=MONEY_PANEL)
 def q_incremental_client_panel(spark, d):
     """ST1: the client-month panel from two file streams (orders, lines)."""
     from ..streaming import incremental_panel as ST
