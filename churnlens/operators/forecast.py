@@ -270,6 +270,19 @@ def choose_model(metrics: DataFrame) -> DataFrame:
                "holt_winters").otherwise("gbt_lags").alias("model"))
 
 
+def chosen_forecast(hw: DataFrame, gbt: DataFrame) -> DataFrame:
+    """T7 -> T8: per series, the future rows of the model with the lower
+    backtest MAPE (Holt-Winters on a tie of missing metrics)."""
+    preds = (hw.drop("alpha", "gamma").withColumn("model", F.lit("holt_winters"))
+             .unionByName(gbt.withColumn("model", F.lit("gbt_lags"))))
+    # both fits feed two consumers (metrics, rows): materialise once in the
+    # shared checkpoint folder (a few rows per series) instead of refitting
+    preds = preds.checkpoint()
+    choice = choose_model(backtest_metrics(preds)).select("series_id", "model")
+    # one row per series on the right: small, joined by key
+    return preds.join(choice, ["series_id", "model"], "inner")
+
+
 def expected_loss(ranking: DataFrame, clients: DataFrame, series_col: str | None = "region",
                   include_total: bool = True) -> DataFrame:
     """A11 per series: sum of MRR x p over active clients."""
@@ -301,8 +314,9 @@ def churn_adjusted(forecast: DataFrame, losses: DataFrame, z: float = Z95) -> Da
     f = forecast.where(F.col("kind") == "forecast").join(losses, "series_id", "left")
     band = F.lit(z) * F.col("resid_std") * F.sqrt(F.col("h").cast("double"))
     loss = F.coalesce(F.col("expected_loss"), F.lit(0.0)) * loss_ramp(F.col("h"))
+    extra = ["model"] if "model" in forecast.columns else []
     return f.select(
-        "series_id", "year_month", F.col("prediction").alias("baseline_forecast"),
+        "series_id", "year_month", *extra, F.col("prediction").alias("baseline_forecast"),
         (F.col("prediction") - band).alias("ci_lower"),
         (F.col("prediction") + band).alias("ci_upper"),
         (F.col("prediction") - loss).alias("churn_adjusted_forecast"),

@@ -1090,3 +1090,12 @@ FROM (SELECT DISTINCT client_id FROM model_ready)""", ["model_ready"]))
 def q_group_split_exact(spark, d):
     """M2 exact count: 25 % of the clients (rounded up) in test, per client."""
     return LB.group_split_exact(model_ready(spark, d).select("client_id").distinct())
+
+
+@register("revenue_forecast")
+def q_revenue_forecast(spark, d):
+    """T2-T11 end to end: per series the better backtested model (Holt-Winters or
+    pooled GBT lags), its 12-month forecast with bands and the churn ramp."""
+    s = series(spark, d)
+    best = FC.chosen_forecast(FC.holt_winters(s), FC.gbt_lags(s))
+    return FC.churn_adjusted(best, FC.expected_loss(ranking(spark, d), clients_clean(spark, d)))
