@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import bounded_broadcast
+
 
 def _partitions(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -68,6 +70,7 @@ def value_counts(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> D
 
 
 LOCAL_LIMIT = 100_000
+GROUP_BROADCAST_LIMIT = 100_000
 
 
 def _local_quantiles(spark, rows, group_cols, value, probs, schema):
@@ -122,7 +125,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
     cum = prefix_sums(counts, [*group_cols, value], {"_cum": F.col("_c")}, "_pos", partitions)
     gstats = cum.groupBy(*group_cols).agg(F.min(F.col("_cum") - F.col("_c")).alias("_gstart"),
                                           F.sum("_c").alias("n"))
-    joined = cum.join(gstats, list(group_cols), "inner")
+    # one row per group: broadcast when the group count is small (checked), so a
+    # group holding most of the values never funnels through one join task
+    joined = cum.join(bounded_broadcast(gstats, GROUP_BROADCAST_LIMIT), list(group_cols), "inner")
     start = F.col("_cum") - F.col("_c") - F.col("_gstart")   # values before this one
     end = F.col("_cum") - F.col("_gstart")
     aggs = [F.first("n").alias("n")]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from .joins import bounded_broadcast
 from .ordering import exact_quantiles, prefix_sums
 
 SEGMENTS = ["industry", "client_size", "contract_type", "region"]
@@ -83,7 +84,9 @@ def box_summary(clients: DataFrame, metrics: Sequence[str] = BOX_METRICS,
         for m in metrics])).alias("m")).select(by, "m.metric", "m.value")
     q = exact_quantiles(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["metric", by])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = long.where(F.col("value").isNotNull()).join(q, ["metric", by])
+    # one row per (metric, status): broadcast behind a row-count check
+    j = long.where(F.col("value").isNotNull()).join(bounded_broadcast(q, 100_000),
+                                                    ["metric", by])
     lo_fence = F.col("q1") - 1.5 * F.col("iqr")
     hi_fence = F.col("q3") + 1.5 * F.col("iqr")
     return (j.groupBy("metric", by)
