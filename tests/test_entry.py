@@ -44,3 +44,12 @@ def test_matches_duckdb(spark, name):
     hs, _ = oc.digest([tuple(r) for r in df.collect()], df.columns)
     hd, _ = oc.digest(res.fetchall(), dcols)
     assert hs == hd
+
+
+def test_rounded_columns_named_in_sql():
+    from churnlens.plans.catalog import REGISTRY
+    for name, q in REGISTRY.items():
+        if q.sql is None:
+            continue
+        for col in q._scales():
+            assert col in q.sql, (name, col)
