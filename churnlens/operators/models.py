@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -93,7 +94,11 @@ def fit_models(labelled: DataFrame, features: Sequence[str],
     train = class_weights(prepare(labelled.where(F.col("split") == "train"), features)).persist()
     n = train.agg(F.sum("_w")).first()[0] or 0.0
     est = _estimators(n)
-    fitted = {m: pipeline(features, est[m]).fit(train) for m in models}
+    # the fits are independent: submit them together so their Spark jobs share
+    # the executors instead of running one model after another
+    with ThreadPoolExecutor(max_workers=len(models)) as pool:
+        futures = {m: pool.submit(pipeline(features, est[m]).fit, train) for m in models}
+        fitted = {m: futures[m].result() for m in models}
     train.unpersist()
     return fitted
 
