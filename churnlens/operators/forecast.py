@@ -17,6 +17,8 @@ regions (and the total) together:
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
@@ -193,10 +195,14 @@ def gbt_lags(series: DataFrame, holdout: int = HOLDOUT, horizon: int = HORIZON)
     """Backtest (fit on all but the last ``holdout`` months of every series) and
     future forecast (fit on everything) with the pooled lag model.  The future
     recursion starts from the last three observed values."""
-    idx = with_index(lag_features(series))
+    idx = with_index(lag_features(series)).checkpoint()   # small: one row per series-month
     rows = idx.where(F.col("lag3").isNotNull())
+    # the backtest fit and the full fit are independent: run them together
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_bt = pool.submit(_lag_model, rows.where(F.col("t") <= F.col("n") - holdout))
+        f_all = pool.submit(_lag_model, rows)
+        (asm, m_bt), (_, m_all) = f_bt.result(), f_all.result()
     # backtest
-    asm, m_bt = _lag_model(rows.where(F.col("t") <= F.col("n") - holdout))
     first = idx.where(F.col("t") == F.col("n") - holdout + 1).select(
         "series_id", "lag1", "lag2", "lag3")
     bt = _recursive(asm, m_bt, first, holdout)
@@ -206,7 +212,6 @@ def gbt_lags(series: DataFrame, holdout: int = HOLDOUT, horizon: int = HORIZON)
     bt = bt.join(actual, ["series_id", "h"]).select(
         "series_id", F.lit("backtest").alias("kind"), "h", "year_month", "actual", "prediction")
     # future
-    asm, m_all = _lag_model(rows)
     last = idx.where(F.col("t") == F.col("n")).select(
         "series_id", F.col("value").alias("lag1"), F.col("lag1").alias("lag2"),
         F.col("lag2").alias("lag3"), F.col("year_month").alias("_last"))
