@@ -161,8 +161,19 @@ def retention_impact(ranking: DataFrame, threshold: float = TARGET_PROBABILITY,
         (rel >= target).alias("target_achieved"))
 
 
-def kpi_block(ranking: DataFrame) -> DataFrame:
-    """Executive KPIs in one aggregate."""
+def kpi_block(ranking: DataFrame, forecast: DataFrame | None = None) -> DataFrame:
+    """Executive KPIs in one aggregate (A10-A12, A15); with a churn-adjusted
+    forecast of one series, also the next-12-month revenue (T12)."""
+    out = _kpis(ranking)
+    if forecast is None:
+        return out
+    nxt = forecast.agg(F.sum("churn_adjusted_forecast").alias("next_12m_revenue"))
+    # two one-row aggregates side by side
+    return (out.withColumn("_one", F.lit(1))
+            .join(F.broadcast(nxt.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+
+
+def _kpis(ranking: DataFrame) -> DataFrame:
     act = ~F.col("is_churned")
     mrr, p = F.col("monthly_recurring_revenue"), F.col(P)
     a = ranking.agg(

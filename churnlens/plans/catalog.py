@@ -638,29 +638,6 @@ def q_retention_impact(spark, d):
     return DE.retention_impact(ranking(spark, d))
 
 
-@register("kpi_block", O.sql("""
-SELECT count(*) AS total_clients, count(*) FILTER (WHERE NOT is_churned) AS active_clients,
-       count(*) - count(*) FILTER (WHERE NOT is_churned) AS historical_churned,
-       (count(*) - count(*) FILTER (WHERE NOT is_churned)) / count(*) * 100
-         AS historical_churn_pct,
-       avg(CASE WHEN NOT is_churned THEN predicted_churn_probability END) * 100
-         AS active_avg_risk_pct,
-       sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue END) AS total_active_mrr,
-       sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue * predicted_churn_probability
-           END) AS mrr_at_risk,
-       sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue * predicted_churn_probability
-           END) / sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue END) * 100
-         AS mrr_at_risk_pct,
-       count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'High') AS high_risk_clients,
-       count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'Medium') AS medium_risk_clients,
-       count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'Low') AS low_risk_clients
-FROM ranking""", ["ranking"]),
-    r4=["total_active_mrr", "mrr_at_risk"],
-    r6=["historical_churn_pct", "active_avg_risk_pct", "mrr_at_risk_pct"])
-def q_kpi_block(spark, d):
-    return DE.kpi_block(ranking(spark, d))
-
-
 @register("risk_ledger", O.sql("""
 SELECT client_id AS "Client ID", client_name AS "Client Name",
        account_manager AS "Account Manager", contract_type AS "Contract Type",
@@ -1099,3 +1076,30 @@ def q_revenue_forecast(spark, d):
     s = series(spark, d)
     best = FC.chosen_forecast(FC.holt_winters(s), FC.gbt_lags(s))
     return FC.churn_adjusted(best, FC.expected_loss(ranking(spark, d), clients_clean(spark, d)))
+
+
+# R6 needs the forecast CTEs above
+@register("kpi_block", O.sql("""
+SELECT count(*) AS total_clients, count(*) FILTER (WHERE NOT is_churned) AS active_clients,
+       count(*) - count(*) FILTER (WHERE NOT is_churned) AS historical_churned,
+       (count(*) - count(*) FILTER (WHERE NOT is_churned)) / count(*) * 100
+         AS historical_churn_pct,
+       avg(CASE WHEN NOT is_churned THEN predicted_churn_probability END) * 100
+         AS active_avg_risk_pct,
+       sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue END) AS total_active_mrr,
+       sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue * predicted_churn_probability
+           END) AS mrr_at_risk,
+       sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue * predicted_churn_probability
+           END) / sum(CASE WHEN NOT is_churned THEN monthly_recurring_revenue END) * 100
+         AS mrr_at_risk_pct,
+       count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'High') AS high_risk_clients,
+       count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'Medium') AS medium_risk_clients,
+       count(*) FILTER (WHERE NOT is_churned AND risk_tier = 'Low') AS low_risk_clients,
+       any_value(f.next_12m_revenue) AS next_12m_revenue
+FROM ranking, (SELECT sum(churn_adjusted_forecast) AS next_12m_revenue FROM adjusted
+               WHERE series_id = 'ALL') f""", ["ranking", "adjusted"]),
+    r4=["total_active_mrr", "mrr_at_risk", "next_12m_revenue"],
+    r6=["historical_churn_pct", "active_avg_risk_pct", "mrr_at_risk_pct"])
+def q_kpi_block(spark, d):
+    total = adjusted_naive(spark, d).where(F.col("series_id") == FC.ALL_SERIES)
+    return DE.kpi_block(ranking(spark, d), total)
