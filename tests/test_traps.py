@@ -181,3 +181,18 @@ def test_zero_baseline_relative_reduction(spark):
                                     "monthly_recurring_revenue double")
     r = DE.retention_impact(ranking).first()
     assert r["relative_churn_reduction"] == 0.0 and r["target_achieved"] is False
+
+
+def test_kpi_block_with_forecast(spark):
+    ranking = spark.createDataFrame(
+        [(1, False, 0.5, 100.0, "Medium"), (2, False, 0.1, 300.0, "Low"),
+         (3, True, 0.9, 50.0, "High")],
+        "client_id long, is_churned boolean, predicted_churn_probability double, "
+        "monthly_recurring_revenue double, risk_tier string")
+    fc = spark.createDataFrame([(1000.0,), (900.0,)], "churn_adjusted_forecast double")
+    r = DE.kpi_block(ranking, fc).first()
+    assert (r["total_clients"], r["active_clients"], r["historical_churned"]) == (3, 2, 1)
+    assert r["total_active_mrr"] == 400.0 and r["mrr_at_risk"] == pytest.approx(80.0)
+    assert r["mrr_at_risk_pct"] == pytest.approx(20.0)
+    assert (r["medium_risk_clients"], r["low_risk_clients"], r["high_risk_clients"]) == (1, 1, 0)
+    assert r["next_12m_revenue"] == 1900.0
