@@ -9,6 +9,7 @@ cannot change the compared values.
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -77,6 +78,7 @@ TICKET_CEILING = 1   # tickets per client-month reach 3-4 in the driver data (re
 
 
 _PRODUCTS: dict = {}
+_LOCK = threading.RLock()
 
 
 def product(spark, d, name, build):
@@ -86,6 +88,11 @@ def product(spark, d, name, build):
     a lost executor re-reads the table instead of recomputing the chain."""
     app = spark.sparkContext.applicationId
     key = (app, d, name)
+    with _LOCK:   # queries may be run from several threads; build each product once
+        return _product(spark, d, name, build, app, key)
+
+
+def _product(spark, d, name, build, app, key):
     if key not in _PRODUCTS:
         tag = hashlib.sha1(d.encode()).hexdigest()[:10]
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/products/{app}/{tag}/{name}"
@@ -102,9 +109,10 @@ def memo(fn):
 
     def wrapped(spark, d):
         key = (spark.sparkContext.applicationId, d)
-        if key not in cache:
-            cache[key] = fn(spark, d)
-        return cache[key]
+        with _LOCK:
+            if key not in cache:
+                cache[key] = fn(spark, d)
+            return cache[key]
     wrapped.__name__ = fn.__name__
     wrapped.__doc__ = fn.__doc__
     return wrapped
