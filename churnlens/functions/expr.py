@@ -118,7 +118,8 @@ def round_half_even(c: str | Column, scale: int = 0) -> Column:
 
 # F16 / F17 ---------------------------------------------------------------------------
 def fmt_percent(frac: str | Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", col_(frac) * 100)
+    """NULL stays NULL (no formatted placeholder)."""
+    return F.when(col_(frac).isNotNull(), F.format_string(f"%.{digits}f%%", col_(frac) * 100))
 
 
 def fmt_currency(x: str | Column, digits: int = 2) -> Column:

@@ -46,6 +46,10 @@ def prefix_sums(df: DataFrame, order_by: Sequence[Column | str], sums: dict[str,
     for k in sums:
         local = (local.withColumn(f"_l_{k}", F.sum(f"_v_{k}").over(w_cum))
                  .withColumn(f"_p_{k}", F.sum(f"_v_{k}").over(w_all)))
+    # The slice ids come from a sampled range partitioning; materialise them once
+    # (reliable checkpoint in the shared folder) so the totals and the rows they
+    # offset are cut from the very same slices.
+    local = local.checkpoint()
     totals = local.groupBy("_pid").agg(
         F.first("_pcnt").alias("_pcnt"), *[F.first(f"_p_{k}").alias(f"_p_{k}") for k in sums])
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
