@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +65,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="churnlens-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give every Python worker this package, also where the cluster was started
+    without ``--py-files``: a zip of the sources goes out with ``addPyFile``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_churnlens_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(here):  # already imported from a shipped zip otherwise
+        root = os.path.dirname(here)
+        target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="churnlens-src-")), "churnlens.zip")
+        with zipfile.ZipFile(target, "w") as z:
+            for folder, _, names in os.walk(here):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, root))
+        sc.addPyFile(target)
+    sc._churnlens_shipped = True

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from churnlens.session import local_session  # noqa: E402
+from churnlens.session import local_session, ship_package  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -13,4 +13,5 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(cpus="4", shuffle_partitions=8)
+    ship_package(s)
     yield s
