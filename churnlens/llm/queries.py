@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from churnlens.llm import bpe, ordinal
+from churnlens.llm.line_dedup import without_common_lines
 from churnlens.llm.near_dup import near_duplicates
+from churnlens.llm.quality_rules import quality_rules
+from churnlens.llm.store import folder
+from churnlens.llm.warc import round_trip
+
+WORD_BPE = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +24,35 @@ def op3_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE)))
+
+
+def op5_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_common_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_cut", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
+
+
+def op6_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return ordinal.classify(docs, ordinal.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "pages"), folder(spark, "warc"))
+
+
 QUERIES = {
     "op3_superminhash": op3_superminhash,
+    "op4_rank_array_bpe": op4_rank_array_bpe,
+    "op5_line_alignment": op5_line_alignment,
+    "op6_ngram_ratio": op6_ngram_ratio,
+    "op9_ordinal_quality": op9_ordinal_quality,
+    "op10_warc": op10_warc,
 }
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
@@ -32,11 +68,11 @@ s as (
       when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as shingle
   from w),
 n as (select doc_id, count(*) as n from s group by doc_id),
-both as (
+shared as (
   select a.doc_id as u, b.doc_id as v, count(*) as i
   from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2),
 link as (
-  select u, v from both join n x on x.doc_id = u join n y on y.doc_id = v
+  select u, v from shared join n x on x.doc_id = u join n y on y.doc_id = v
   where 100 * i >= 85 * (x.n + y.n - i)),
 reach(doc_id, other) as (
   select doc_id, doc_id from w
@@ -46,4 +82,13 @@ select w.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(reach.other) as
        w.doc_id = min(reach.other) as kept
 from w join reach on reach.doc_id = w.doc_id left join n on n.doc_id = w.doc_id
 group by w.doc_id""",
+    "op10_warc": """
+with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+g as (
+  select payload, max(page_id) as kept_id from p
+  where octet_length(payload) >= 1000 and page_id is not null group by payload)
+select p.page_id, octet_length(p.payload)::bigint as payload_bytes, sha1(p.payload) as payload_digest,
+       case when p.page_id < g.kept_id then 'revisit' else 'response' end as record_type,
+       case when p.page_id < g.kept_id then g.kept_id end as refers_to
+from p left join g on g.payload = p.payload""",
 }
