@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import bpe, ordinal
+from churnlens.llm import bpe, ordinal, token_counts
+from churnlens.llm.backoff import backoff_scores
+from churnlens.llm.crf_extract import extract
 from churnlens.llm.line_dedup import without_common_lines
+from churnlens.llm.lsa_decontam import decontaminate
 from churnlens.llm.near_dup import near_duplicates
 from churnlens.llm.quality_rules import quality_rules
 from churnlens.llm.store import folder
 from churnlens.llm.warc import round_trip
 
+BYTE_BPE = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
 
@@ -20,6 +24,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = token_counts.token_lengths(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
+                                         public_tokenizers.PATTERN)
+    return token_counts.length_histogram(lengths)
+
+
+def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(_table(spark, sf_dir, "documents"))
+
+
 def op3_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
@@ -37,6 +51,14 @@ def op6_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return ordinal.classify(docs, ordinal.train(docs, _table(spark, sf_dir, "labels")))
@@ -47,10 +69,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_length_histogram": op1_length_histogram,
+    "op2_stupid_backoff": op2_stupid_backoff,
     "op3_superminhash": op3_superminhash,
     "op4_rank_array_bpe": op4_rank_array_bpe,
     "op5_line_alignment": op5_line_alignment,
     "op6_ngram_ratio": op6_ngram_ratio,
+    "op7_latent_decontamination": op7_latent_decontamination,
+    "op8_crf_main_text": op8_crf_main_text,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_warc": op10_warc,
 }
@@ -58,6 +84,43 @@ QUERIES = {
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 
 ORACLE = {
+    "op2_stupid_backoff": f"""
+with d as (
+  select row_number() over () as r, doc_id, {_WORDS.format(text="coalesce(text, '')")} as ws from documents),
+w as (
+  select r, unnest(ws) as w3, unnest(range(1, len(ws) + 1)) as i from d),
+g as (
+  select r, i, w3, lag(w3) over o as w2, lag(w3, 2) over o as w1 from w window o as (partition by r order by i)),
+n1 as (select w3, count(*) as c from g group by all),
+n2 as (select w2, w3, count(*) as c from g where w2 is not null group by all),
+n3 as (select w1, w2, w3, count(*) as c from g where w1 is not null group by all),
+o1 as (select r, w3, count(*) as c from g group by all),
+o2 as (select r, w2, w3, count(*) as c from g where w2 is not null group by all),
+o3 as (select r, w1, w2, w3, count(*) as c from g where w1 is not null group by all),
+t as (select count(*) as n from g),
+own as (select r, len(ws) as n from d),
+e as (
+  select g.r, g.i, t.n - own.n as others,
+         n1.c - o1.c as c1, n2.c - o2.c as c2, n3.c - o3.c as c3
+  from g, t
+  join own on own.r = g.r
+  join n1 on n1.w3 = g.w3 join o1 on o1.r = g.r and o1.w3 = g.w3
+  left join n2 on n2.w2 = g.w2 and n2.w3 = g.w3 left join o2 on o2.r = g.r and o2.w2 = g.w2 and o2.w3 = g.w3
+  left join n3 on n3.w1 = g.w1 and n3.w2 = g.w2 and n3.w3 = g.w3
+  left join o3 on o3.r = g.r and o3.w1 = g.w1 and o3.w2 = g.w2 and o3.w3 = g.w3),
+s as (
+  select r, c1, least(3, i) as m, others, c2, c3,
+         lag(c1) over (partition by r order by i) as b1, lag(c2) over (partition by r order by i) as b2
+  from e),
+l as (
+  select r, c1, case when c3 > 0 then ln(0.4) * (m - 3) + ln(c3) - ln(b2)
+                     when c2 > 0 then ln(0.4) * (m - 2) + ln(c2) - ln(b1)
+                     when c1 > 0 then ln(0.4) * (m - 1) + ln(c1) - ln(others)
+                     else ln(0.4) * m - ln(others + 1) end as x
+  from s)
+select d.doc_id, len(d.ws) as n_words, count(*) filter (where l.c1 = 0) as unseen,
+       round(sum(l.x) / nullif(len(d.ws), 0), 6) as mean_log_score
+from d left join l on l.r = d.r group by d.r, d.doc_id, d.ws""",
     "op3_superminhash": f"""
 with recursive w as (
   select doc_id, {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as ws
