@@ -23,8 +23,8 @@ from churnlens.llm.text import Words, mix64, slices, words
 
 BUCKETS = 1 << 18
 MIN_DOCS = 4        # a bucket needs so many rated documents to carry a weight
-MIN_Z = 4.0         # and its documents' mean grade so many standard errors from the overall mean
-L2 = 0.0001
+MIN_Z = 4.5         # and its documents' share above some grade so many standard errors from the overall share
+L2 = 0.0003
 STEPS = 250
 RATE = 0.1
 KEEP_TAIL = 0.5     # a document stays if P(top grade) reaches this
@@ -108,8 +108,12 @@ def fit(doc: np.ndarray, bucket: np.ndarray, grade: np.ndarray, n_grades: int =
     if (present > 0).sum() < 2:
         return OrdinalModel(weights, np.arange(n_grades - 1) - 60.0)
     seen = np.bincount(bucket, minlength=BUCKETS)
-    lift = np.bincount(bucket, (grade - grade.mean())[doc], minlength=BUCKETS)
-    used = np.flatnonzero((seen >= MIN_DOCS) & (np.abs(lift) > MIN_Z * grade.std() * np.sqrt(seen)))
+    telling = np.zeros(BUCKETS, bool)
+    for k in range(1, n_grades):
+        above = (grade >= k).astype(float)
+        lift = np.bincount(bucket, (above - above.mean())[doc], minlength=BUCKETS)
+        telling |= np.abs(lift) > MIN_Z * above.std() * np.sqrt(seen)
+    used = np.flatnonzero((seen >= MIN_DOCS) & telling)
     column = np.full(BUCKETS, -1)
     column[used] = np.arange(len(used))
     mask = column[bucket] >= 0
