@@ -23,7 +23,7 @@ BUCKETS = 1 << 14
 SMOOTHING = 1.0        # pseudo-count of every bucket
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-TRUSTED_LOSS = 0.002   # share of the rated trusted documents that the threshold may cost
+TRUSTED_COST = 10      # losing a share of the trusted documents weighs so many times keeping that of the poor
 GRID = 1000            # scores are compared in steps of 1 / GRID
 SYMBOLS = "[#*$%&|<>]"
 
@@ -126,22 +126,32 @@ def log_ratio(corpus: np.ndarray, trusted: np.ndarray) -> np.ndarray:
 
 
 def threshold(docs: DataFrame, sample: DataFrame, ratio: np.ndarray) -> float:
-    """The lowest grid score that all but TRUSTED_LOSS of the sample's trusted documents reach.
+    """The grid score that best parts the sample's trusted documents from its poor ones.
 
-    The scores are counted per grid step, so a bounded number of rows is collected.
-    -inf without trusted documents.
+    Documents below it are rejected; the least weighted loss decides, and within a gap
+    its middle.  The scores are counted per grid step and grade, so a bounded number of
+    rows is collected.  -inf without trusted or without poor documents.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(_scores(words(part.column("text")), ratio))], ["score"])
-
-    trusted = docs.select("doc_id", "text").join(F.broadcast(sample.where("grade = 2")), "doc_id")
-    counts = (trusted.select("text").mapInArrow(run, "score double").groupBy("score")
-              .agg(F.count("*").alias("n")).orderBy("score").toArrow())
-    if not counts.num_rows:
+            yield pa.RecordBatch.from_arrays(
+                [part.column("grade"), pa.array(_scores(words(part.column("text")), ratio))], ["grade", "score"])
+
+    rated = docs.select("doc_id", "text").join(F.broadcast(sample.where("grade > 0")), "doc_id")
+    counts = (rated.select("grade", "text").mapInArrow(run, "grade int, score double").groupBy("score")
+              .agg(F.count(F.when(F.col("grade") == 2, 1)).alias("trusted"),
+                   F.count(F.when(F.col("grade") == 1, 1)).alias("poor")).orderBy("score").toArrow())
+    trusted, poor = (counts.column(c).to_numpy().astype(float) for c in ("trusted", "poor"))
+    if not trusted.sum() or not poor.sum():
+        return float("-inf")
+    score = counts.column("score").to_numpy()
+    # loss of rejecting the first k steps
+    below = lambda n: np.concatenate(([0.0], np.cumsum(n))) / n.sum()
+    loss = TRUSTED_COST * below(trusted) + 1 - below(poor)
+    k = int(loss.argmin())
+    if k == 0:
         return float("-inf")
-    reached = np.cumsum(counts.column("n").to_numpy())
-    return float(counts.column("score").to_numpy()[np.searchsorted(reached, TRUSTED_LOSS * reached[-1], side="right")])
+    return float((score[k - 1] + score[min(k, len(score) - 1)]) / 2)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = RATED_ROWS) -> DataFrame:
