@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from .joins import bounded_broadcast
 
@@ -68,64 +69,30 @@ def prefix_sums(df: DataFrame, order_by: Sequence[Column | str], sums: dict[str,
 
 
 def value_counts(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Distinct (group, value) pairs with their multiplicity (NULLs dropped)."""
-    return (df.where(F.col(value).isNotNull()).groupBy(*group_cols, value)
+    """Distinct (group, value) pairs with their multiplicity (NULL and NaN dropped)."""
+    real = F.col(value).isNotNull()
+    if isinstance(df.schema[value].dataType, (DoubleType, FloatType)):
+        real = real & ~F.isnan(value)
+    return (df.where(real).groupBy(*group_cols, value)
             .agg(F.count(F.lit(1)).alias("_c")))
 
 
-LOCAL_LIMIT = 100_000
 GROUP_BROADCAST_LIMIT = 100_000
 
 
-def _local_quantiles(spark, rows, group_cols, value, probs, schema):
-    import numpy as np
-    groups: dict = {}
-    for r in rows:
-        groups.setdefault(tuple(r[g] for g in group_cols), []).append((r[value], r["_c"]))
-    out = []
-    for key, vc in groups.items():
-        vc.sort(key=lambda x: x[0])
-        vals = np.array([v for v, _ in vc], dtype=float)
-        ends = np.cumsum([c for _, c in vc])
-        n = int(ends[-1])
-        res = []
-        for q in probs.values():
-            h = (n - 1) * q + 1
-            lo, hi = int(np.floor(h)), int(np.ceil(h))
-            v_lo = vals[np.searchsorted(ends, lo)]
-            v_hi = vals[np.searchsorted(ends, hi)]
-            res.append(float(v_lo + (h - lo) * (v_hi - v_lo)))
-        out.append((*key, n, *res))
-    fields = [schema[g] for g in group_cols]
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-    st = StructType([StructField(f.name, f.dataType) for f in fields]
-                    + [StructField("n", LongType())]
-                    + [StructField(k, DoubleType()) for k in probs])
-    return spark.createDataFrame(out, st)
-
-
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
-                    group_cols: Sequence[str] = (), partitions: int | None = None,
-                    local_limit: int = LOCAL_LIMIT) -> DataFrame:
+                    group_cols: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas 'linear').
 
     Works on distinct values with counts, so memory follows the number of
     distinct values per range slice, never the size of a group.  Returns one row
     per group with a column per entry of ``probs`` and the group size ``n``.
-    With at most ``local_limit`` distinct (group, value) pairs the bounded
-    summary is finished locally; otherwise positions come from a distributed
-    prefix sum.
+    NULL and NaN are no values; a group without values gives no row.
     """
     dropped = []
     if not group_cols:  # a single group: join its one stats row on a constant key
         df, group_cols, dropped = df.withColumn("_all", F.lit(1)), ["_all"], ["_all"]
     counts = value_counts(df, value, group_cols)
-    # Few distinct (group, value) pairs: the bounded summary is finished on the
-    # driver (at most ``local_limit`` rows ever leave the executors).
-    few = counts.limit(local_limit + 1).collect() if local_limit else []
-    if local_limit and len(few) <= local_limit:
-        return _local_quantiles(df.sparkSession, few, list(group_cols), value, probs,
-                                df.schema).drop(*dropped)
     cum = prefix_sums(counts, [*group_cols, value], {"_cum": F.col("_c")}, "_pos", partitions)
     gstats = cum.groupBy(*group_cols).agg(F.min(F.col("_cum") - F.col("_c")).alias("_gstart"),
                                           F.sum("_c").alias("n"))
