@@ -90,10 +90,6 @@ def tenure_bin(t: str | Column) -> Column:
     return expr
 
 
-def tenure_bin_order(label: str | Column) -> Column:
-    return ordinal(label, {lab: i for i, lab in enumerate(TENURE_LABELS)})
-
-
 def risk_tier(p: str | Column) -> Column:
     """NULL probability stays NULL."""
     return (F.when(col_(p) >= TIER_HIGH, "High")
@@ -109,7 +105,8 @@ def safe_ratio(num: str | Column, den: str | Column, default: float) -> Column:
 
 
 def clip(c: str | Column, lo: float, hi: float) -> Column:
-    return F.least(F.greatest(col_(c), F.lit(lo)), F.lit(hi))
+    """Bounded value; NULL stays NULL (least and greatest alone would skip it)."""
+    return F.when(col_(c).isNotNull(), F.least(F.greatest(col_(c), F.lit(lo)), F.lit(hi)))
 
 
 def round_half_even(c: str | Column, scale: int = 0) -> Column:
@@ -143,9 +140,9 @@ def rule_risk_score(contract_type: str | Column, services: str | Column) -> Colu
 
 
 def tenure_months(start: str | Column, churn_date: str | Column, window_end) -> Column:
-    """max(1, whole months from contract start to churn date or window end)."""
+    """max(1, whole months from contract start to churn date or window end); NULL without a start."""
     end = F.coalesce(col_(churn_date), F.lit(window_end).cast("date"))
-    return F.greatest(F.lit(1), month_diff(end, start))
+    return F.when(col_(start).isNotNull(), F.greatest(F.lit(1), month_diff(end, start)))
 
 
 def late_status(due: str | Column, paid: str | Column) -> Column:

@@ -55,10 +55,16 @@ def churn_label(df: DataFrame, horizon: int = HORIZON_MONTHS) -> DataFrame:
     return df.withColumn("target_churn_3m", F.coalesce(hit, F.lit(False)).cast("int"))
 
 
+def _mixed(key: str, seed: int) -> Column:
+    """(key * 7919 + seed) mod 10007; the key is reduced first, so that no key overflows."""
+    small = F.pmod(F.col(key), F.lit(10007)).cast("long")
+    return F.pmod(small * 7919 + F.lit(seed).cast("long"), F.lit(10007))
+
+
 def split_bucket(key: str | Column, seed: int = SPLIT_SEED) -> Column:
     """0..99 from the client key: an arithmetic hash for integer keys (SQL can
     repeat it), xxhash64 otherwise."""
-    return F.pmod(F.col(key) * 7919 + seed, F.lit(10007)) % 100
+    return _mixed(key, seed) % 100
 
 
 def group_split(df: DataFrame, key: str = "client_id", test_percent: int = TEST_PERCENT,
@@ -78,7 +84,7 @@ def group_split_exact(df: DataFrame, key: str = "client_id",
     distinct clients, and the per-client split joins back on the key."""
     from .ordering import prefix_sums
     is_num = isinstance(df.schema[key].dataType, NumericType)
-    h = (F.pmod(F.col(key) * 7919 + seed, F.lit(10007)) if is_num
+    h = (_mixed(key, seed) if is_num
          else F.xxhash64(key, F.lit(seed)))
     keys = df.select(key).distinct().withColumn("_h", h)
     ranked = prefix_sums(keys, [F.col("_h"), F.col(key)], {}, "_rank")

@@ -61,11 +61,11 @@ SELECT c.c_custkey AS client_id, c.c_name AS client_name, c.c_mktsegment AS indu
   CAST((c.c_custkey * 37) % 201 - 100 AS INTEGER) AS nps_score,
   COALESCE(s.last_order < DATE '{A.CHURN_CUTOFF}', FALSE) AS is_churned,
   CASE WHEN s.last_order < DATE '{A.CHURN_CUTOFF}' THEN s.last_order END AS churn_date,
-  CAST(GREATEST(1,
+  CAST(CASE WHEN s.first_order IS NOT NULL THEN GREATEST(1,
     (year(COALESCE(CASE WHEN s.last_order < DATE '{A.CHURN_CUTOFF}' THEN s.last_order END,
                    DATE '{A.WINDOW_END}')) - year(s.first_order)) * 12
     + month(COALESCE(CASE WHEN s.last_order < DATE '{A.CHURN_CUTOFF}' THEN s.last_order END,
-                     DATE '{A.WINDOW_END}')) - month(s.first_order)) AS INTEGER) AS tenure_months
+                     DATE '{A.WINDOW_END}')) - month(s.first_order)) END AS INTEGER) AS tenure_months
 FROM customer c
 LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) g
   ON c.c_nationkey = g.n_nationkey
@@ -210,4 +210,4 @@ def sql(final: str, needs: list[str] = ()) -> str:
     for n in needs:
         visit(n)
     body = ",\n".join(f"{n} AS ({CTE[n][1]}\n)" for n in order)
-    return f"WITH {body}\n{final}" if order else final
+    return f"WITH RECURSIVE {body}\n{final}" if order else final
