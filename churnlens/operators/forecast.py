@@ -5,9 +5,9 @@ long frame ``(series_id, year_month, value)`` so that one job forecasts all
 regions (and the total) together:
 
 * T1: monthly series with a calendar spine (``sequence``) so gaps become 0.
-* T2: additive Holt-Winters (season 12, no trend) fitted per series by a
-  grouped pandas UDF (``applyInPandas``); a series is at most one row per
-  month, so a group is small however large the transaction table is.
+* T2: additive Holt-Winters (season 12, no trend) as a built-in ``aggregate``
+  fold over each series and grid point; a series is at most one row per
+  month, so an array is small however large the transaction table is.
 * T3/T4: one pooled Spark ML GBT regressor on lags 1-3 of all series, and a
   recursive multi-step forecast where each step scores all series in one
   ``transform``; lineage is cut with ``checkpoint()`` every few steps.
@@ -19,8 +19,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
@@ -39,18 +37,17 @@ ALL_SERIES = "ALL"
 
 
 def monthly_series(panel: DataFrame, series_col: str | None = "region",
-                   value: str = "invoiced_amt", last_month: str | None = None,
-                   include_total: bool = True) -> DataFrame:
+                   value: str = "invoiced_amt", include_total: bool = True) -> DataFrame:
     """T1 (A4 per series): (series_id, year_month, value) with every month of
-    the common calendar present (missing months filled with 0).  Months after
-    ``last_month`` (an incomplete tail) are dropped."""
-    p = panel if last_month is None else panel.where(F.col("year_month") <= last_month)
+    the common calendar present (missing months filled with 0).  All months of
+    the panel are kept; see ``complete_months`` for what a model may learn from."""
     key = F.col(series_col).cast("string") if series_col else F.lit(ALL_SERIES)
-    parts = p.groupBy(key.alias("series_id"), "year_month").agg(F.sum(value).alias("value"))
+    parts = panel.groupBy(key.alias("series_id"), "year_month").agg(F.sum(value).alias("value"))
     if include_total and series_col:
+        # the total adds up the series, not the panel again
         parts = parts.unionByName(
-            p.groupBy(F.lit(ALL_SERIES).alias("series_id"), "year_month")
-            .agg(F.sum(value).alias("value")))
+            parts.groupBy(F.lit(ALL_SERIES).alias("series_id"), "year_month")
+            .agg(F.sum("value").alias("value")))
     # calendar spine: every series gets every month between the global first
     # and last month (a per-row sequence, no join of two unrelated tables)
     bounds = parts.agg(F.min("year_month").alias("_lo"), F.max("year_month").alias("_hi"))
@@ -63,6 +60,21 @@ def monthly_series(panel: DataFrame, series_col: str | None = "region",
             .select("series_id", "year_month", F.coalesce("value", F.lit(0.0)).alias("value")))
 
 
+def last_complete_month(transactions: DataFrame, kind: str = "invoice") -> DataFrame:
+    """One row: the month of the last transaction of ``kind`` if that falls on its last day, else
+    the month before.  Read from the data, so newer data moves it."""
+    last = transactions.where(F.col("transaction_type") == kind).agg(
+        F.max("transaction_date").alias("d"))
+    return last.select(X.month_key(F.when(F.col("d") == F.last_day("d"), F.col("d"))
+                                   .otherwise(F.add_months("d", -1))).alias("as_of"))
+
+
+def complete_months(series: DataFrame, as_of: DataFrame) -> DataFrame:
+    """The months up to ``as_of`` (one row), before backtests and forecasts: a half month is not a
+    fall in revenue."""
+    return series.where(F.col("year_month") <= as_of.scalar())
+
+
 def with_index(series: DataFrame) -> DataFrame:
     """Position t (1..n) and n per series, from the end as well (K6, K7)."""
     w = Window.partitionBy("series_id").orderBy("year_month")
@@ -88,77 +100,70 @@ def lag_features(series: DataFrame, lags=(1, 2, 3)) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Holt-Winters (T2) as a grouped pandas function
+# Holt-Winters (T2) as a built-in fold over (series x grid)
 # ---------------------------------------------------------------------------
-_GRID = np.round(np.arange(0.05, 1.0, 0.05), 2)
-
-
-def _hw_run(y: np.ndarray, alphas: np.ndarray, gammas: np.ndarray, season: int):
-    """Run additive level + seasonal smoothing for many (alpha, gamma) pairs at
-    once; returns (sse, level, seasons, fitted) per pair."""
-    k = len(alphas)
-    l0 = y[:season].mean()
-    level = np.full(k, l0)
-    seas = np.tile(y[:season] - l0, (k, 1))
-    fitted = np.empty((k, len(y)))
-    for t, obs in enumerate(y):
-        j = t % season
-        f = level + seas[:, j]
-        fitted[:, t] = f
-        new_level = alphas * (obs - seas[:, j]) + (1 - alphas) * level
-        seas[:, j] = gammas * (obs - new_level) + (1 - gammas) * seas[:, j]
-        level = new_level
-    sse = ((fitted - y) ** 2).sum(axis=1)
-    return sse, level, seas, fitted
-
-
-def hw_fit_forecast(y: np.ndarray, horizon: int, season: int = SEASON):
-    """Grid-search (alpha, gamma) by in-sample SSE; forecast ``horizon`` steps.
-    Returns (forecast, residuals, alpha, gamma)."""
-    if len(y) < season + 1:
-        f = np.full(horizon, y.mean() if len(y) else 0.0)
-        return f, y - (y.mean() if len(y) else 0.0), float("nan"), float("nan")
-    a, g = np.meshgrid(_GRID, _GRID, indexing="ij")
-    a, g = a.ravel(), g.ravel()
-    sse, level, seas, fitted = _hw_run(y, a, g, season)
-    b = int(np.argmin(sse))
-    n = len(y)
-    fc = np.array([level[b] + seas[b, (n + h) % season] for h in range(horizon)])
-    return fc, y - fitted[b], float(a[b]), float(g[b])
-
-
-HW_SCHEMA = ("series_id string, kind string, h int, year_month string, actual double, "
-             "prediction double, resid_std double, alpha double, gamma double")
-
-
-def _hw_group(pdf: pd.DataFrame, holdout: int, horizon: int) -> pd.DataFrame:
-    pdf = pdf.sort_values("year_month")
-    y = pdf["value"].to_numpy(dtype=float)
-    months = pdf["year_month"].tolist()
-    sid = pdf["series_id"].iloc[0]
-    rows = []
-    if len(y) > holdout:
-        fc, _, a, g = hw_fit_forecast(y[:-holdout], holdout)
-        for h in range(holdout):
-            rows.append((sid, "backtest", h + 1, months[len(y) - holdout + h],
-                         float(y[len(y) - holdout + h]), float(fc[h]), float("nan"), a, g))
-    fc, resid, a, g = hw_fit_forecast(y, horizon)
-    s = float(np.std(resid)) if len(resid) else float("nan")
-    last = pd.Period(months[-1], freq="M")
-    for h in range(horizon):
-        rows.append((sid, "forecast", h + 1, str(last + h + 1), float("nan"), float(fc[h]), s,
-                     a, g))
-    return pd.DataFrame(rows, columns=["series_id", "kind", "h", "year_month", "actual",
-                                       "prediction", "resid_std", "alpha", "gamma"])
+GRID_STEPS = 19   # alpha and gamma run over 0.05, 0.10, ..., 0.95
+_SEASONAL = f"acc.seas[acc.t % {SEASON}]"
+_LEVEL = f"(alpha * (obs - {_SEASONAL}) + (1 - alpha) * acc.level)"
+_HW_FOLD = f"""aggregate(y,
+  named_struct('level', l0, 'seas', transform(slice(y, 1, {SEASON}), x -> x - l0), 't', 0,
+               'sse', 0D, 'err', 0D),
+  (acc, obs) -> named_struct(
+    'level', {_LEVEL},
+    'seas', transform(acc.seas, (s, i) -> if(i = acc.t % {SEASON},
+                                             gamma * (obs - {_LEVEL}) + (1 - gamma) * s, s)),
+    't', acc.t + 1,
+    'sse', acc.sse + (acc.level + {_SEASONAL} - obs) * (acc.level + {_SEASONAL} - obs),
+    'err', acc.err + (obs - acc.level - {_SEASONAL})))"""
 
 
 def holt_winters(series: DataFrame, holdout: int = HOLDOUT, horizon: int = HORIZON) -> DataFrame:
     """T2 + T8: per series, the hold-out backtest and the future forecast with
-    the population std of the in-sample one-step residuals."""
-    fn = lambda pdf: _hw_group(pdf, holdout, horizon)
-    out = series.groupBy("series_id").applyInPandas(fn, HW_SCHEMA)
-    return out.withColumn("actual", F.when(~F.isnan("actual"), F.col("actual"))).withColumn(
-        "resid_std", F.when(~F.isnan("resid_std"), F.col("resid_std")))
+    the population std of the in-sample one-step residuals.
+
+    Additive level and season without trend; (alpha, gamma) by the least in-sample
+    squared error over the grid, the smaller pair on a tie.  The recursion is one
+    ``aggregate`` expression per series and grid point, so no Python worker
+    is needed and series x grid spreads over all tasks.  A fit on ``SEASON`` values or fewer has
+    no season to learn: its predictions are NULL and ``status`` says so.
+    """
+    whole = series.groupBy("series_id").agg(
+        F.array_sort(F.collect_list(F.struct("year_month", "value"))).alias("_s")).select(
+        "series_id", F.col("_s.year_month").alias("_months"),
+        F.transform("_s.value", lambda v: v.cast("double")).alias("_all"))
+    fits = whole.select("*", F.explode(F.array(
+        F.struct(F.lit("backtest").alias("kind"), F.lit(holdout).alias("held"),
+                 F.lit(holdout).alias("steps")),
+        F.struct(F.lit("forecast").alias("kind"), F.lit(0).alias("held"),
+                 F.lit(horizon).alias("steps")))).alias("_f")).select(
+        "series_id", "_months", "_all", "_f.*").where(F.size("_all") > F.col("held"))
+    fits = fits.withColumn("y", F.slice("_all", 1, F.size("_all") - F.col("held")))
+    fits = fits.withColumn("n", F.size("y"))
+    long = fits.where(F.col("n") > SEASON).withColumn("l0", F.expr(
+        f"aggregate(slice(y, 1, {SEASON}), 0D, (a, x) -> a + x) / {SEASON}"))
+    steps = F.sequence(F.lit(1), F.lit(GRID_STEPS))
+    run = (long.select("series_id", "kind", "n", "l0", "y", F.explode(steps).alias("_a"))
+           .select("*", F.explode(steps).alias("_g"))
+           .withColumn("alpha", F.round(F.col("_a") * 0.05, 2))
+           .withColumn("gamma", F.round(F.col("_g") * 0.05, 2))
+           .withColumn("_fit", F.expr(_HW_FOLD)))
+    best = run.groupBy("series_id", "kind").agg(F.min_by(
+        F.struct("alpha", "gamma", F.col("_fit.level").alias("level"), F.col("_fit.seas").alias("seas"),
+                 F.sqrt(F.greatest(F.lit(0.0), F.col("_fit.sse") / F.col("n")
+                                   - F.pow(F.col("_fit.err") / F.col("n"), 2))).alias("std")),
+        F.struct(F.col("_fit.sse"), "alpha", "gamma")).alias("b"))
+    out = fits.join(best, ["series_id", "kind"], "left").withColumn(
+        "h", F.explode(F.sequence(F.lit(1), F.col("steps"))))
+    future = F.col("kind") == "forecast"
+    return out.select(
+        "series_id", "kind", "h",
+        F.when(future, X.month_after(X.month_start(F.element_at("_months", -1)), F.col("h")))
+        .otherwise(F.get("_months", F.col("n") + F.col("h") - 1)).alias("year_month"),
+        F.when(~future, F.get("_all", F.col("n") + F.col("h") - 1)).alias("actual"),
+        (F.col("b.level") + F.get("b.seas", (F.col("n") + F.col("h") - 1) % SEASON)).alias("prediction"),
+        F.when(future, F.col("b.std")).alias("resid_std"),
+        F.col("b.alpha").alias("alpha"), F.col("b.gamma").alias("gamma"),
+        F.when(F.col("b").isNull(), "history too short").otherwise("fitted").alias("status"))
 
 
 # ---------------------------------------------------------------------------
@@ -263,27 +268,32 @@ def backtest_metrics(predictions: DataFrame) -> DataFrame:
     return rmse_mape(predictions.where(F.col("kind") == "backtest"), "actual", "prediction", keys)
 
 
-def choose_model(metrics: DataFrame) -> DataFrame:
-    """T7 per series: Holt-Winters when its MAPE is lower, else the lag model."""
+def choose_model(metrics: DataFrame, other: str = "gbt_lags", short: str = "gbt") -> DataFrame:
+    """T7 per series: Holt-Winters when its MAPE is lower, else the ``other`` model."""
     hw = metrics.where(F.col("model") == "holt_winters").select(
         "series_id", F.col("mape").alias("hw_mape"))
-    gb = metrics.where(F.col("model") == "gbt_lags").select(
-        "series_id", F.col("mape").alias("gbt_mape"))
-    return hw.join(gb, "series_id", "full").select(
-        "series_id", "hw_mape", "gbt_mape",
-        F.when(F.coalesce(F.col("hw_mape") < F.col("gbt_mape"), F.col("gbt_mape").isNull()),
-               "holt_winters").otherwise("gbt_lags").alias("model"))
-
-
-def chosen_forecast(hw: DataFrame, gbt: DataFrame) -> DataFrame:
-    """T7 -> T8: per series, the future rows of the model with the lower
-    backtest MAPE (Holt-Winters on a tie of missing metrics)."""
-    preds = (hw.drop("alpha", "gamma").withColumn("model", F.lit("holt_winters"))
-             .unionByName(gbt.withColumn("model", F.lit("gbt_lags"))))
+    alt = metrics.where(F.col("model") == other).select(
+        "series_id", F.col("mape").alias(f"{short}_mape"))
+    return hw.join(alt, "series_id", "full").select(
+        "series_id", "hw_mape", f"{short}_mape",
+        F.when(F.coalesce(F.col("hw_mape") < F.col(f"{short}_mape"),
+                          F.col(f"{short}_mape").isNull() & F.col("hw_mape").isNotNull()),
+               "holt_winters").otherwise(other).alias("model"))
+
+
+def both_models(hw: DataFrame, alternative: DataFrame, other: str = "gbt_lags") -> DataFrame:
+    """The rows of Holt-Winters and of another model, told apart by ``model``."""
+    return (hw.drop("alpha", "gamma", "status").withColumn("model", F.lit("holt_winters"))
+            .unionByName(alternative.withColumn("model", F.lit(other))))
+
+
+def chosen_forecast(hw: DataFrame, alternative: DataFrame, other: str = "gbt_lags") -> DataFrame:
+    """T7 -> T8: per series, the rows of the model with the lower backtest MAPE
+    (the other model when Holt-Winters had too short a history)."""
     # both fits feed two consumers (metrics, rows): materialise once in the
     # shared checkpoint folder (a few rows per series) instead of refitting
-    preds = preds.checkpoint()
-    choice = choose_model(backtest_metrics(preds)).select("series_id", "model")
+    preds = both_models(hw, alternative, other).checkpoint()
+    choice = choose_model(backtest_metrics(preds), other).select("series_id", "model")
     # one row per series on the right: small, joined by key
     return preds.join(choice, ["series_id", "model"], "inner")
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -30,6 +31,7 @@ from ..operators import profile as PR
 from ..operators import quality as QA
 from ..session import ensure_checkpoint_dir
 from ..sources import adapters as A
+from ..sources import io as IO
 from . import oracle as O
 
 
@@ -87,14 +89,25 @@ def product(spark, d, name, build):
     its products over as files too).  Reading the table cuts the lineage, so
     a lost executor re-reads the table instead of recomputing the chain."""
     app = spark.sparkContext.applicationId
-    key = (app, d, name)
+    state = input_state(spark, d)
+    key = (app, d, state, name)
     with _LOCK:   # queries may be run from several threads; build each product once
         return _product(spark, d, name, build, app, key)
 
 
+def input_state(spark, d) -> str:
+    """Digest of the input folder's listing (names, sizes, times of its tables), so that rewritten
+    input gets new products and plans instead of old results."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(d)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listing = sorted(f"{s.getPath().getName()} {s.getLen()} {s.getModificationTime()}" for s in fs.listStatus(path))
+    return hashlib.sha1("\n".join(listing).encode()).hexdigest()[:10]
+
+
 def _product(spark, d, name, build, app, key):
     if key not in _PRODUCTS:
-        tag = hashlib.sha1(d.encode()).hexdigest()[:10]
+        tag = hashlib.sha1(d.encode()).hexdigest()[:10] + "-" + key[2]
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/products/{app}/{tag}/{name}"
         build().write.mode("overwrite").parquet(path)
         _PRODUCTS[key] = spark.read.parquet(path)
@@ -108,7 +121,7 @@ def memo(fn):
     cache: dict = {}
 
     def wrapped(spark, d):
-        key = (spark.sparkContext.applicationId, d)
+        key = (spark.sparkContext.applicationId, d, input_state(spark, d))
         with _LOCK:
             if key not in cache:
                 cache[key] = fn(spark, d)
@@ -124,8 +137,12 @@ def clients(spark, d):
 
 
 def clients_clean(spark, d):
-    return product(spark, d, "clients_clean",
-                   lambda: IM.clean_clients(clients(spark, d).persist(), A.INDUSTRY_VOCAB))
+    def build():
+        # read three times by the fills (median, regression, rows): a written table, nothing to release
+        raw = product(spark, d, "clients_raw", lambda: clients(spark, d))
+        return IM.clean_clients(raw, A.INDUSTRY_VOCAB)
+
+    return product(spark, d, "clients_clean", build)
 
 
 @memo
@@ -657,6 +674,29 @@ def q_risk_ledger(spark, d):
     return DE.risk_ledger(ranking(spark, d))
 
 
+LEDGER_SEARCH, LEDGER_TIERS = "#0*1", ["High", "Medium"]
+
+
+@register("risk_ledger_filtered", O.sql(f"""
+SELECT client_id AS "Client ID", client_name AS "Client Name",
+       account_manager AS "Account Manager", contract_type AS "Contract Type",
+       '$' || format('{{:,.2f}}', monthly_recurring_revenue) AS "MRR ($)",
+       printf('%.1f%%', predicted_churn_probability * 100) AS "Churn Probability",
+       risk_tier AS "Risk Tier"
+FROM ranking WHERE NOT is_churned
+  AND (regexp_matches(client_name, '{LEDGER_SEARCH}', 'i')
+       OR regexp_matches(CAST(client_id AS VARCHAR), '{LEDGER_SEARCH}', 'i'))
+  AND risk_tier IN ('High', 'Medium')
+  AND account_manager IN (SELECT DISTINCT account_manager FROM ranking
+                          ORDER BY account_manager LIMIT 3)""", ["ranking"]))
+def q_risk_ledger_filtered(spark, d):
+    """P11 + P12: the ledger with its search, tier and manager filters set (the first three
+    managers of the filter list)."""
+    r = ranking(spark, d)
+    managers = [x[0] for x in r.select("account_manager").distinct().orderBy("account_manager").limit(3).collect()]
+    return DE.risk_ledger(r, LEDGER_SEARCH, LEDGER_TIERS, managers)
+
+
 @register("alert_cards", O.sql("""
 SELECT priority AS "Priority", client_id AS "Client ID", client_name AS "Client Name",
        printf('%.1f%%', predicted_probability * 100) AS "Churn Prob", risk_tier AS "Risk Tier",
@@ -771,22 +811,30 @@ def q_risk_ranking_ml(spark, d):
 
 
 # --------------------------------------------------------------------------
-# forecasting: region series + the total, last complete month 2001-07
+# forecasting: region series + the total; models learn from complete months only
 # --------------------------------------------------------------------------
-LAST_COMPLETE_MONTH = "2001-07"
+@memo
+def series(spark, d):
+    return FC.monthly_series(model_ready(spark, d), "region")
 
 
 @memo
-def series(spark, d):
-    return FC.monthly_series(model_ready(spark, d), "region", last_month=LAST_COMPLETE_MONTH)
+def complete_series(spark, d):
+    return FC.complete_months(series(spark, d), FC.last_complete_month(transactions(spark, d)))
 
 
 O.cte("series_parts", ["model_ready"], f"""
 SELECT CAST(region AS VARCHAR) AS series_id, year_month, sum(invoiced_amt) AS value
-FROM model_ready WHERE year_month <= '{LAST_COMPLETE_MONTH}' GROUP BY 1, 2
+FROM model_ready GROUP BY 1, 2
 UNION ALL
 SELECT '{FC.ALL_SERIES}', year_month, sum(invoiced_amt)
-FROM model_ready WHERE year_month <= '{LAST_COMPLETE_MONTH}' GROUP BY 2""")
+FROM model_ready GROUP BY 2""")
+O.cte("as_of", [], """
+SELECT strftime(CASE WHEN m = last_day(m) THEN m ELSE CAST(m - INTERVAL 1 MONTH AS DATE) END, '%Y-%m')
+         AS as_of
+FROM (SELECT max(CAST(o_orderdate AS DATE)) AS m FROM orders)""")
+O.cte("complete_series", ["series", "as_of"], """
+SELECT series_id, year_month, value FROM series WHERE year_month <= (SELECT as_of FROM as_of)""")
 O.cte("series", ["series_parts"], """
 SELECT s.series_id, strftime(c.m, '%Y-%m') AS year_month, COALESCE(p.value, 0.0) AS value
 FROM (SELECT DISTINCT series_id FROM series_parts) s
@@ -794,10 +842,10 @@ CROSS JOIN (SELECT unnest(generate_series(CAST(min(year_month) || '-01' AS DATE)
                                           CAST(max(year_month) || '-01' AS DATE),
                                           INTERVAL 1 MONTH)) AS m FROM series_parts) c
 LEFT JOIN series_parts p ON p.series_id = s.series_id AND p.year_month = strftime(c.m, '%Y-%m')""")
-O.cte("series_idx", ["series"], """
+O.cte("series_idx", ["complete_series"], """
 SELECT *, row_number() OVER w AS t, count(*) OVER (PARTITION BY series_id) AS n,
        lag(value, 12) OVER w AS prev
-FROM series WINDOW w AS (PARTITION BY series_id ORDER BY year_month)""")
+FROM complete_series WINDOW w AS (PARTITION BY series_id ORDER BY year_month)""")
 O.cte("naive_future", ["series_idx"], f"""
 SELECT f.series_id, f.h, strftime(CAST(f.last_month || '-01' AS DATE) + to_months(f.h), '%Y-%m')
          AS year_month, v.value AS prediction, f.resid_std
@@ -828,7 +876,7 @@ _ADJ_MONEY = ["baseline_forecast", "ci_lower", "ci_upper", "churn_adjusted_forec
 
 @memo
 def adjusted_naive(spark, d):
-    return FC.churn_adjusted(FC.seasonal_naive(series(spark, d)),
+    return FC.churn_adjusted(FC.seasonal_naive(complete_series(spark, d)),
                              FC.expected_loss(ranking(spark, d), clients_clean(spark, d)))
 
 
@@ -852,7 +900,7 @@ SELECT series_id, sqrt(avg((value - prev) * (value - prev))) AS rmse,
 FROM series_idx WHERE t > n - {FC.HOLDOUT} GROUP BY series_id""", ["series_idx"]),
     r4=["rmse"], r6=["mape"])
 def q_naive_backtest_metrics(spark, d):
-    return FC.backtest_metrics(FC.seasonal_naive(series(spark, d)))
+    return FC.backtest_metrics(FC.seasonal_naive(complete_series(spark, d)))
 
 
 @register("churn_adjusted_forecast", O.sql("SELECT * FROM adjusted", ["adjusted"]),
@@ -882,21 +930,107 @@ def q_horizon_total(spark, d):
     return FC.horizon_total(adjusted_naive(spark, d))
 
 
-@register("hw_forecast")
+# Holt-Winters by a recursive query: one row per series, fit, grid point and month
+O.cte("hw_y", ["complete_series"], f"""
+SELECT series_id, kind, held, steps, months, everything, n,
+       everything[1:n] AS y
+FROM (SELECT series_id, list(year_month ORDER BY year_month) AS months,
+             list(CAST(value AS DOUBLE) ORDER BY year_month) AS everything
+      FROM complete_series GROUP BY series_id) s,
+     (VALUES ('backtest', {FC.HOLDOUT}, {FC.HOLDOUT}), ('forecast', 0, {FC.HORIZON})) f(kind, held, steps),
+     LATERAL (SELECT len(everything) - held AS n) x
+WHERE n > 0""")
+O.cte("hw_start", ["hw_y"], f"""
+SELECT series_id, kind, n, y, CAST(round(a * 0.05, 2) AS DOUBLE) AS alpha, CAST(round(g * 0.05, 2) AS DOUBLE) AS gamma,
+       list_reduce(list_concat([CAST(0 AS DOUBLE)], y[1:{FC.SEASON}]), lambda p, q: p + q) / {FC.SEASON} AS l0
+FROM hw_y, range(1, {FC.GRID_STEPS + 1}) ga(a), range(1, {FC.GRID_STEPS + 1}) gg(g)
+WHERE n > {FC.SEASON}""")
+O.cte("hw_run", ["hw_start"], f"""
+SELECT series_id, kind, n, alpha, gamma, y, 0 AS t, l0 AS level,
+       list_transform(y[1:{FC.SEASON}], lambda v: v - l0) AS seas,
+       CAST(0 AS DOUBLE) AS sse, CAST(0 AS DOUBLE) AS err
+FROM hw_start
+UNION ALL
+SELECT series_id, kind, n, alpha, gamma, y, t + 1, new_level,
+       list_transform(seas, lambda s, i: CASE WHEN i = t % {FC.SEASON} + 1
+                                              THEN gamma * (obs - new_level) + (1 - gamma) * s ELSE s END),
+       sse + (level + season - obs) * (level + season - obs), err + (obs - level - season)
+FROM (SELECT *, alpha * (obs - season) + (1 - alpha) * level AS new_level
+      FROM (SELECT *, y[t + 1] AS obs, seas[t % {FC.SEASON} + 1] AS season FROM hw_run WHERE t < n))""")
+O.cte("hw_best", ["hw_run"], """
+SELECT * FROM hw_run WHERE t = n
+QUALIFY row_number() OVER (PARTITION BY series_id, kind ORDER BY sse, alpha, gamma) = 1""")
+O.cte("hw", ["hw_y", "hw_best"], f"""
+SELECT y.series_id, y.kind, CAST(h AS INTEGER) AS h,
+       CASE y.kind WHEN 'forecast'
+            THEN strftime(CAST(y.months[-1] || '-01' AS DATE) + to_months(CAST(h AS INTEGER)), '%Y-%m')
+            ELSE y.months[y.n + h] END AS year_month,
+       CASE y.kind WHEN 'backtest' THEN y.everything[y.n + h] END AS actual,
+       b.level + b.seas[(y.n + h - 1) % {FC.SEASON} + 1] AS prediction,
+       CASE y.kind WHEN 'forecast'
+            THEN sqrt(greatest(0.0, b.sse / b.n - (b.err / b.n) * (b.err / b.n))) END AS resid_std,
+       b.alpha, b.gamma,
+       CASE WHEN b.n IS NULL THEN 'history too short' ELSE 'fitted' END AS status
+FROM (SELECT *, unnest(range(1, steps + 1)) AS h FROM hw_y) y
+LEFT JOIN hw_best b ON b.series_id = y.series_id AND b.kind = y.kind""")
+# Holt-Winters against the seasonal naive, and the forecast of the better one per series
+O.cte("hw_naive_choice", ["hw", "series_idx"], f"""
+SELECT series_id, hw_mape, naive_mape,
+       CASE WHEN hw_mape < naive_mape OR (naive_mape IS NULL AND hw_mape IS NOT NULL)
+            THEN 'holt_winters' ELSE 'seasonal_naive' END AS model
+FROM (SELECT series_id,
+             avg(abs(CASE WHEN actual = 0 THEN NULL ELSE (actual - prediction) / actual END)) * 100 AS hw_mape
+      FROM hw WHERE kind = 'backtest' GROUP BY 1)
+FULL JOIN (SELECT series_id,
+             avg(abs(CASE WHEN value = 0 THEN NULL ELSE (value - prev) / value END)) * 100 AS naive_mape
+      FROM series_idx WHERE t > n - {FC.HOLDOUT} GROUP BY 1) USING (series_id)""")
+O.cte("chosen", ["hw_naive_choice", "hw", "naive_future", "series_loss"], f"""
+SELECT series_id, year_month, model, prediction AS baseline_forecast,
+       prediction - {FC.Z95} * resid_std * sqrt(h) AS ci_lower,
+       prediction + {FC.Z95} * resid_std * sqrt(h) AS ci_upper,
+       prediction - COALESCE(expected_loss, 0.0) * {_RAMP} AS churn_adjusted_forecast,
+       COALESCE(expected_loss, 0.0) * {_RAMP} AS expected_mrr_loss
+FROM (SELECT series_id, 'holt_winters' AS model, h, year_month, prediction, resid_std
+      FROM hw WHERE kind = 'forecast'
+      UNION ALL SELECT series_id, 'seasonal_naive', h, year_month, prediction, resid_std FROM naive_future)
+JOIN (SELECT series_id, model FROM hw_naive_choice) USING (series_id, model)
+LEFT JOIN series_loss USING (series_id)""")
+
+
+@memo
+def hw(spark, d):
+    return FC.holt_winters(complete_series(spark, d))
+
+
+@register("hw_forecast", O.sql("SELECT * FROM hw", ["hw"]), r4=["actual", "prediction", "resid_std"],
+          r6=["alpha", "gamma"])
 def q_hw_forecast(spark, d):
-    return FC.holt_winters(series(spark, d))
+    return hw(spark, d)
+
+
+@register("hw_naive_choice", O.sql("SELECT * FROM hw_naive_choice", ["hw_naive_choice"]),
+          r6=["hw_mape", "naive_mape"])
+def q_hw_naive_choice(spark, d):
+    """T7 over two models that SQL can repeat."""
+    both = FC.both_models(hw(spark, d), FC.seasonal_naive(complete_series(spark, d)), "seasonal_naive")
+    return FC.choose_model(FC.backtest_metrics(both), "seasonal_naive", "naive")
+
+
+@register("hw_naive_forecast", O.sql("SELECT * FROM chosen", ["chosen"]), r4=_ADJ_MONEY)
+def q_hw_naive_forecast(spark, d):
+    """The better model's forecast with bands and the churn ramp."""
+    best = FC.chosen_forecast(hw(spark, d), FC.seasonal_naive(complete_series(spark, d)), "seasonal_naive")
+    return FC.churn_adjusted(best, FC.expected_loss(ranking(spark, d), clients_clean(spark, d)))
 
 
 @register("gbt_lag_forecast")
 def q_gbt_lag_forecast(spark, d):
-    return FC.gbt_lags(series(spark, d))
+    return FC.gbt_lags(complete_series(spark, d))
 
 
 @register("forecast_model_choice")
 def q_forecast_model_choice(spark, d):
-    s = series(spark, d)
-    preds = (FC.holt_winters(s).drop("alpha", "gamma").withColumn("model", F.lit("holt_winters"))
-             .unionByName(FC.gbt_lags(s).withColumn("model", F.lit("gbt_lags"))))
+    preds = FC.both_models(hw(spark, d), FC.gbt_lags(complete_series(spark, d)))
     return FC.choose_model(FC.backtest_metrics(preds))
 
 
@@ -909,23 +1043,27 @@ def rules(spark, d):
 
 
 O.cte("client_rules", ["clients"], f"""
-SELECT client_id, contract_type, services_subscribed,
+SELECT client_id, 'CL-' || lpad(CAST(client_id AS VARCHAR), 8, '0') AS client_code, contract_type,
+  services_subscribed, array_to_string(list_sort(string_split(services_subscribed, ';')), ', ')
+    AS service_list, contract_value,
   CAST(COALESCE(CASE contract_type WHEN 'Monthly' THEN 4.0 WHEN 'Annual' THEN 1.0 END, 0.0)
        + COALESCE(CASE len(string_split(services_subscribed, ';')) WHEN 1 THEN 3.0
                   WHEN 2 THEN 1.5 END, 0.0) AS DOUBLE) AS rule_risk_score,
-  CAST(GREATEST(1, (year(COALESCE(churn_date, DATE '{A.WINDOW_END}')) - year(contract_start_date))
-    * 12 + month(COALESCE(churn_date, DATE '{A.WINDOW_END}')) - month(contract_start_date))
+  CAST(CASE WHEN contract_start_date IS NULL THEN NULL ELSE
+    GREATEST(1, (year(COALESCE(churn_date, DATE '{A.WINDOW_END}')) - year(contract_start_date))
+    * 12 + month(COALESCE(churn_date, DATE '{A.WINDOW_END}')) - month(contract_start_date)) END
     AS INTEGER) AS tenure_months,
   active_start, active_end,
   CAST((year(active_end) - year(active_start)) * 12 + month(active_end) - month(active_start) + 1
        AS INTEGER) AS months_active
 FROM (SELECT *, CASE WHEN s0 > e0 THEN CAST(e0 - INTERVAL 30 DAY AS DATE) ELSE s0 END
                   AS active_start, e0 AS active_end
-      FROM (SELECT *, GREATEST(contract_start_date, DATE '{A.WINDOW_START}') AS s0,
+      FROM (SELECT *, CASE WHEN contract_start_date IS NOT NULL
+                           THEN GREATEST(contract_start_date, DATE '{A.WINDOW_START}') END AS s0,
                    COALESCE(churn_date, DATE '{A.WINDOW_END}') AS e0 FROM clients))""")
 
 
-@register("client_rules", O.sql("SELECT * FROM client_rules", ["client_rules"]))
+@register("client_rules", O.sql("SELECT * FROM client_rules", ["client_rules"]), r4=["contract_value"])
 def q_client_rules(spark, d):
     return rules(spark, d)
 
@@ -944,7 +1082,7 @@ RULE_TOP_K = 36
 
 @register("risk_top_k", O.sql(f"""
 SELECT * FROM (SELECT *, row_number() OVER (ORDER BY rule_risk_score DESC, client_id) AS rank
-               FROM client_rules) WHERE rank <= {RULE_TOP_K}""", ["client_rules"]))
+               FROM client_rules) WHERE rank <= {RULE_TOP_K}""", ["client_rules"]), r4=["contract_value"])
 def q_risk_top_k(spark, d):
     return CA.top_k_by(rules(spark, d), "rule_risk_score", RULE_TOP_K)
 
@@ -1081,8 +1219,7 @@ def q_group_split_exact(spark, d):
 def q_revenue_forecast(spark, d):
     """T2-T11 end to end: per series the better backtested model (Holt-Winters or
     pooled GBT lags), its 12-month forecast with bands and the churn ramp."""
-    s = series(spark, d)
-    best = FC.chosen_forecast(FC.holt_winters(s), FC.gbt_lags(s))
+    best = FC.chosen_forecast(hw(spark, d), FC.gbt_lags(complete_series(spark, d)))
     return FC.churn_adjusted(best, FC.expected_loss(ranking(spark, d), clients_clean(spark, d)))
 
 
@@ -1111,3 +1248,58 @@ FROM ranking, (SELECT sum(churn_adjusted_forecast) AS next_12m_revenue FROM adju
 def q_kpi_block(spark, d):
     total = adjusted_naive(spark, d).where(F.col("series_id") == FC.ALL_SERIES)
     return DE.kpi_block(ranking(spark, d), total)
+
+
+# --------------------------------------------------------------------------
+# CSV sink and scan, append, guarded read; late classification
+# --------------------------------------------------------------------------
+_CSV_KINDS = ["invoice", "payment"]
+
+
+@register("csv_round_trip", O.sql("""
+SELECT transaction_type, payment_status, count(*) AS transactions, count(amount) AS with_amount,
+       sum(amount) AS amount, min(transaction_date) AS first_day, max(transaction_date) AS last_day
+FROM transactions WHERE transaction_type IN ('invoice', 'payment') GROUP BY 1, 2""", ["transactions"]),
+    r4=["amount"])
+def q_csv_round_trip(spark, d):
+    """Transactions go out as CSV (overwrite, then append), come back by a
+    declared schema, and are aggregated; a folder that was never written reads as empty."""
+    tx = transactions(spark, d).select("transaction_id", "client_id", "transaction_date",
+                                       "transaction_type", "amount", "payment_status")
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    for kind, mode in zip(_CSV_KINDS, ("overwrite", "append")):
+        IO.write_table(tx.where(F.col("transaction_type") == kind), f"{base}/tx", "csv", mode)
+    back = IO.read_csv(spark, f"{base}/tx", tx.schema).unionByName(
+        IO.guarded_read(spark, f"{base}/never-written", tx.schema, "csv"))
+    return back.groupBy("transaction_type", "payment_status").agg(
+        F.count(F.lit(1)).alias("transactions"), F.count("amount").alias("with_amount"),
+        F.sum("amount").alias("amount"), F.min("transaction_date").alias("first_day"),
+        F.max("transaction_date").alias("last_day"))
+
+
+@register("delivery_status", """
+SELECT status, count(*) AS lines
+FROM (SELECT CASE WHEN date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) > 5
+                  THEN 'late' ELSE 'on-time' END AS status
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey) GROUP BY status""")
+def q_delivery_status(spark, d):
+    """on-time or late by days between the order (due) and shipping (done)."""
+    orders = IO.read_table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("due"))
+    lines = IO.read_table(spark, d, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").alias("done"))
+    return (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+            .groupBy(X.late_status("due", "done").alias("status")).agg(F.count(F.lit(1)).alias("lines")))
+
+
+@register("quantiles_with_nan", """
+SELECT l_returnflag, count(x) AS n, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+       quantile_cont(x, 0.75) AS q3
+FROM (SELECT l_returnflag, CASE WHEN l_orderkey % 7 IN (0, 1) THEN NULL ELSE l_extendedprice END AS x
+      FROM lineitem) WHERE x IS NOT NULL GROUP BY l_returnflag""", r4=["q1", "median", "q3"])
+def q_quantiles_with_nan(spark, d):
+    """Exact quantiles of a column that holds NULL and NaN: neither is a value."""
+    from ..operators.ordering import exact_quantiles
+    key = F.col("l_orderkey") % 7
+    x = F.when(key == 0, F.lit(None)).when(key == 1, F.lit(float("nan"))).otherwise(F.col("l_extendedprice"))
+    lines = IO.read_table(spark, d, "lineitem").select("l_returnflag", x.alias("x"))
+    return exact_quantiles(lines, "x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["l_returnflag"]).select(
+        "l_returnflag", "n", "q1", "median", "q3")

@@ -2,6 +2,8 @@
 
 import itertools
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -41,21 +43,46 @@ def test_auc_against_brute_force(spark):
     assert MT.pr_auc(df).first()[0] == pytest.approx(_brute_pr(s, y))
 
 
-def test_holt_winters_vectorised_equals_loop():
+def _loop_holt_winters(y):
+    """Least squared error over the grid, one scalar recursion per pair."""
+    best = None
+    for a in np.round(np.arange(1, 20) * 0.05, 2):
+        for g in np.round(np.arange(1, 20) * 0.05, 2):
+            lv, se, fit = y[:12].mean(), list(y[:12] - y[:12].mean()), []
+            for t, obs in enumerate(y):
+                j = t % 12
+                fit.append(lv + se[j])
+                new = a * (obs - se[j]) + (1 - a) * lv
+                se[j] = g * (obs - new) + (1 - g) * se[j]
+                lv = new
+            sse = ((np.array(fit) - y) ** 2).sum()
+            if best is None or sse < best[0]:
+                best = (sse, a, g, lv, se, np.std(y - fit))
+    return best
+
+
+def test_holt_winters_fold_equals_loop(spark):
     rng = np.random.default_rng(5)
     y = 100 + 10 * np.sin(np.arange(40) * 2 * np.pi / 12) + rng.normal(0, 1, 40)
-    a, g = 0.3, 0.2
-    sse, level, seas, fitted = FC._hw_run(y, np.array([a]), np.array([g]), 12)
-    lv, se = y[:12].mean(), list(y[:12] - y[:12].mean())
-    fit = []
-    for t, obs in enumerate(y):
-        j = t % 12
-        fit.append(lv + se[j])
-        new = a * (obs - se[j]) + (1 - a) * lv
-        se[j] = g * (obs - new) + (1 - g) * se[j]
-        lv = new
-    assert fitted[0] == pytest.approx(fit)
-    assert sse[0] == pytest.approx(sum((np.array(fit) - y) ** 2))
+    rows = [("A", f"{2000 + m // 12}-{m % 12 + 1:02d}", float(v)) for m, v in enumerate(y)]
+    out = FC.holt_winters(spark.createDataFrame(rows, "series_id string, year_month string, value double")).collect()
+    for kind, seen in (("backtest", y[:-FC.HOLDOUT]), ("forecast", y)):
+        _, a, g, lv, se, std = _loop_holt_winters(seen)
+        mine = sorted((r for r in out if r["kind"] == kind), key=lambda r: r["h"])
+        assert {(r["alpha"], r["gamma"]) for r in mine} == {(a, g)}
+        assert [r["prediction"] for r in mine] == pytest.approx(
+            [lv + se[(len(seen) + h) % 12] for h in range(len(mine))])
+        if kind == "forecast":
+            assert mine[0]["resid_std"] == pytest.approx(std)
+        else:
+            assert [r["actual"] for r in mine] == pytest.approx(list(y[-FC.HOLDOUT:]))
+
+
+def test_holt_winters_says_when_history_is_short(spark):
+    rows = [("A", f"2000-{m + 1:02d}", 5.0) for m in range(12)]
+    out = FC.holt_winters(spark.createDataFrame(rows, "series_id string, year_month string, value double")).collect()
+    assert len(out) == FC.HOLDOUT + FC.HORIZON
+    assert all(r["prediction"] is None and r["status"] == "history too short" for r in out)
 
 
 def test_holt_winters_shapes(spark):
@@ -123,3 +150,84 @@ def test_streamed_client_panel_equals_batch(spark):
     assert len(a) == len(b) > 0
     for x, y in zip(a, b):
         assert x[:2] == y[:2] and x[2:] == pytest.approx(y[2:])
+
+
+def test_streams_read_part_files_in_many_batches(spark, tmp_path):
+    """The same panels from folders of part files, at least three batches each, and after a replay."""
+    from churnlens.operators import panel as PA
+    from churnlens.sources import adapters as A
+    for name, n in (("events", 4), ("orders", 3), ("lineitem", 5)):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").repartition(n).write.parquet(f"{tmp_path}/{name}.parquet")
+    close = lambda x, y: [r[:2] for r in x] == [r[:2] for r in y] and all(
+        p[2:] == pytest.approx(q[2:]) for p, q in zip(x, y))
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    batch = rows(ST.merge(ST.event_partials(spark.read.parquet(f"{SF_SMALL}/events.parquet"))))
+    work = f"{tmp_path}/work"
+    assert close(rows(ST.run(spark, str(tmp_path), files_per_batch=1, work_dir=work)), batch)
+    assert len(list((tmp_path / "work/partials").glob("epoch=*"))) == 4
+    # an epoch that runs again replaces its partials
+    again = spark.read.parquet(f"{work}/partials/epoch=1")
+    again.cache().count()
+    again.write.mode("overwrite").parquet(f"{work}/partials/epoch=1")
+    assert close(rows(ST.run(spark, str(tmp_path), files_per_batch=1, work_dir=work)), batch)
+    clients = A.clients_view(spark, SF_SMALL)
+    want = rows(PA.client_month_panel(A.transactions_view(spark, SF_SMALL), clients))
+    assert close(rows(ST.run_client_panel(spark, str(tmp_path), clients, files_per_batch=1)), want)
+
+
+def test_missing_stream_table_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)not exist|FileNotFound"):
+        ST.run(spark, str(tmp_path))
+
+
+def test_null_faults(spark):
+    from churnlens.functions import expr as X
+    from churnlens.operators import calendar as CA
+    from churnlens.operators import labels as LB
+    row = spark.sql("select cast(null as double) as x, 250.0D as y").select(
+        X.clip("x", -100, 100).alias("x"), X.clip("y", -100, 100).alias("y")).first()
+    assert row["x"] is None and row["y"] == 100
+    clients = spark.createDataFrame(
+        [(1, "Annual", "Cloud;Backup", None, None, 1.0), (2, "Monthly", "Cloud", dt.date(2000, 3, 5), None, 2.0)],
+        "client_id long, contract_type string, services_subscribed string, contract_start_date date, "
+        "churn_date date, contract_value double")
+    rules = CA.client_rules(clients, "1999-01-01", "2000-06-30")
+    got = {r["client_id"]: r for r in rules.collect()}
+    assert got[1]["tenure_months"] is None and got[1]["active_start"] is None and got[1]["months_active"] is None
+    assert got[2]["tenure_months"] == 3 and got[1]["service_list"] == "Backup, Cloud"
+    assert {r["client_id"] for r in CA.billing_calendar(rules).collect()} == {2}
+    big = spark.createDataFrame([(2 * 10**15,), (9 * 10**18,), (-5,), (272_000,)], "client_id long")
+    assert LB.group_split(big).where("split is null").count() == 0
+    ints = spark.createDataFrame([(272_000,)], "client_id int")
+    assert LB.group_split(ints).first()["split"] == LB.group_split(big).where("client_id = 272000").first()["split"]
+
+
+def test_newer_months_are_kept_and_half_months_only_leave_the_models(spark):
+    panel = spark.createDataFrame([("EU", "2031-05", 1.0), ("EU", "2031-06", 2.0)],
+                                  "region string, year_month string, invoiced_amt double")
+    series = FC.monthly_series(panel, "region")
+    assert {(r[0], r[1]) for r in series.collect()} == {(s, m) for s in ("EU", "ALL") for m in ("2031-05", "2031-06")}
+    tx = lambda day: spark.createDataFrame(
+        [("invoice", dt.date(2031, 5, 3)), ("invoice", day), ("usage-log", dt.date(2031, 9, 9))],
+        "transaction_type string, transaction_date date")
+    half = FC.complete_months(series, FC.last_complete_month(tx(dt.date(2031, 6, 10))))
+    whole = FC.complete_months(series, FC.last_complete_month(tx(dt.date(2031, 6, 30))))
+    assert {r["year_month"] for r in half.collect()} == {"2031-05"}
+    assert {r["year_month"] for r in whole.collect()} == {"2031-05", "2031-06"}
+
+
+def test_median_of_nan(spark):
+    from churnlens.operators.ordering import exact_median
+    df = spark.createDataFrame([(3.0,), (float("nan"),), (1.0,), (2.0,), (5.0,), (None,)], "x double")
+    assert exact_median(df, "x") == 2.5
+
+
+def test_rewritten_input_gets_new_products(spark, tmp_path):
+    from churnlens.plans import catalog as C
+    import time
+    spark.range(3).write.parquet(f"{tmp_path}/orders.parquet")
+    first = C.input_state(spark, str(tmp_path))
+    assert first == C.input_state(spark, str(tmp_path))
+    time.sleep(0.01)
+    spark.range(4).write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    assert first != C.input_state(spark, str(tmp_path))
