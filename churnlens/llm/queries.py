@@ -15,12 +15,14 @@ from churnlens.llm.near_dup import near_duplicates
 from churnlens.llm.quality_rules import quality_rules
 from churnlens.llm.store import folder
 from churnlens.llm.warc import round_trip
+from churnlens.session import ship_package
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,6 +6,8 @@ the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,16 +17,28 @@ from churnlens.llm.line_dedup import without_common_lines
 from churnlens.llm.lsa_decontam import decontaminate
 from churnlens.llm.near_dup import near_duplicates
 from churnlens.llm.store import written
+from churnlens.session import ship_package
 
 SIMILARITY_PERCENT = 80
 
 
+def stage(function):
+    """A stage can be called alone: the Python workers get this package first."""
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, docs, sf_dir)
+    return run
+
+
+@stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of the top grade is at least one half."""
     model = ordinal.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return ordinal.select_documents(docs, model)
 
 
+@stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Common blocks leave the later document; a document that loses its last word goes."""
     cut = without_common_lines(docs).where((F.col("n_cut") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
@@ -32,18 +46,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+@stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest doc_id."""
     copies = near_duplicates(docs, SIMILARITY_PERCENT).where("not kept").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
+@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
     found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
+@stage
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit) with their digests."""
     encoded = bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -65,6 +82,6 @@ ORACLE_SQL = None  # SQL expresses neither the classifier nor the encoding
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for name, step in STAGES[:-1]:
+        docs = written(step(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
