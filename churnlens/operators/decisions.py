@@ -288,13 +288,12 @@ def apply_scenarios(df: DataFrame, scenarios=SCENARIOS) -> DataFrame:
                         .otherwise(F.col("is_declining_engagement_flag")))
 
 
-def what_if_summary(base_scored: DataFrame, mod_scored: DataFrame,
+def what_if_summary(j: DataFrame,
                     target: float = TARGET_RELATIVE_REDUCTION) -> DataFrame:
     """Aggregate per scenario (A11-A13) and the R8 progress figures.
 
-    ``base_scored``: one row per client with ``base_p``; ``mod_scored``: one row
-    per (scenario, client) with ``mod_p``.  Both carry the client's MRR."""
-    j = mod_scored.join(base_scored.select("client_id", "base_p"), "client_id")
+    ``j``: one row per (scenario, client) with the client's MRR, ``base_p`` (scored before
+    the scenarios fanned the rows out) and ``mod_p``."""
     mrr = F.col("monthly_recurring_revenue")
     a = j.groupBy("scenario").agg(
         F.count(F.lit(1)).alias("num_active_clients"),

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
-from .ordering import exact_median, exact_quantiles
+from .joins import split_hot_join
+from .ordering import exact_median
 from .panel import DOWNGRADE, INVOICE, PAYMENT, UPDOWN_FILL, UPGRADE
 
 
@@ -34,13 +35,6 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
                     F.try_divide(F.col("p.null_count"), F.col("_n")).alias("null_rate")))
 
 
-def total_nulls(df: DataFrame, exempt: Sequence[str] = ()) -> DataFrame:
-    """One row, the NULL count over all columns but ``exempt``."""
-    cols = [c for c in df.columns if c not in set(exempt)]
-    s = sum((F.col(c).isNull().cast("long") for c in cols), F.lit(0).cast("long"))
-    return df.agg(F.coalesce(F.sum(s), F.lit(0)).cast("long").alias("null_cells"))
-
-
 def fill_median(df: DataFrame, column: str) -> DataFrame:
     """Replace NULLs with the exact median (a no-op when none is missing)."""
     m = exact_median(df, column)
@@ -129,11 +123,6 @@ def impute_compare(clients: DataFrame, industry_vocab: Sequence[str],
     return stats.select(rows.alias("r")).select("r.*")
 
 
-def median_by(df: DataFrame, value: str, group_cols: Sequence[str]) -> DataFrame:
-    """Exact median per group."""
-    return exact_quantiles(df, value, {"median": 0.5}, group_cols)
-
-
 def impute_amounts(transactions: DataFrame, clients: DataFrame,
                    updown_fill: float = UPDOWN_FILL) -> DataFrame:
     """I7/I8 at row level: upgrades/downgrades get a constant, invoices and
@@ -143,10 +132,8 @@ def impute_amounts(transactions: DataFrame, clients: DataFrame,
     (The panel does not use this: it applies the same fill after aggregating.)
     """
     kind = F.col("transaction_type")
-    dim = clients.select("client_id", F.col("monthly_recurring_revenue").alias("_mrr"))
-    # one row per client on the right: a hot client is split by AQE's skew join
-    # (finding hot keys here would cost two extra passes over the derived view)
-    j = transactions.join(dim, "client_id", "left")
+    dim = clients.select(F.col("client_id").alias("_cid"), F.col("monthly_recurring_revenue").alias("_mrr"))
+    j = split_hot_join(transactions, dim, "client_id", "_cid", "left")   # a hot client stays out of the shuffle
     amount = (F.when(F.col("amount").isNotNull(), F.col("amount"))
               .when(kind.isin(UPGRADE, DOWNGRADE), F.lit(updown_fill))
               .when(kind.isin(INVOICE, PAYMENT), F.col("_mrr")))

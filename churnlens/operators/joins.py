@@ -17,22 +17,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Left equi-join that adds ``columns`` of a one-row-per-key table."""
-    return df.join(dim.select(key, *columns), key, "left")
-
-
-def semi(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is present in ``keys``."""
-    return df.join(keys.select(key), key, "left_semi")
-
-
-def flag_membership(df: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
-    """Boolean column telling whether the key is in ``keys``."""
-    marked = keys.select(key).distinct().withColumn(name, F.lit(True))
-    return df.join(marked, key, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
-
-
 # ---------------------------------------------------------------------------
 # Hot keys: split them out of the shuffle
 # ---------------------------------------------------------------------------

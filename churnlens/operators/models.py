@@ -31,7 +31,7 @@ LABEL = "target_churn_3m"
 SCORE = "predicted_churn_probability"
 MODEL_ORDER = ["Logistic Regression", "Random Forest", "Gradient Boosted Trees"]
 
-# Business labels of the base features (others keep their name)
+# Business labels of the base features
 FEATURE_LABELS = {
     "monthly_recurring_revenue": "Monthly Recurring Revenue ($)",
     "nps_score": "NPS Score",
@@ -54,6 +54,14 @@ FEATURE_LABELS = {
 }
 
 
+def business_label(feature: str) -> str:
+    """Label of a feature; an indicator reads as its group and level, anything else as its name."""
+    for group in ("industry", "region"):
+        if feature.startswith(group + "_"):
+            return f"{group.capitalize()}: {feature[len(group) + 1:]}"
+    return FEATURE_LABELS.get(feature, feature)
+
+
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     """M4 (re-aimed): weight column that balances the two classes exactly."""
     c = train.agg(F.count_if(F.col(label) == 1).alias("pos"),
@@ -113,14 +121,21 @@ def score(model: PipelineModel, df: DataFrame, features: Sequence[str],
 
 def compare(fitted: dict[str, PipelineModel], labelled: DataFrame,
             features: Sequence[str]) -> DataFrame:
-    """One evaluation row per model on the test clients."""
-    test = labelled.where(F.col("split") == "test")
-    rows = None
-    for i, (name, m) in enumerate(fitted.items()):
-        ev = MT.evaluate(score(m, test, features), LABEL, SCORE).select(
-            F.lit(name).alias("model"), F.lit(i).alias("model_order"), "*")
-        rows = ev if rows is None else rows.unionByName(ev)
-    return rows
+    """One evaluation row per model on the test clients.
+
+    The test rows are read once and pass through all models in a row; what
+    goes on is one count per (model, score)."""
+    rows = prepare(labelled.where(F.col("split") == "test"), features).select(LABEL, *features)
+    scores = []
+    for i, m in enumerate(fitted.values()):
+        rows = m.transform(rows).withColumn(f"_p{i}", vector_to_array("probability")[1]).drop(
+            "features", "scaled", "rawPrediction", "probability", "prediction")
+        scores.append(F.struct(F.lit(i).alias("model_order"), F.col(f"_p{i}").alias("score")))
+    long = rows.select(F.col(LABEL).alias("label"), F.explode(F.array(*scores)).alias("_s")).select(
+        "label", "_s.*")
+    names = F.element_at(F.array(*[F.lit(n) for n in fitted]), F.col("model_order") + 1)
+    return MT.evaluate_groups(long, "model_order").select(
+        names.alias("model"), "model_order", *MT.EVALUATION)
 
 
 def best_model(comparison: DataFrame) -> str:
@@ -138,11 +153,11 @@ def importances(model: PipelineModel, features: Sequence[str]) -> DataFrame:
         raw = [abs(float(v)) for v in est.coefficients.toArray()]
     session = SparkSession.getActiveSession()
     # one row per feature: bounded by the feature count, not by the data
-    df = session.createDataFrame(list(zip(features, raw)), "feature string, weight double")
+    df = session.createDataFrame([(f, business_label(f), w) for f, w in zip(features, raw)],
+                                 "feature string, business_feature string, weight double")
     total = F.sum("weight").over(Window.partitionBy())
-    labels = F.create_map(*[F.lit(x) for kv in FEATURE_LABELS.items() for x in kv])
     return df.select(
-        "feature", F.coalesce(labels[F.col("feature")], F.col("feature")).alias("business_feature"),
+        "feature", "business_feature",
         F.coalesce(F.try_divide(F.col("weight"), total), F.lit(0.0)).alias("importance"))
 
 

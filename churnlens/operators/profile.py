@@ -160,9 +160,9 @@ def kde(clients: DataFrame, value: str = "monthly_recurring_revenue", by: str =
     """Gaussian kernel density per group on a regular grid, Scott bandwidth
     (sample std * n^(-1/5)), grid from min - cut*h to max + cut*h.
 
-    Each row contributes to every grid point of its group: a fixed fan-out of
-    ``gridsize`` folded by a map-side partial aggregate into gridsize rows per
-    task before the shuffle."""
+    Equal values are counted first; each distinct value then contributes to every grid
+    point of its group: a fixed fan-out of ``gridsize``, folded by a map-side
+    partial aggregate into gridsize rows per task before the shuffle."""
     base = clients.where(F.col(value).isNotNull()).select(by, F.col(value).alias("_x"))
     st = (base.groupBy(by)
           .agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_s"),
@@ -172,12 +172,12 @@ def kde(clients: DataFrame, value: str = "monthly_recurring_revenue", by: str =
           .withColumn("_dg", (F.col("_hi") - F.col("_lo") + 2 * cut * F.col("_h"))
                       / F.lit(gridsize - 1)))
     # one row per group (the status flag): a bounded side
-    j = base.join(F.broadcast(st), by)
-    g = j.select(by, "_x", "_n", "_h", "_g0", "_dg",
+    j = base.groupBy(by, "_x").agg(F.count(F.lit(1)).alias("_c")).join(F.broadcast(st), by)
+    g = j.select(by, "_x", "_c", "_n", "_h", "_g0", "_dg",
                  F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid_index"))
     x = F.col("_g0") + F.col("grid_index") * F.col("_dg")
     z = (x - F.col("_x")) / F.col("_h")
-    contrib = F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_h") * F.lit((2 * 3.141592653589793)
+    contrib = F.col("_c") * F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_h") * F.lit((2 * 3.141592653589793)
                                                                         ** 0.5))
     return (g.groupBy(by, "grid_index")
             .agg(F.first(x).alias("x"), F.sum(contrib).alias("density")))

@@ -164,8 +164,6 @@ def model_ready(spark, d):
 MONEY_PANEL = ["invoiced_amt", "paid_amt", "total_usage", "usage_infra", "usage_cloud",
                "usage_security", "upgrade_amt", "downgrade_amt"]
 RATIOS = ["revenue_trend_3mo", "usage_trend_3mo", "late_payment_rate", "sla_breach_rate"]
-CLIENT_DOUBLES = ["monthly_recurring_revenue", "contract_value", "avg_ticket_satisfaction",
-                  "payment_delay_days_avg", "product_usage_score"]
 
 
 # --------------------------------------------------------------------------
@@ -713,8 +711,7 @@ def what_if(spark, d):
     la = DE.latest_active(model_ready(spark, d), clients_clean(spark, d))
     enc = LB.encode_features(la, None, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
     base = LB.formula_score(enc, "base_p")
-    mod = LB.formula_score(DE.apply_scenarios(enc), "mod_p")
-    return DE.what_if_summary(base, mod)
+    return DE.what_if_summary(LB.formula_score(DE.apply_scenarios(base), "mod_p"))
 
 
 _SCEN = ", ".join(f"('{n}', {s!r}, {u!r}, {p})" for n, s, u, p in DE.SCENARIOS)
@@ -775,22 +772,30 @@ def labelled_encoded(spark, d):
 def fitted_models(spark, d):
     """Fitted pipelines, memoised per session and input folder (model objects,
     not data, are kept)."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (spark.sparkContext.applicationId, d, input_state(spark, d))
     if key not in _FITTED:
         _FITTED[key] = MD.fit_models(labelled_encoded(spark, d), FEATURES)
     return _FITTED[key]
 
 
-@memo
 def model_comparison(spark, d):
-    return MD.compare(fitted_models(spark, d), labelled_encoded(spark, d), FEATURES)
+    return product(spark, d, "model_comparison",
+                   lambda: MD.compare(fitted_models(spark, d), labelled_encoded(spark, d), FEATURES))
 
 
 def best_pipeline(spark, d):
-    key = ("best", spark.sparkContext.applicationId, d)
+    """The best model is saved as one directory (scaler, features, model) in the shared
+    folder, and every consumer scores with the pipeline loaded from there."""
+    state = input_state(spark, d)
+    key = ("best", spark.sparkContext.applicationId, d, state)
     if key not in _FITTED:
-        _FITTED[key] = MD.best_model(model_comparison(spark, d))
-    return fitted_models(spark, d)[_FITTED[key]]
+        best = fitted_models(spark, d)[MD.best_model(model_comparison(spark, d))]
+        tag = hashlib.sha1(d.encode()).hexdigest()[:10]
+        path = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/products/"
+                f"{spark.sparkContext.applicationId}/{tag}-{state}/best_pipeline")
+        MD.save(best, path)
+        _FITTED[key] = MD.load(path)
+    return _FITTED[key]
 
 
 @register("model_compare")
@@ -803,11 +808,40 @@ def q_driver_importance(spark, d):
     return MD.importances(best_pipeline(spark, d), FEATURES).orderBy(F.desc("importance"))
 
 
+def ranking_ml(spark, d):
+    """Every client's latest row scored by the saved pipeline."""
+    def build():
+        cc = clients_clean(spark, d)
+        enc = LB.encode_features(latest_features(spark, d), cc, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
+        return DE.risk_ranking(MD.score(best_pipeline(spark, d), enc, FEATURES), cc)
+    return product(spark, d, "ranking_ml", build)
+
+
 @register("risk_ranking_ml")
 def q_risk_ranking_ml(spark, d):
-    cc = clients_clean(spark, d)
-    enc = LB.encode_features(latest_features(spark, d), cc, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
-    return DE.risk_ranking(MD.score(best_pipeline(spark, d), enc, FEATURES), cc)
+    return ranking_ml(spark, d)
+
+
+@register("recommendations_ml")
+def q_recommendations_ml(spark, d):
+    """R1-R3 on the fitted model."""
+    return DE.recommendations(ranking_ml(spark, d), latest_features(spark, d), usage_floor=USAGE_FLOOR)
+
+
+@register("retention_impact_ml")
+def q_retention_impact_ml(spark, d):
+    """R4 on the fitted model."""
+    return DE.retention_impact(ranking_ml(spark, d))
+
+
+@register("what_if_ml")
+def q_what_if_ml(spark, d):
+    """Six scenarios re-scored through the saved pipeline, all edited features included."""
+    pipe = best_pipeline(spark, d)
+    la = DE.latest_active(model_ready(spark, d), clients_clean(spark, d))
+    enc = LB.encode_features(la, None, A.INDUSTRY_VOCAB, A.REGION_VOCAB)
+    base = MD.score(pipe, enc, FEATURES, "base_p")
+    return DE.what_if_summary(MD.score(pipe, DE.apply_scenarios(base), FEATURES, "mod_p"))
 
 
 # --------------------------------------------------------------------------
