@@ -23,6 +23,7 @@ HEADLINE = [
     "box_summary",
     "lorenz_curve",
     "gini_top_decile",
+    "kde_mrr",
     "risk_ranking",
     "recommendations",
     "retention_impact",
@@ -31,9 +32,20 @@ HEADLINE = [
     "pr_auc",
     "churn_adjusted_forecast",
     "hw_forecast",
+    "hw_naive_forecast",
+    "gbt_lag_forecast",
+    "forecast_model_choice",
+    "revenue_forecast",
     "billing_calendar",
+    "csv_round_trip",
     "incremental_panel",
+    "incremental_client_panel",
+    "model_compare",           # three fits and their evaluation
+    "driver_importance",
+    "risk_ranking_ml",
+    "what_if_ml",
 ]
+WARM_LIMIT = 30.0  # a query is run a second time if its first run took less
 
 
 def main() -> None:
@@ -47,17 +59,24 @@ def main() -> None:
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
         for name in ("model_ready", "what_if", "hw_forecast"):
             REGISTRY[name].run(spark, warm_dir).write.format("noop").mode("overwrite").save()
-    times = {}
-    for name in only:
+    times, warm = {}, {}
+
+    def timed(name: str) -> float:
         t0 = time.perf_counter()
         REGISTRY[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        return round(time.perf_counter() - t0, 3)
+
+    # cold: the first query of a family also builds the products it reads; warm: these exist
+    for name in only:
+        times[name] = timed(name)
+        if times[name] < WARM_LIMIT:
+            warm[name] = timed(name)
     # throughput of the reference's ETL step (transactions -> model-ready table)
     etl = sum(times.get(q, 0.0) for q in ("client_month_panel", "model_ready"))
     n_tx = transactions(spark, sf_dir).count()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_time", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times,
+                      "unit": "sec", "queries": times, "warm": warm,
                       "sf": float(m.group(1)) if m else sf_dir, "cpus": int(cpus),
                       "transactions": n_tx,
                       "etl_rows_per_sec": round(n_tx / etl) if etl else None}))
