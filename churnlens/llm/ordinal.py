@@ -21,6 +21,7 @@ from churnlens.llm.rated import RATED_ROWS, rated_sample
 from churnlens.llm.store import written
 from churnlens.llm.text import Words, mix64, slices, words
 
+N_GRADES = 3
 BUCKETS = 1 << 18
 MIN_DOCS = 4        # a bucket needs so many rated documents to carry a weight
 MIN_Z = 4.5         # and its documents' share above some grade so many standard errors from the overall share
@@ -97,23 +98,32 @@ class OrdinalModel:
         return np.diff(np.concatenate((np.zeros((len(score), 1)), below, np.ones((len(score), 1))), axis=1), axis=1)
 
 
-def fit(doc: np.ndarray, bucket: np.ndarray, grade: np.ndarray, n_grades: int = 3, steps: int = STEPS) -> OrdinalModel:
+def telling(counts: np.ndarray) -> np.ndarray:
+    """Buckets that may carry a weight, from their documents by grade (grades x BUCKETS) and the
+    documents of each grade in the last column: common enough, and with a share above some grade
+    that differs from the overall share."""
+    by_bucket, documents = counts[:, :-1].astype(float), counts[:, -1].astype(float)
+    seen = by_bucket.sum(axis=0)
+    out = np.zeros(by_bucket.shape[1], bool)
+    for k in range(1, len(documents)):
+        share = documents[k:].sum() / max(documents.sum(), 1)
+        lift = by_bucket[k:].sum(axis=0) - share * seen
+        out |= np.abs(lift) > MIN_Z * np.sqrt(share * (1 - share) * seen)
+    return np.flatnonzero(out & (seen >= MIN_DOCS))
+
+
+def fit(doc: np.ndarray, bucket: np.ndarray, grade: np.ndarray, used: np.ndarray, n_grades: int = N_GRADES,
+        steps: int = STEPS) -> OrdinalModel:
     """Maximum penalised likelihood by full-batch Adam steps, from zero: deterministic.
 
-    Every rated document weighs the same.  With fewer than two grades in the sample there is
-    nothing to separate: the model then gives every document the top grade.
+    ``used``: the buckets that carry weights.  Every rated document weighs the same.  With
+    fewer than two grades in the sample there is nothing to separate: the model then gives
+    every document the top grade.
     """
     weights = np.zeros(BUCKETS)
     present = np.bincount(grade, minlength=n_grades)
     if (present > 0).sum() < 2:
         return OrdinalModel(weights, np.arange(n_grades - 1) - 60.0)
-    seen = np.bincount(bucket, minlength=BUCKETS)
-    telling = np.zeros(BUCKETS, bool)
-    for k in range(1, n_grades):
-        above = (grade >= k).astype(float)
-        lift = np.bincount(bucket, (above - above.mean())[doc], minlength=BUCKETS)
-        telling |= np.abs(lift) > MIN_Z * above.std() * np.sqrt(seen)
-    used = np.flatnonzero((seen >= MIN_DOCS) & telling)
     column = np.full(BUCKETS, -1)
     column[used] = np.arange(len(used))
     mask = column[bucket] >= 0
@@ -155,21 +165,52 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc_id", "grade", "packed"])
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents by bucket and grade (bucket BUCKETS: all documents), one row per bucket and task."""
+    counts = np.zeros((N_GRADES, BUCKETS + 1), np.int64)
+    for batch in batches:
+        for grade, packed in zip(batch.column("grade").to_pylist(), batch.column("packed").to_pylist()):
+            counts[grade, np.frombuffer(packed, "<u4")] += 1
+            counts[grade, BUCKETS] += 1
+    held = np.flatnonzero(counts.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(held), *[pa.array(c[held]) for c in counts]],
+                                     ["bucket", *[f"g{k}" for k in range(N_GRADES)]])
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = RATED_ROWS) -> OrdinalModel:
     """Fit on at most ``rows`` rated documents.
 
     The sampled ids are broadcast (at most ``rows`` of 12 bytes) and the documents are
-    scanned once; only the sample's packed features (about 1 KB each) reach the driver.
+    scanned once.  Buckets are screened by counts that the tasks sum up; what reaches the
+    driver is at most BUCKETS rows of counts, and the screened buckets of the sample.
     """
     sample = rated_sample(labels, rows)
     rated = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    table = written(rated.mapInArrow(_packed, "doc_id long, grade int, packed binary"), "rated").orderBy(
-        "doc_id", F.xxhash64("packed")).toArrow()
-    grade = table.column("grade").to_numpy().astype(np.int64)
-    lists = [np.frombuffer(x, "<u4") for x in table.column("packed").to_pylist()]
+    table = written(rated.mapInArrow(_packed, "doc_id long, grade int, packed binary"), "rated")
+    columns = [f"g{k}" for k in range(N_GRADES)]
+    sums = (table.select("grade", "packed").mapInArrow(_counted, "bucket long, " + ", ".join(f"{c} long" for c in columns))
+            .groupBy("bucket").agg(*[F.sum(c).alias(c) for c in columns])
+            .where(" + ".join(columns) + f" >= {MIN_DOCS} or bucket = {BUCKETS}").toArrow())
+    counts = np.zeros((N_GRADES, BUCKETS + 1), np.int64)
+    for k, c in enumerate(columns):
+        counts[k, sums.column("bucket").to_numpy()] = sums.column(c).to_numpy()
+    used = telling(counts)
+    mask = np.zeros(BUCKETS, bool)
+    mask[used] = True
+
+    def screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [(b := np.frombuffer(x, "<u4"))[mask[b]].tobytes() for x in batch.column("packed").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(kept, pa.binary())],
+                                             ["doc_id", "grade", "packed"])
+
+    own = table.mapInArrow(screened, "doc_id long, grade int, packed binary").toArrow()
+    own = own.sort_by([("doc_id", "ascending"), ("packed", "ascending")])  # the same sums whatever the layout
+    grade = own.column("grade").to_numpy().astype(np.int64)
+    lists = [np.frombuffer(x, "<u4") for x in own.column("packed").to_pylist()]
     doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     bucket = np.concatenate(lists).astype(np.int64) if lists else np.empty(0, np.int64)
-    return fit(doc, bucket, grade)
+    return fit(doc, bucket, grade, used)
 
 
 def classify(docs: DataFrame, model: OrdinalModel) -> DataFrame:
