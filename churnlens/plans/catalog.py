@@ -1057,14 +1057,19 @@ def q_hw_naive_forecast(spark, d):
     return FC.churn_adjusted(best, FC.expected_loss(ranking(spark, d), clients_clean(spark, d)))
 
 
+def gbt(spark, d):
+    """The pooled lag model's rows (a few per series): fitted once, read by three queries."""
+    return product(spark, d, "gbt_lags", lambda: FC.gbt_lags(complete_series(spark, d)))
+
+
 @register("gbt_lag_forecast")
 def q_gbt_lag_forecast(spark, d):
-    return FC.gbt_lags(complete_series(spark, d))
+    return gbt(spark, d)
 
 
 @register("forecast_model_choice")
 def q_forecast_model_choice(spark, d):
-    preds = FC.both_models(hw(spark, d), FC.gbt_lags(complete_series(spark, d)))
+    preds = FC.both_models(hw(spark, d), gbt(spark, d))
     return FC.choose_model(FC.backtest_metrics(preds))
 
 
@@ -1253,7 +1258,7 @@ def q_group_split_exact(spark, d):
 def q_revenue_forecast(spark, d):
     """T2-T11 end to end: per series the better backtested model (Holt-Winters or
     pooled GBT lags), its 12-month forecast with bands and the churn ramp."""
-    best = FC.chosen_forecast(hw(spark, d), FC.gbt_lags(complete_series(spark, d)))
+    best = FC.chosen_forecast(hw(spark, d), gbt(spark, d))
     return FC.churn_adjusted(best, FC.expected_loss(ranking(spark, d), clients_clean(spark, d)))
 
 
