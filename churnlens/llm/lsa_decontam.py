@@ -34,7 +34,7 @@ STEP = 4               # words between window starts
 MIN_COSINE = 0.6
 VERBATIM = 0.8         # share of a passage in common order that settles it
 PARAPHRASE = 0.6       # share that settles it together with the answer
-ANSWER_SHARE = 0.7     # share of the answer's words in the window
+ANSWER_SHARE = 0.5     # share of the answer's words in the window
 BLOCK = 100_000        # benchmark passages (256 bytes each) that are broadcast at a time
 _NO_WORD = np.uint32(0)
 
