@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.store import written
+from churnlens.llm.store import bucketed
 from churnlens.llm.text import U64, mix64, slices, words
 
 ORDER = 3
 BACKOFF = 0.4
 BUCKET_WORDS = 1_000_000   # words of the corpus per hash bucket: bounds a bucket's memory at any size
-REMAINDER_BITS = 48        # of a hash inside its bucket: of a million n-grams, 4e-9 meet another's
-BLOCK_BYTES = 6_000_000
+REMAINDER_BITS = 47        # of a hash inside its bucket: of a million n-grams, 7e-9 meet another's
+BLOCK_BYTES = 12_000_000   # of text: larger blocks repeat more of their n-grams, and so send fewer
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -54,6 +54,16 @@ def unpack_counts(packed: bytes, n: int) -> np.ndarray:
     return counts
 
 
+def pack_places(places: np.ndarray) -> bytes:
+    """32-bit numbers by byte planes, compressed: most of them are small."""
+    return pa.compress(places.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_places(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per block of documents: ids, lengths in words, word hashes, and each word's place among them."""
     for part in slices(batches, max_rows=1 << 16, max_bytes=BLOCK_BYTES):
@@ -66,13 +76,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
              pa.array([w.lengths.astype(np.int32)], pa.list_(pa.int32())),
              pa.array([w.hashes()[order].tobytes() if len(order) else b""], pa.binary()),
-             pa.array([rank[w.codes].astype("<u4").tobytes()], pa.binary()), pa.array([len(w.codes)], pa.int64())],
+             pa.array([pack_places(rank[w.codes])], pa.binary()), pa.array([len(w.codes)], pa.int64())],
             ["doc_ids", "lengths", "vocab", "places", "n_words"])
 
 
 def _grams(vocab: bytes, places: bytes, lengths: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per n up to ``order``: (hashes, end positions) of all n-grams inside documents."""
-    h = mix64(np.frombuffer(vocab, U64))[np.frombuffer(places, "<u4")] if places else np.empty(0, U64)
+    size = int(lengths.sum())
+    h = mix64(np.frombuffer(vocab, U64))[unpack_places(places, size)] if size else np.empty(0, U64)
     doc = np.repeat(np.arange(len(lengths)), lengths)
     out, value = [(h, np.arange(len(h)))], h
     for n in range(2, order + 1):
@@ -100,9 +111,9 @@ def backoff_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     rounded to 6 places.  Texts without words (NULL and empty ones) have a NULL score.  Every
     row is a document of its own, so a repeated row sees its copy; a NULL doc_id is passed on.
     """
-    blocks = written(docs.select("doc_id", "text").mapInArrow(
+    blocks = bucketed(docs.select("doc_id", "text").mapInArrow(
         _blocks, "doc_ids array<long>, lengths array<int>, vocab binary, places binary, n_words long")
-        .withColumn("block", F.monotonically_increasing_id()), "blocks")
+        .withColumn("block", F.monotonically_increasing_id()), "block", "blocks")
     total = blocks.agg(F.sum("n_words")).head()[0] or 0
     bits = max(3, (total // BUCKET_WORDS).bit_length())
     shift, mask = 64 - bits - REMAINDER_BITS, (1 << REMAINDER_BITS) - 1

@@ -24,5 +24,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, tag: str) -> DataFrame:
+    """Write ``df`` to the shared folder as a table bucketed by ``key``, so that a later grouping by
+    that key reads it in place instead of shuffling it.  Every task writes only the
+    buckets that it holds."""
+    spark = df.sparkSession
+    name = f"{tag}_{uuid.uuid4().hex}"
+    (df.write.bucketBy(shuffle_partitions(spark), key).option("path", folder(spark, tag))
+     .saveAsTable(name))
+    return spark.table(name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
