@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import expr as X
 from .panel import KEYS, PANEL_COLUMNS, client_month_panel
 
+# Names and order of the reference's columns
 STATIC_COLUMNS = [
     "client_name", "industry", "client_size", "contract_start_date", "contract_type",
     "account_manager", "region", "nps_score", "is_churned", "churn_date", "tenure_months",

@@ -17,6 +17,7 @@ from pyspark.sql.types import NumericType
 
 from ..functions import expr as X
 
+# Names and order of the reference's columns
 BASE_FEATURES = [
     "monthly_recurring_revenue", "nps_score", "tenure_months", "services_count",
     "revenue_trend_3mo", "usage_trend_3mo", "late_payment_rate", "sla_breach_rate",

@@ -73,6 +73,7 @@ def partial_panel(transactions: DataFrame, updown_fill: float = UPDOWN_FILL) ->
                       *[c for c in out.columns if c not in ("client_id", "_month")])
 
 
+# Names and order of the reference's columns
 PANEL_COLUMNS = [
     "invoiced_amt", "paid_amt", "late_pay_count", "failed_pay_count", "total_pay_count",
     "ticket_count", "escalated_ticket_count", "total_usage", "usage_infra", "usage_cloud",

@@ -17,8 +17,10 @@ from .joins import bounded_broadcast
 from .ordering import exact_quantiles, prefix_sums
 
 SEGMENTS = ["industry", "client_size", "contract_type", "region"]
+# Names and order of the reference's columns
 BOX_METRICS = ["sla_breaches_last_90_days", "avg_ticket_satisfaction", "product_usage_score",
                "payment_delay_days_avg"]
+# Names and order of the reference's columns
 CORR_COLUMNS = [
     "is_churned_numeric", "monthly_recurring_revenue", "tenure_months",
     "support_tickets_last_90_days", "avg_ticket_satisfaction", "sla_breaches_last_90_days",

@@ -60,7 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):   # local-cluster is a cluster
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     scratch = tempfile.mkdtemp(prefix="churnlens-ckpt-")
     sc.setCheckpointDir(scratch)
