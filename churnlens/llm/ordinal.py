@@ -28,6 +28,7 @@ MIN_Z = 4.5         # and its documents' share above some grade so many standard
 L2 = 0.0003
 STEPS = 250
 RATE = 0.1
+SPAN = 1 << 19      # features summed at a time: bounds the fit's memory
 KEEP_TAIL = 0.5     # a document stays if P(top grade) reaches this
 _STEMS = (4, 6)  # lengths of word beginnings
 
@@ -124,10 +125,16 @@ def fit(doc: np.ndarray, bucket: np.ndarray, grade: np.ndarray, used: np.ndarray
     present = np.bincount(grade, minlength=n_grades)
     if (present > 0).sum() < 2:
         return OrdinalModel(weights, np.arange(n_grades - 1) - 60.0)
-    column = np.full(BUCKETS, -1)
+    column = np.full(BUCKETS, -1, np.int32)
     column[used] = np.arange(len(used))
-    mask = column[bucket] >= 0
-    doc, col = doc[mask], column[bucket[mask]]
+    col = column[bucket]
+    doc, col = doc[col >= 0], col[col >= 0]
+    spans = [slice(at, at + SPAN) for at in range(0, len(col), SPAN)]
+
+    def gathered(to: np.ndarray, values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """Sums of values[at] by ``to``, a span at a time."""
+        return sum((np.bincount(to[s], values[at[s]], minlength=n) for s in spans), np.zeros(n))
+
     share = 1 / len(grade)
     # thresholds: a start and positive gaps, so that they stay ordered
     p = np.concatenate((np.zeros(len(used)), [-1.0], np.zeros(n_grades - 2)))
@@ -136,7 +143,7 @@ def fit(doc: np.ndarray, bucket: np.ndarray, grade: np.ndarray, used: np.ndarray
     for step in range(1, steps + 1):
         gaps = np.exp(p[k + 1:])
         t = p[k] + np.concatenate(([0.0], np.cumsum(gaps)))
-        score = np.bincount(doc, p[col], minlength=len(grade))
+        score = gathered(doc, p, col, len(grade))
         edges = np.concatenate(([-np.inf], t, [np.inf]))
         hi, lo = edges[grade + 1] - score, edges[grade] - score
         fh, fl = (np.where(np.isinf(e), np.where(e > 0, 1.0, 0.0), _sigmoid(np.where(np.isinf(e), 0, e)))
@@ -146,7 +153,7 @@ def fit(doc: np.ndarray, bucket: np.ndarray, grade: np.ndarray, used: np.ndarray
         d_score = -(dh - dl)
         grad_t = np.bincount(grade, dh, n_grades)[:-1] - np.bincount(grade, dl, n_grades)[1:]
         grad = np.concatenate((
-            np.bincount(col, d_score[doc], minlength=k) - L2 * p[:k],
+            gathered(col, d_score, doc, k) - L2 * p[:k],
             [grad_t.sum()], np.cumsum(grad_t[::-1])[::-1][1:] * gaps))
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         p = p + RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -208,8 +215,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = RATED_ROWS) -> Ordinal
     own = own.sort_by([("doc_id", "ascending"), ("packed", "ascending")])  # the same sums whatever the layout
     grade = own.column("grade").to_numpy().astype(np.int64)
     lists = [np.frombuffer(x, "<u4") for x in own.column("packed").to_pylist()]
-    doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    bucket = np.concatenate(lists).astype(np.int64) if lists else np.empty(0, np.int64)
+    doc = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
+    bucket = np.concatenate(lists) if lists else np.empty(0, np.uint32)
+    del own, lists, sums
     return fit(doc, bucket, grade, used)
 
 
