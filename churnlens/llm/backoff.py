@@ -80,18 +80,18 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_ids", "lengths", "vocab", "places", "n_words"])
 
 
-def _grams(vocab: bytes, places: bytes, lengths: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per n up to ``order``: (hashes, end positions) of all n-grams inside documents."""
+def _grams(vocab: bytes, places: bytes, lengths: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For n = 1 to ``order``, one at a time: (hashes, end positions) of all n-grams inside documents."""
     size = int(lengths.sum())
     h = mix64(np.frombuffer(vocab, U64))[unpack_places(places, size)] if size else np.empty(0, U64)
     doc = np.repeat(np.arange(len(lengths)), lengths)
-    out, value = [(h, np.arange(len(h)))], h
+    yield h, np.arange(len(h))
+    value = h
     for n in range(2, order + 1):
         value = mix64(value[:-1] if len(value) else value) ^ (h[n - 1:] * U64(2 * n + 1))
         ends = np.arange(n - 1, n - 1 + len(value))
         inside = doc[ends] == doc[ends - n + 1]
-        out.append((mix64(value[inside]), ends[inside]))
-    return out
+        yield mix64(value[inside]), ends[inside]
 
 
 def _edges(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -154,15 +154,15 @@ def backoff_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
         packed = {(n, b): t for n, b, t in zip(*(answered.column(c).to_pylist() for c in ("n", "bucket", "totals")))}
         for row in own.to_pylist():
             lengths = np.asarray(row["lengths"], np.int64)
-            out.append(_scored(row["doc_ids"], lengths, _grams(row["vocab"], row["places"], lengths, order),
-                               packed, bits, total))
+            grams = _grams(row.pop("vocab"), row.pop("places"), lengths, order)
+            out.append(_scored(row["doc_ids"], lengths, grams, packed, bits, total))
         return pa.concat_tables(out)
 
     return (blocks.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(score, "doc_id long, n_words long, unseen long, mean_log_score double"))
 
 
-def _scored(doc_ids: list, lengths: np.ndarray, grams: list, packed: dict, bits: int, total: int) -> pa.Table:
+def _scored(doc_ids: list, lengths: np.ndarray, grams: Iterator, packed: dict, bits: int, total: int) -> pa.Table:
     """Scores of one block's documents from the totals of its distinct n-grams."""
     size = int(lengths.sum())
     doc = np.repeat(np.arange(len(lengths)), lengths)
@@ -174,10 +174,15 @@ def _scored(doc_ids: list, lengths: np.ndarray, grams: list, packed: dict, bits:
         edges = _edges(distinct, bits)
         totals = np.empty(len(distinct), np.int64)
         for b in np.flatnonzero(np.diff(edges)):
-            totals[edges[b]:edges[b + 1]] = unpack_counts(packed[n, int(b)], edges[b + 1] - edges[b])
-        _, first, own = np.unique(doc[ends] * max(len(distinct), 1) + at, return_inverse=True, return_counts=True)
+            totals[edges[b]:edges[b + 1]] = unpack_counts(packed.pop((n, int(b))), edges[b + 1] - edges[b])
+        key = doc[ends] * max(len(distinct), 1) + at
+        del h, distinct
         here = np.zeros(size, np.int64)
-        here[ends] = totals[at] - own[first]
+        here[ends] = totals[at]
+        del at, totals
+        _, first, own = np.unique(key, return_inverse=True, return_counts=True)
+        here[ends] -= own[first]
+        del key, first, own
         counts.append(here)
     before = lambda c: np.concatenate(([0], c[:-1])) if size else c
     largest = np.minimum(len(counts), place + 1)
