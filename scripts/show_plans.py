@@ -46,6 +46,8 @@ def main():
     show("roc_auc (distinct scores -> prefix sums -> trapezoids)",
          C.REGISTRY["roc_auc"].fn(spark, d))
     show("recommendations (rules + global priority)", C.REGISTRY["recommendations"].fn(spark, d))
+    show("what_if (scored once, fanned out, scored again; no self-join)", C.REGISTRY["what_if"].fn(spark, d))
+    show("risk_top_k (per-task top k)", C.REGISTRY["risk_top_k"].fn(spark, d))
 
 
 if __name__ == "__main__":
