@@ -8,7 +8,10 @@
 3. Benchmark passages and sliding document windows of about their length meet in the
    latent space, each direction scaled by its singular value; a cosine above a
    bound makes a candidate.
-4. Candidates are verified on their words: longest common subsequence, and for
+4. Windows that the latent space ranks too low become candidates by counting: a bound on
+   the common subsequence, from the passage words that each window holds, leaves out only
+   windows that the verification would refuse.
+5. Candidates are verified on their words: longest common subsequence, and for
    paraphrases the share of the answer's words.
 """
 
@@ -36,6 +39,7 @@ VERBATIM = 0.8         # share of a passage in common order that settles it
 PARAPHRASE = 0.6       # share that settles it together with the answer
 ANSWER_SHARE = 0.5     # share of the answer's words in the window
 BLOCK = 100_000        # benchmark passages (256 bytes each) that are broadcast at a time
+COUNTED = 256          # passages whose words are counted side by side
 _NO_WORD = np.uint32(0)
 
 
@@ -204,15 +208,35 @@ def subsequence(passage: np.ndarray, windows: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Passages:
-    """Benchmark passages: item number, words, answer words, latent unit vectors."""
+    """Benchmark passages: item number, words, answer words, latent unit vectors; for the counting
+    the words of each that count, and how many of them a window needs."""
 
     item: list[int]
     codes: list[np.ndarray]
     answer: list[np.ndarray]
     latent: np.ndarray
+    counted: list[np.ndarray]
+    needed: np.ndarray
 
 
-def benchmark_passages(rows: list[tuple[int, str]], basis: np.ndarray) -> Passages:
+def _margin(n: int) -> int:
+    return max(STEP, n // 4)
+
+
+def _counted(passage: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, int]:
+    """Distinct words of a passage to count in a window, and the count below which it cannot be verified.
+
+    A word adds to the common subsequence at most its number in the passage, and at most its
+    number in the window: words expected more often in a window than in the passage are granted,
+    the others are counted.  Any choice gives a bound; this one lets few windows pass.
+    """
+    word, own = np.unique(passage, return_counts=True)
+    rate = -np.log1p(-np.minimum(np.exp(-idf[_feature(word)]), 0.999)) / PASSAGE
+    rare = rate * (len(passage) + 2 * _margin(len(passage)) + STEP) < own
+    return word[rare], int(np.ceil(PARAPHRASE * len(passage) - 1e-9)) - int(own[~rare].sum())
+
+
+def benchmark_passages(rows: list[tuple[int, str]], basis: np.ndarray, idf: np.ndarray) -> Passages:
     """Cut items into passages of 64 words at most, of even length.
 
     The benchmark names no answers; an item's answer is taken to be its last line
@@ -231,7 +255,44 @@ def benchmark_passages(rows: list[tuple[int, str]], basis: np.ndarray) -> Passag
             answer.append(np.unique(last))
     latent = np.array([basis[_feature(c)].sum(axis=0) for c in codes]).reshape(len(codes), basis.shape[1])
     norm = np.linalg.norm(latent, axis=1, keepdims=True)
-    return Passages(item, codes, answer, (latent / np.maximum(norm, 1e-9)).astype(np.float32))
+    chosen = [_counted(c, idf) for c in codes]
+    return Passages(item, codes, answer, (latent / np.maximum(norm, 1e-9)).astype(np.float32),
+                    [c for c, _ in chosen], np.array([n for _, n in chosen], np.int64))
+
+
+def _by_count(codes: np.ndarray, offsets: np.ndarray, doc_of: np.ndarray, first: np.ndarray, bench: Passages):
+    """(passage number, steps whose window may be verified for it), by a bound that leaves out no such step."""
+    steps = len(doc_of)
+    place = np.arange(steps) - first[doc_of]
+    at = offsets[doc_of] + place * STEP
+    end = offsets[doc_of + 1]
+    for some in range(0, len(bench.codes), COUNTED):
+        group = range(some, min(some + COUNTED, len(bench.codes)))
+        vocab = np.unique(np.concatenate([bench.counted[p] for p in group]))
+        held = np.zeros((len(vocab) + 1, len(group)), np.uint8)
+        for k, p in enumerate(group):
+            held[np.searchsorted(vocab, bench.counted[p]), k] = 1
+        row = np.full(len(codes), len(vocab))  # the last row counts nothing
+        if len(vocab):
+            near = np.minimum(np.searchsorted(vocab, codes), len(vocab) - 1)
+            row = np.where(vocab[near] == codes, near, len(vocab))
+        # windows hold fewer than 256 words, so differences of sums that wrap at 256 are right
+        running = np.zeros((steps + 1, len(group)), np.uint8)
+        for k in range(STEP):
+            inside = at + k < end
+            running[1:] += held[np.where(inside, row[np.minimum(at + k, len(codes) - 1)], len(vocab))]
+        np.cumsum(running, axis=0, dtype=np.uint8, out=running)
+        sizes = np.array([len(bench.codes[p]) for p in group])
+        for n in np.unique(sizes):
+            members = np.flatnonzero(sizes == n)
+            margin = _margin(int(n))
+            low = np.maximum(place - -(-margin // STEP), 0) + first[doc_of]
+            high = np.minimum(low + -(-(n + 2 * margin + STEP) // STEP) + 1, first[doc_of + 1])
+            own = np.ascontiguousarray(running[:, members])
+            need = np.maximum(bench.needed[some + members], 0).astype(np.uint8)
+            step, which = np.nonzero(own[high] - own[low] >= need)
+            for m in np.unique(which):
+                yield some + int(members[m]), step[which == m]
 
 
 def _search(codes: np.ndarray, offsets: np.ndarray, basis: np.ndarray, bench: Passages):
@@ -258,6 +319,9 @@ def _search(codes: np.ndarray, offsets: np.ndarray, basis: np.ndarray, bench: Pa
         hits, which = (np.concatenate(x) for x in zip(*found))
         for k in np.unique(which):
             _verify(codes, offsets, doc_of, starts, hits[which == k], members[k], bench, best)
+    for p, hits in _by_count(codes, offsets, doc_of, first, bench):
+        for some in range(0, len(hits), 16384):
+            _verify(codes, offsets, doc_of, starts, hits[some:some + 16384], p, bench, best)
     return [(d, *v) for d, v in best.items()]
 
 
@@ -265,7 +329,7 @@ def _verify(codes, offsets, doc_of, starts, hits, p, bench: Passages, best: dict
     """Check candidate windows of passage ``p`` on their words, with half a passage of margin."""
     passage, answer = bench.codes[p], bench.answer[p]
     n = len(passage)
-    margin = max(STEP, n // 4)
+    margin = _margin(n)
     doc = doc_of[hits]
     begin = np.maximum(starts[hits] - margin, offsets[doc])
     index = begin[:, None] + np.arange(n + 2 * margin + STEP)
@@ -279,7 +343,9 @@ def _verify(codes, offsets, doc_of, starts, hits, p, bench: Passages, best: dict
         return
     doc, begin, windows = doc[possible], begin[possible], windows[possible]
     length = subsequence(passage, windows)
-    answered = np.array([np.isin(answer, w).mean() for w in windows])
+    answered = np.zeros(len(windows))
+    for k in np.flatnonzero((length >= PARAPHRASE * n) & (length < VERBATIM * n)):
+        answered[k] = np.isin(answer, windows[k]).mean()
     sure = (length >= VERBATIM * n) | ((length >= PARAPHRASE * n) & (answered >= ANSWER_SHARE))
     for k in np.flatnonzero(sure):
         found = (length[k] / n, -int(p), int(length[k]), int(begin[k] - offsets[doc[k]]))
@@ -299,7 +365,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     table = written(docs.select("doc_id", "text").mapInArrow(_encode, "doc_id long, codes binary")
                     .withColumn("row", F.monotonically_increasing_id()), "codes")
-    _, basis = latent_basis(table)
+    idf, basis = latent_basis(table)
     shared = docs.sparkSession.sparkContext.broadcast(basis)
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     passages = items.agg(F.sum(F.ceil(F.size(F.split("text", r"\s+")) / PASSAGE))).head()[0] or 0
@@ -309,7 +375,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def matches(block: int) -> DataFrame:
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block).orderBy("item_id", "text")
         bench = docs.sparkSession.sparkContext.broadcast(
-            benchmark_passages([(r.item_id, r.text) for r in own.collect()], basis))
+            benchmark_passages([(r.item_id, r.text) for r in own.collect()], basis, idf))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part, codes, offsets in _stream(batches):

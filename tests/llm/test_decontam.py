@@ -80,3 +80,53 @@ def test_long_items_and_edges(spark, corpus):
                           (5, True, None), (6, False, 3)], key=str)
     assert decontaminate(df.limit(0), bench).collect() == []
     assert all(r.kept for r in decontaminate(df, bench.limit(0)).collect())
+
+
+def paraphrase(rnd, passage, vocab, kind, share):
+    """Every word but the answer (the last one) replaced or deleted with probability ``share``."""
+    if kind == "replaced":
+        return [rnd.choice(vocab) if rnd.random() < share else w for w in passage[:-1]] + passage[-1:]
+    return [w for w in passage[:-1] if rnd.random() >= share] + passage[-1:]
+
+
+def accepted(passage, answer, words):
+    """The verification over every window of ``words``: starts of four words, a quarter of the passage of margin."""
+    n, code = len(passage), {}
+    number = lambda w: code.setdefault(w, len(code) + 1)
+    p = np.array([number(w) for w in passage], np.uint32)
+    margin = max(4, n // 4)
+    padded = np.array([number(w) for w in words] + [0] * 200, np.uint32)
+    begin = np.array(sorted({max(s - margin, 0) for s in range(0, len(words), 4)}))
+    windows = padded[begin[:, None] + np.arange(n + 2 * margin + 4)]
+    length = subsequence(p, windows)
+    held = np.array([np.mean([number(a) in w for a in answer]) for w in windows])
+    return bool(((length >= 0.8 * n) | ((length >= 0.6 * n) & (held >= 0.5))).any())
+
+
+def test_recall_against_the_verification_over_all_windows(spark):
+    rnd = random.Random(8)
+    common = [f"c{k}" for k in range(12)]
+    vocab = [f"w{k}" for k in range(3000)]
+    topics = [rnd.sample(vocab, 60) for _ in range(50)]  # these take the leading directions, not the few copies
+    word = lambda own: rnd.choice(common) if rnd.random() < 0.4 else rnd.choice(own)
+    kinds = [("replaced", s) for s in (0.1, 0.2, 0.3, 0.38)] + [("deleted", s) for s in (0.1, 0.2, 0.3)]
+    items = [[word(vocab) for _ in range(rnd.randint(20, 59))] + [f"answer{k}"] for k in range(30 * len(kinds))]
+    docs, truth = [], {}
+    for k, item in enumerate(items):
+        topic, kind = rnd.choice(topics), kinds[k % len(kinds)]
+        host = [word(topic) for _ in range(rnd.randint(100, 400))]
+        at = rnd.randrange(len(host) + 1)
+        host[at:at] = paraphrase(rnd, item, vocab, *kind)
+        if accepted(item, item[-1:], host):
+            truth[len(docs)] = kind
+        docs.append((len(docs), " ".join(host), "c", 1))
+    for _ in range(500):
+        topic = rnd.choice(topics)
+        docs.append((len(docs), " ".join(word(topic) for _ in range(300)), "c", 1))
+    bench = [(k, " ".join(w[:-1]) + ". " + w[-1], 1) for k, w in enumerate(items)]
+    out = decontaminate(spark.createDataFrame(docs, DOCS), spark.createDataFrame(bench, ITEMS)).collect()
+    found = {r.doc_id for r in out if not r.kept}
+    recall = {kind: np.mean([d in found for d, k in truth.items() if k == kind]) for kind in kinds}
+    print({f"{k} {s}": round(float(r), 3) for (k, s), r in recall.items()})
+    assert recall == dict.fromkeys(kinds, 1.0)
+    assert found <= set(truth)
