@@ -59,6 +59,12 @@ def _element(tag: str) -> tuple[str, tuple[str, ...]]:
     return name, tuple(dict.fromkeys(marks))
 
 
+@lru_cache(maxsize=None)
+def _raw_end(name: str) -> re.Pattern:
+    """The end tag of a script or the like."""
+    return re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE)
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """Cut a page into its leaf blocks, in page order.  Character references are decoded, white space
     becomes one space; comments, scripts, styles and titles give no block."""
@@ -95,14 +101,9 @@ def leaf_blocks(page: str) -> list[Block]:
         del stack[at:]
 
     position = 0
-    raw = None
-    for m in _TAG.finditer(page):
+    while m := _TAG.search(page, position):
         tag = m[0]
         name = tag[1]
-        if raw is not None:  # inside a script or the like: only its own end tag counts
-            if tag[:2] == "</" and _NAME.match(tag)[1].lower() == raw:
-                raw, position = None, m.end()
-            continue
         if m.start() > position:
             add(page[position:m.start()])
         position = m.end()
@@ -118,9 +119,11 @@ def leaf_blocks(page: str) -> list[Block]:
         element = _element(tag) if len(tag) < 300 else _element.__wrapped__(tag)
         name = element[0]
         if name in RAW:
-            raw = name if not tag.endswith("/>") else None
             if name not in INLINE:
                 flush()
+            if not tag.endswith("/>"):  # no tags or comments inside: only its own end tag counts
+                end = _raw_end(name).search(page, position)
+                position = end.end() if end else len(page)
             continue
         if name in VOID:
             if name == "br":
@@ -148,7 +151,7 @@ def leaf_blocks(page: str) -> list[Block]:
             flush()
         stack.append(element)
         links += name == "a"
-    if raw is None and position < len(page):
+    if position < len(page):
         add(page[position:])
     flush()
     return blocks

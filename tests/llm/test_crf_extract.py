@@ -68,6 +68,15 @@ def test_parser():
     assert text("") == text("<!-- never closed") == text("<script>never closed") == []
 
 
+def test_scripts_hold_no_tags():
+    text = lambda p: [b.text for b in leaf_blocks(p)]
+    page = "<p>a</p>{}<article><p>b</p></article><script>f()</script><p>c</p>"
+    for raw in ("<script>for(i=0;i<n;i++){f(i)}</script>", '<script>var s="<!--"</script>', "<SCRIPT>x<!y</Script >",
+                "<style>a:before{content:'<b'}</style>", "<script>'</scripts>'</script\n>", '<script>"</p "</script>'):
+        assert text(page.format(raw)) == ["a", "b", "c"], raw
+    assert text("<p>a</p><script>i<n</scripts><p>b</p>") == ["a"]
+
+
 def test_layouts(model):
     page = ('<html><head><title>t</title></head><body><header><h1>Site</h1></header><nav><a href="/">Home</a></nav>'
             '<div class="cookie-banner"><p>We use cookies on this site.</p></div><article><h1>Headline of it</h1>'
