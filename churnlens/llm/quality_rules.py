@@ -16,7 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.rated import RATED_ROWS, rated_sample
+from churnlens.llm.rated import grades
+from churnlens.llm.store import written
 from churnlens.llm.text import U64, Words, mix64, slices, windows, words
 
 BUCKETS = 1 << 14
@@ -91,30 +92,29 @@ def _scores(w: Words, ratio: np.ndarray) -> np.ndarray:
     return np.round(total / np.maximum(np.bincount(doc, minlength=len(w.lengths)), 1) * GRID) / GRID
 
 
-def ngram_counts(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket counts over all documents, and over the trusted (grade 2) ones of the sample.
+def _bucket_counts(docs: DataFrame) -> np.ndarray:
+    """N-grams per bucket over all documents.
 
     Each task sums its own counts and emits one row per bucket; BUCKETS rows reach the driver.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, BUCKETS), np.int64)
+        counts = np.zeros(BUCKETS, np.int64)
         for part in slices(batches):
-            w = words(part.column("text").fill_null(""))
-            bucket, doc = _ngrams(w)
-            trusted = pc.equal(part.column("grade"), 2).fill_null(False).to_numpy(zero_copy_only=False)
-            counts[0] += np.bincount(bucket, minlength=BUCKETS)
-            counts[1] += np.bincount(bucket[trusted[doc]], minlength=BUCKETS)
-        used = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[0][used]), pa.array(counts[1][used])],
-                                         ["bucket", "corpus", "trusted"])
-
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left")
-    sums = (rows.mapInArrow(run, "bucket long, corpus long, trusted long").groupBy("bucket")
-            .agg(F.sum("corpus").alias("corpus"), F.sum("trusted").alias("trusted")).toArrow())
-    out = np.zeros((2, BUCKETS))
-    at = sums.column("bucket").to_numpy()
-    out[0, at], out[1, at] = sums.column("corpus").to_numpy(), sums.column("trusted").to_numpy()
-    return out[0], out[1]
+            bucket, _ = _ngrams(words(part.column("text")))
+            counts += np.bincount(bucket, minlength=BUCKETS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["bucket", "n"])
+
+    sums = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(BUCKETS)
+    out[sums.column("bucket").to_numpy()] = sums.column("n").to_numpy()
+    return out
+
+
+def ngram_counts(docs: DataFrame, rated: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket counts over all documents, and over all trusted (grade 2) ones."""
+    trusted = docs.select("doc_id", "text").join(rated.where("grade = 2").select("doc_id"), "doc_id")
+    return _bucket_counts(docs), _bucket_counts(trusted)
 
 
 def log_ratio(corpus: np.ndarray, trusted: np.ndarray) -> np.ndarray:
@@ -125,20 +125,14 @@ def log_ratio(corpus: np.ndarray, trusted: np.ndarray) -> np.ndarray:
     return np.log(p) - np.log(q)
 
 
-def threshold(docs: DataFrame, sample: DataFrame, ratio: np.ndarray) -> float:
-    """The grid score that best parts the sample's trusted documents from its poor ones.
+def threshold(scored: DataFrame, rated: DataFrame) -> float:
+    """The grid score that best parts the trusted documents from the poor ones.
 
     Documents below it are rejected; the least weighted loss decides, and within a gap
     its middle.  The scores are counted per grid step and grade, so a bounded number of
     rows is collected.  -inf without trusted or without poor documents.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            yield pa.RecordBatch.from_arrays(
-                [part.column("grade"), pa.array(_scores(words(part.column("text")), ratio))], ["grade", "score"])
-
-    rated = docs.select("doc_id", "text").join(F.broadcast(sample.where("grade > 0")), "doc_id")
-    counts = (rated.select("grade", "text").mapInArrow(run, "grade int, score double").groupBy("score")
+    counts = (scored.select("doc_id", "score").join(rated.where("grade > 0"), "doc_id").groupBy("score")
               .agg(F.count(F.when(F.col("grade") == 2, 1)).alias("trusted"),
                    F.count(F.when(F.col("grade") == 1, 1)).alias("poor")).orderBy("score").toArrow())
     trusted, poor = (counts.column(c).to_numpy().astype(float) for c in ("trusted", "poor"))
@@ -154,7 +148,7 @@ def threshold(docs: DataFrame, sample: DataFrame, ratio: np.ndarray) -> float:
     return float((score[k - 1] + score[min(k, len(score) - 1)]) / 2)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = RATED_ROWS) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Measures and verdict of every document.
 
     ``docs`` needs doc_id and text, ``labels`` doc_id, quality and toxic; other columns are
@@ -162,12 +156,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = RATED_R
     n_dup_lines, n_repeat_words, base_failed, score, kept.  NULL and empty texts
     have no words and fail the base rules; a NULL doc_id is kept as it is, rated by no
     label; repeated rows repeat.  Without trusted documents the ratio is
-    neutral and only the base rules decide.  The corpus multinomial counts all
-    documents; the trusted one at most ``sample_rows`` rated ones.
+    neutral and only the base rules decide.  The multinomials and the threshold count
+    all documents and all ratings.
     """
-    sample = rated_sample(labels, sample_rows)
-    ratio = log_ratio(*ngram_counts(docs, sample))
-    least = threshold(docs, sample, ratio)
+    rated = grades(labels).hint("merge")  # one plan at every size: ratings grow with the documents
+    ratio = log_ratio(*ngram_counts(docs, rated))
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,10 +171,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = RATED_R
             failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
             score = _scores(w, shared.value)
             columns = {"doc_id": part.column("doc_id"), **{k: pa.array(v) for k, v in m.items()},
-                       "base_failed": pa.array(failed), "score": pa.array(score),
-                       "kept": pa.array(~failed & (score >= least))}
+                       "base_failed": pa.array(failed), "score": pa.array(score)}
             yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.select("doc_id", "text").mapInArrow(
+    scored = written(docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-             "base_failed boolean, score double, kept boolean")
+             "base_failed boolean, score double"), "scored")
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold(scored, rated)))

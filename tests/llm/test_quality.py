@@ -9,8 +9,9 @@ import pyarrow as pa
 import pytest
 
 from churnlens.llm import ordinal
-from churnlens.llm.quality_rules import log_ratio, quality_rules
+from churnlens.llm.quality_rules import BUCKETS, _ngrams, _scores, log_ratio, quality_rules
 from churnlens.llm.rated import grades, rated_sample
+from churnlens.llm.text import words
 
 SF = "/root/testdata/sf0.01"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -70,6 +71,17 @@ def test_ratio_rejects_junk_and_keeps_trusted(spark, labelled):
     assert not any(kept[k] for k in range(300, 400) if k % 4 == 1)
 
 
+def test_every_rating_counts(spark):
+    rnd = random.Random(7)
+    texts = [" ".join(f"u{rnd.randrange(500)}" for _ in range(3)) for _ in range(24_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(len(texts))], "doc_id long, quality int, toxic int")
+    w, good = words(pa.array(texts)), words(pa.array(texts[1::2]))
+    ratio = log_ratio(*(np.bincount(_ngrams(x)[0], minlength=BUCKETS).astype(float) for x in (w, good)))
+    got = {r.doc_id: r.score for r in quality_rules(docs, labels).collect()}
+    assert np.array([got[k] for k in range(len(texts))]) == pytest.approx(_scores(w, ratio), abs=1e-9)
+
+
 def test_without_trusted_documents_the_base_rules_decide(spark, labelled):
     rows, _ = labelled
     docs, none = frames(spark, rows[:20], [])
