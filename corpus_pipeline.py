@@ -56,8 +56,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    # the verdict is the text's: NULL and repeated doc_ids take no other row along and save none
+    text_key = F.xxhash64("text")
+    found = decontaminate(docs.select(text_key.alias("doc_id"), "text"),
+                          spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    rejected = found.where("not kept").select(F.col("doc_id").alias("_text")).distinct()
+    return docs.withColumn("_text", text_key).join(rejected, "_text", "left_anti").select(*docs.columns)
 
 
 @stage

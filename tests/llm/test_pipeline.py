@@ -77,6 +77,17 @@ def test_decontamination(spark, stages):
     assert all(got[d] == source[d] for d in got)
 
 
+def test_decontamination_of_null_and_repeated_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").head().text
+    clean = " ".join(f"clean{k}" for k in range(80))
+    extra = [(None, item), (None, clean), (-1, item), (-1, clean), (-1, None)]
+    more = spark.createDataFrame([(d, t, "x", "added", 1) for d, t in extra],
+                                 "doc_id long, text string, lang string, source string, n_chars int")
+    out = cp.decontamination(spark, docs.unionByName(more), SF).where("source = 'added'").collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted([(None, clean), (-1, clean), (-1, None)], key=str)
+
+
 def test_encoding(stages):
     before, after = stages["bpe encoding"]
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
