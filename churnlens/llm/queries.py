@@ -6,14 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import bpe, ordinal, token_counts
+from churnlens.llm import bpe, ordinal, token_counts, twins
 from churnlens.llm.backoff import backoff_scores
 from churnlens.llm.crf_extract import extract
 from churnlens.llm.line_dedup import without_common_lines
 from churnlens.llm.lsa_decontam import decontaminate
 from churnlens.llm.near_dup import near_duplicates
 from churnlens.llm.quality_rules import quality_rules
+from churnlens.llm.source_audit import source_audit
 from churnlens.llm.store import folder
+from churnlens.llm.url_filter import judge
+from churnlens.llm.vector_codes import compress
 from churnlens.llm.warc import round_trip
 from churnlens.session import ship_package
 
@@ -70,6 +73,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "pages"), folder(spark, "warc"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_length_histogram": op1_length_histogram,
     "op2_stupid_backoff": op2_stupid_backoff,
@@ -81,6 +96,9 @@ QUERIES = {
     "op8_crf_main_text": op8_crf_main_text,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_warc": op10_warc,
+    "op11_source_audit": op11_source_audit,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_url_templates": op13_url_templates,
 }
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
@@ -156,4 +174,7 @@ select p.page_id, octet_length(p.payload)::bigint as payload_bytes, sha1(p.paylo
        case when p.page_id < g.kept_id then 'revisit' else 'response' end as record_type,
        case when p.page_id < g.kept_id then g.kept_id end as refers_to
 from p left join g on g.payload = p.payload""",
+    "op11_source_audit": twins.SOURCE_AUDIT,
+    "op12_vector_codes": twins.VECTOR_CODES,
+    "op13_url_templates": twins.URL_FILTER,
 }
