@@ -1,12 +1,9 @@
 """Churn classifiers with Spark ML.
 
-* Features are assembled and standardised inside one ``Pipeline`` so that the
-  scaler, the feature list and the model are saved and loaded together.
-* Class balance (M4): the reference oversamples the minority with SMOTE, whose
-  k-nearest-neighbour search compares every pair of minority rows.  Here the
-  classes are balanced exactly with instance weights (``weightCol``): the
-  positives get weight n_neg / n_pos, so both classes carry equal total
-  weight, with no pairwise step and no synthetic rows.
+* The training rows are standardised (population deviation) and assembled once; each saved ``PipelineModel``
+  holds that scaling, the assembler and the model together.
+* Class balance (M4) for the fits: by default instance weights (``weightCol``), the positives weighing n_neg / n_pos;
+  or the rows of ``smote.balanced``, which adds synthetic churners up to 1:1.
 * Fitting is distributed (L-BFGS / tree aggregation over the executors);
   scoring is a ``transform`` on the executors.
 """
@@ -20,12 +17,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import metrics as MT
+from .smote import scaling
 
 LABEL = "target_churn_3m"
 SCORE = "predicted_churn_probability"
@@ -63,7 +61,7 @@ def business_label(feature: str) -> str:
 
 
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
-    """M4 (re-aimed): weight column that balances the two classes exactly."""
+    """M4 by weights: weight column that balances the two classes exactly."""
     c = train.agg(F.count_if(F.col(label) == 1).alias("pos"),
                   F.count_if(F.col(label) == 0).alias("neg")).first()
     w_pos = float(c["neg"]) / c["pos"] if c["pos"] else 1.0
@@ -84,7 +82,7 @@ def _estimators(n_train: float, seed: int = 42) -> dict:
 
 
 def pipeline(features: Sequence[str], estimator) -> Pipeline:
-    """M3 + model: assemble, standardise (fit on the training rows only), fit."""
+    """Assemble, standardise with Spark's own scaler (sample deviation) and fit any estimator in one ``fit``."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
         StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
@@ -92,22 +90,40 @@ def pipeline(features: Sequence[str], estimator) -> Pipeline:
     ])
 
 
+def scaled_stages(scale: dict[str, tuple[float, float]]) -> list:
+    """M3: transformers that standardise with the given means and population deviations and assemble ``scaled``."""
+    z = ", ".join(f"(`{f}` - {m!r}D) / {s!r}D AS `_z_{f}`" for f, (m, s) in scale.items())
+    return [SQLTransformer(statement=f"SELECT *, {z} FROM __THIS__"),
+            VectorAssembler(inputCols=[f"_z_{f}" for f in scale], outputCol="scaled", handleInvalid="keep")]
+
+
 def prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Missing feature values become 0 (the model-ready table has none)."""
     return df.fillna(0.0, subset=list(features))
 
 
-def fit_models(labelled: DataFrame, features: Sequence[str],
-               models: Sequence[str] = tuple(MODEL_ORDER)) -> dict[str, PipelineModel]:
-    train = class_weights(prepare(labelled.where(F.col("split") == "train"), features)).persist()
-    n = train.agg(F.sum("_w")).first()[0] or 0.0
+def fit_models(labelled: DataFrame, features: Sequence[str], models: Sequence[str] = tuple(MODEL_ORDER),
+               smote: DataFrame | None = None) -> dict[str, PipelineModel]:
+    """One fitted pipeline per model name, on the rows of split ``train``, balanced by weights; or on ``smote``
+    (label and standardised features of the same training rows, already balanced)."""
+    train = prepare(labelled.where(F.col("split") == "train"), features)
+    scale = scaled_stages(scaling(train, features))
+    if smote is None:
+        rows = class_weights(train)
+        for stage in scale:
+            rows = stage.transform(rows)
+    else:
+        assemble = VectorAssembler(inputCols=list(features), outputCol="scaled", handleInvalid="keep")
+        rows = assemble.transform(smote.withColumn("_w", F.lit(1.0)))
+    rows = rows.select(LABEL, "scaled", "_w").persist()
+    n = rows.agg(F.sum("_w")).first()[0] or 0.0
     est = _estimators(n)
     # the fits are independent: submit them together so their Spark jobs share
     # the executors instead of running one model after another
     with ThreadPoolExecutor(max_workers=len(models)) as pool:
-        futures = {m: pool.submit(pipeline(features, est[m]).fit, train) for m in models}
-        fitted = {m: futures[m].result() for m in models}
-    train.unpersist()
+        futures = {m: pool.submit(est[m].fit, rows) for m in models}
+        fitted = {m: PipelineModel([*scale, futures[m].result()]) for m in models}
+    rows.unpersist()
     return fitted
 
 
@@ -129,7 +145,7 @@ def compare(fitted: dict[str, PipelineModel], labelled: DataFrame,
     scores = []
     for i, m in enumerate(fitted.values()):
         rows = m.transform(rows).withColumn(f"_p{i}", vector_to_array("probability")[1]).drop(
-            "features", "scaled", "rawPrediction", "probability", "prediction")
+            "scaled", "rawPrediction", "probability", "prediction", *[f"_z_{f}" for f in features])
         scores.append(F.struct(F.lit(i).alias("model_order"), F.col(f"_p{i}").alias("score")))
     long = rows.select(F.col(LABEL).alias("label"), F.explode(F.array(*scores)).alias("_s")).select(
         "label", "_s.*")

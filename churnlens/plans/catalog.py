@@ -29,6 +29,7 @@ from ..operators import models as MD
 from ..operators import panel as PA
 from ..operators import profile as PR
 from ..operators import quality as QA
+from ..operators import smote as SM
 from ..session import ensure_checkpoint_dir
 from ..sources import adapters as A
 from ..sources import io as IO
@@ -769,6 +770,97 @@ def labelled_encoded(spark, d):
                               A.REGION_VOCAB)
 
 
+TRAIN_KEYS = ["client_id", "year_month"]
+_Z = [f"z{i}" for i in range(len(FEATURES))]
+
+
+def _feature_sql(f: str) -> str:
+    for group, vocab in (("industry", A.INDUSTRY_VOCAB), ("region", A.REGION_VOCAB)):
+        for v in vocab:
+            if f == f"{group}_{v}":
+                return f"CAST(l.{group} = '{v}' AS INTEGER)"
+    return f if f in ("monthly_recurring_revenue", "size_num", "contract_type_num") else f"l.{f}"
+
+
+# every base feature rounded and missing values as 0, as the scaler sees them
+O.cte("encoded", ["labelled", "clients_clean"], "SELECT client_id, year_month, target_churn_3m, split, " + ", ".join(
+    f"round(COALESCE(CAST({f if f in ('size_num', 'contract_type_num') else _feature_sql(f)} AS DOUBLE), 0.0),"
+    f" {SM.DIGITS}) AS x{i}" for i, f in enumerate(FEATURES)) + f"""
+FROM (SELECT l.*, c.monthly_recurring_revenue, {_ENC} FROM labelled l JOIN clients_clean c USING (client_id)) l""")
+O.cte("scale", ["encoded"], "SELECT " + ", ".join(
+    f"round(avg(x{i}), {SM.DIGITS}) AS m{i}, COALESCE(NULLIF(round(stddev_pop(x{i}), {SM.DIGITS}), 0), 1) AS s{i}"
+    for i in range(len(FEATURES))) + " FROM encoded WHERE split = 'train'")
+O.cte("grid", ["encoded", "scale"], "SELECT client_id, year_month, target_churn_3m, split, " + ", ".join(
+    f"CAST(floor((x{i} - m{i}) / s{i} * {SM.GRID} + 0.5) AS BIGINT) AS z{i}" for i in range(len(FEATURES)))
+    + " FROM encoded, scale")
+O.cte("near", ["grid"], f"""
+SELECT a.client_id, a.year_month, b.client_id AS near_client_id, b.year_month AS near_year_month,
+       {" + ".join(f"(a.{z} - b.{z}) * (a.{z} - b.{z})" for z in _Z)} AS distance, {", ".join(f"b.{z}" for z in _Z)}
+FROM grid a JOIN grid b ON a.split = 'train' AND b.split = 'train' AND a.target_churn_3m = 1
+  AND b.target_churn_3m = 1 AND (a.client_id <> b.client_id OR a.year_month <> b.year_month)
+QUALIFY row_number() OVER (PARTITION BY a.client_id, a.year_month
+                           ORDER BY distance, b.client_id, b.year_month) <= {SM.NEIGHBOURS}""")
+O.cte("near_ranked", ["near"], """
+SELECT *, row_number() OVER w AS neighbour, count(*) OVER (PARTITION BY client_id, year_month) AS found FROM near
+WINDOW w AS (PARTITION BY client_id, year_month ORDER BY distance, near_client_id, near_year_month)""")
+
+
+def train_grid(spark, d):
+    """M3: the training rows, standardised on the integer grid."""
+    def build():
+        train = labelled_encoded(spark, d).where(F.col("split") == "train")
+        return SM.on_grid(train, SM.scaling(train, FEATURES)).select(*TRAIN_KEYS, "target_churn_3m", "z")
+    return product(spark, d, "train_grid", build)
+
+
+def smote_near(spark, d):
+    """The nearest churning client-months of each churning one."""
+    return product(spark, d, "smote_near", lambda: SM.nearest(
+        train_grid(spark, d).where("target_churn_3m = 1"), TRAIN_KEYS))
+
+
+@register("smote_neighbours", O.sql("""
+SELECT client_id, year_month, CAST(neighbour AS INTEGER) AS neighbour, near_client_id, near_year_month,
+       CAST(distance AS BIGINT) AS distance FROM near_ranked""", ["near_ranked"]))
+def q_smote_neighbours(spark, d):
+    """The exact 5 nearest churning client-months of each churning one in the training split."""
+    return SM.ranked(smote_near(spark, d), TRAIN_KEYS)
+
+
+def smote_train(spark, d):
+    """M4: the training rows and synthetic churners, 1 : 1."""
+    return product(spark, d, "smote_train", lambda: SM.balanced(
+        train_grid(spark, d), smote_near(spark, d), FEATURES, TRAIN_KEYS, "target_churn_3m"))
+
+
+O.cte("smote", ["grid", "near_ranked"], f"""
+SELECT client_id, year_month, 0 AS copy, target_churn_3m, {", ".join(f"{z} / {SM.GRID}::DOUBLE AS {z}" for z in _Z)}
+FROM grid WHERE split = 'train'
+UNION ALL
+SELECT g.client_id, g.year_month, g.copy, 1,
+       {", ".join(f"(g.{z} + u * (n.{z} - g.{z})) / {SM.GRID} AS {z}" for z in _Z)}
+FROM (
+  SELECT *, (p * 31 + copy * 17) % found + 1 AS slot, ((p * 7919 + copy * 4729) % {SM.SPREAD}) / {SM.SPREAD}::DOUBLE AS u
+  FROM (
+    SELECT s.*, f.found, unnest(generate_series(1, gap // size + CASE WHEN p <= gap % size THEN 1 ELSE 0 END)) AS copy
+    FROM (SELECT *, row_number() OVER (ORDER BY client_id, year_month) AS p FROM grid
+          WHERE split = 'train' AND target_churn_3m = 1) s
+    JOIN (SELECT DISTINCT client_id, year_month, found FROM near_ranked) f USING (client_id, year_month),
+    (SELECT count(*) FILTER (WHERE target_churn_3m = 1) AS size,
+            count(*) FILTER (WHERE target_churn_3m = 0) - count(*) FILTER (WHERE target_churn_3m = 1) AS gap
+     FROM grid WHERE split = 'train') c)) g
+JOIN near_ranked n ON n.client_id = g.client_id AND n.year_month = g.year_month AND n.neighbour = g.slot""")
+
+
+@register("smote_balance", O.sql(
+    "SELECT client_id, year_month, CAST(copy AS BIGINT) AS copy, target_churn_3m, "
+    + ", ".join(f"{z} AS {f.replace(' ', '_')}" for z, f in zip(_Z, FEATURES)) + " FROM smote", ["smote"]),
+    r6=[f.replace(" ", "_") for f in FEATURES])
+def q_smote_balance(spark, d):
+    """M4: the standardised training rows with synthetic churners up to 1:1."""
+    return smote_train(spark, d).withColumnsRenamed({f: f.replace(" ", "_") for f in FEATURES})
+
+
 def fitted_models(spark, d):
     """Fitted pipelines, memoised per session and input folder (model objects,
     not data, are kept)."""

@@ -110,3 +110,25 @@ def test_hot_client_join_is_the_plain_join(spark):
     assert len(got) == 300
     for r in tx.collect():
         assert got[r[0]] == (5.0 if r[3] is not None else mrr.get(r[1]))
+
+
+def test_population_scaling_and_both_balances(spark):
+    """The saved scaling is the population's, and weights and synthetic rows give models that agree."""
+    from churnlens.operators import smote as SM
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(10, 4, 400), rng.normal(-3, 2, 400)
+    y = (rng.random(400) < 1 / (1 + np.exp(4 - (a - 10) / 2 + (b + 3)))).astype(int)
+    rows = [(i, "2020-01", float(a[i]), float(b[i]), int(y[i]), "train" if i < 300 else "test") for i in range(400)]
+    df = spark.createDataFrame(rows, "client_id long, year_month string, a double, b double, target_churn_3m int, split string")
+    train = df.where("split = 'train'")
+    grid = SM.on_grid(train, SM.scaling(train, ["a", "b"]))
+    keys = ["client_id", "year_month"]
+    more = SM.balanced(grid, SM.nearest(grid.where("target_churn_3m = 1"), keys), ["a", "b"], keys, "target_churn_3m")
+    name = "Logistic Regression"
+    weighed = MD.fit_models(df, ["a", "b"], [name])[name]
+    added = MD.fit_models(df, ["a", "b"], [name], smote=more)[name]
+    p = [np.array([r.p for r in MD.score(m, df, ["a", "b"], "p").orderBy("client_id").collect()]) for m in (weighed, added)]
+    w, c = weighed.stages[-1].coefficients.toArray(), weighed.stages[-1].intercept
+    z = np.stack([(v - v[:300].mean()) / v[:300].std() for v in (a, b)], axis=1)
+    assert np.allclose(p[0], 1 / (1 + np.exp(-(z @ w + c))), atol=1e-5)
+    assert np.corrcoef(*p)[0, 1] > 0.98 and abs(p[0] - p[1]).mean() < 0.1
