@@ -167,9 +167,12 @@ def importances(model: PipelineModel, features: Sequence[str]) -> DataFrame:
         raw = [float(v) for v in est.featureImportances.toArray()]
     else:
         raw = [abs(float(v)) for v in est.coefficients.toArray()]
-    session = SparkSession.getActiveSession()
-    # one row per feature: bounded by the feature count, not by the data
-    df = session.createDataFrame([(f, business_label(f), w) for f, w in zip(features, raw)],
+    return shares(dict(zip(features, raw)), SparkSession.getActiveSession())
+
+
+def shares(weights: dict[str, float], session: SparkSession) -> DataFrame:
+    """W12 + F18: feature, business label and its share of all weights; one row per feature."""
+    df = session.createDataFrame([(f, business_label(f), float(w)) for f, w in weights.items()],
                                  "feature string, business_feature string, weight double")
     total = F.sum("weight").over(Window.partitionBy())
     return df.select(

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from ..operators import boosting as BO
 from ..operators import calendar as CA
 from ..operators import decisions as DE
 from ..operators import features as FE
@@ -805,12 +806,17 @@ SELECT *, row_number() OVER w AS neighbour, count(*) OVER (PARTITION BY client_i
 WINDOW w AS (PARTITION BY client_id, year_month ORDER BY distance, near_client_id, near_year_month)""")
 
 
-def train_grid(spark, d):
-    """M3: the training rows, standardised on the integer grid."""
+def feature_grid(spark, d):
+    """M3: all labelled rows, standardised on the integer grid by the training rows' means and deviations."""
     def build():
-        train = labelled_encoded(spark, d).where(F.col("split") == "train")
-        return SM.on_grid(train, SM.scaling(train, FEATURES)).select(*TRAIN_KEYS, "target_churn_3m", "z")
-    return product(spark, d, "train_grid", build)
+        rows = labelled_encoded(spark, d)
+        scale = SM.scaling(rows.where(F.col("split") == "train"), FEATURES)
+        return SM.on_grid(rows, scale).select(*TRAIN_KEYS, "split", "target_churn_3m", "z")
+    return product(spark, d, "feature_grid", build)
+
+
+def train_grid(spark, d):
+    return feature_grid(spark, d).where(F.col("split") == "train").drop("split")
 
 
 def smote_near(spark, d):
@@ -861,6 +867,141 @@ def q_smote_balance(spark, d):
     return smote_train(spark, d).withColumnsRenamed({f: f.replace(" ", "_") for f in FEATURES})
 
 
+# --------------------------------------------------------------------------
+# second-order boosted trees: a fit that SQL repeats
+# --------------------------------------------------------------------------
+BOOST_ROUNDS, BOOST_DEPTH, BOOST_ETA = 4, 3, 0.3
+
+
+def boosted(spark, d):
+    """Trees on the training rows, churners weighing n_neg div n_pos; memoised per session and input."""
+    key = ("boosted", spark.sparkContext.applicationId, d, input_state(spark, d))
+    if key not in _FITTED:
+        rows = train_grid(spark, d)
+        small, size, gap = SM.smaller_class(rows, "target_churn_3m")
+        weight = (size + gap) // size if size and small == 1 else 1
+        y = F.col("target_churn_3m")
+        _FITTED[key] = BO.fit(rows.select(BO.binned().alias("bins"), y.alias("y"),
+                                          F.when(y == 1, weight).otherwise(1).alias("weight")),
+                              BOOST_ROUNDS, BOOST_DEPTH, BOOST_ETA)
+    return _FITTED[key]
+
+
+def boosted_scores(spark, d):
+    def build():
+        rows = feature_grid(spark, d).withColumn("bins", BO.binned())
+        return BO.scored(rows, boosted(spark, d), MD.SCORE).drop("bins", "z")
+    return product(spark, d, "boosted_scores", build)
+
+
+def _boost_sql() -> None:
+    """Rows b{r}_{l}: every row's node in tree r before level l; s{r}_{l}: the splits of that level."""
+    bins = ", ".join(f"CAST(least(greatest(floor({z} / {BO.BIN_WIDTH}::DOUBLE) + {BO.BINS // 2}, 0), {BO.BINS - 1})"
+                     f" AS INTEGER)" for z in _Z)
+    O.cte("boost_rows", ["grid"], f"""
+SELECT client_id, year_month, split, target_churn_3m AS y, [{bins}] AS bins,
+       CASE WHEN target_churn_3m = 1 THEN w ELSE 1 END AS weight
+FROM grid, (SELECT GREATEST(1, count(*) FILTER (WHERE target_churn_3m = 0)
+                   // GREATEST(1, count(*) FILTER (WHERE target_churn_3m = 1))) AS w FROM grid WHERE split = 'train') c""")
+    before, margin = "boost_rows", "0.0::DOUBLE"
+    gain = BO.gain_sql("gl", "hl", "gt", "ht").replace("D", "::DOUBLE")
+    for r in range(BOOST_ROUNDS):
+        O.cte(f"b{r}_0", [before], f"""
+SELECT * EXCLUDE (p), CAST(floor(weight * (p - y) * {BO.UNIT} + 0.5) AS BIGINT) AS g,
+       CAST(floor(weight * p * (1.0 - p) * {BO.UNIT} + 0.5) AS BIGINT) AS h
+FROM (SELECT client_id, year_month, split, y, bins, weight, m AS margin, 0 AS node,
+             1.0::DOUBLE / (1.0::DOUBLE + exp(-m)) AS p FROM (SELECT *, {margin} AS m FROM {before}))""")
+        for level in range(BOOST_DEPTH):
+            now = f"b{r}_{level}"
+            O.cte(f"s{r}_{level}", [now], f"""
+SELECT node, feature, bin, gain FROM (
+  SELECT *, {gain} AS gain FROM (
+    SELECT node, feature, bin, sum(g) OVER w AS gl, sum(h) OVER w AS hl,
+           sum(g) OVER (PARTITION BY node, feature) AS gt, sum(h) OVER (PARTITION BY node, feature) AS ht
+    FROM (SELECT node, feature, bin, CAST(sum(g) AS BIGINT) AS g, CAST(sum(h) AS BIGINT) AS h
+          FROM (SELECT node, g, h, unnest(bins) AS bin, unnest(range(len(bins))) AS feature FROM {now}
+                WHERE split = 'train' AND node >= {2 ** level - 1}) GROUP BY ALL)
+    WINDOW w AS (PARTITION BY node, feature ORDER BY bin)))
+WHERE hl >= {BO.MIN_CHILD * BO.UNIT} AND ht - hl >= {BO.MIN_CHILD * BO.UNIT} AND gain > 0
+QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, bin) = 1""")
+            O.cte(f"b{r}_{level + 1}", [now, f"s{r}_{level}"], f"""
+SELECT b.* REPLACE (CASE WHEN s.node IS NULL THEN b.node WHEN b.bins[s.feature + 1] <= s.bin THEN 2 * b.node + 1
+                         ELSE 2 * b.node + 2 END AS node)
+FROM {now} b LEFT JOIN s{r}_{level} s USING (node)""")
+        last = f"b{r}_{BOOST_DEPTH}"
+        weight = f"-{BOOST_ETA}::DOUBLE * (g / {BO.UNIT}::DOUBLE) / (h / {BO.UNIT}::DOUBLE + {BO.LAMBDA}::DOUBLE)"
+        digits = f"1e{BO.WEIGHT_DIGITS}"
+        O.cte(f"boost_{r}", [last], f"""
+SELECT b.*, wt FROM {last} b JOIN (
+  SELECT node, sign(w) * floor(abs(w) * {digits} + 0.5) / {digits} AS wt
+  FROM (SELECT node, {weight} AS w FROM (
+    SELECT node, sum(g) AS g, sum(h) AS h FROM {last} WHERE split = 'train' GROUP BY node))) USING (node)""")
+        before, margin = f"boost_{r}", "margin + wt"
+    O.cte("boosted", [before], f"""
+SELECT client_id, year_month, split, y AS target_churn_3m, margin + wt AS margin,
+       1.0::DOUBLE / (1.0::DOUBLE + exp(-(margin + wt))) AS {MD.SCORE} FROM {before}""")
+
+
+_boost_sql()
+
+
+@register("boosted_newton", O.sql(f"""
+SELECT client_id, year_month, target_churn_3m, margin, {MD.SCORE} FROM boosted WHERE split = 'test'""", ["boosted"]),
+    r6=["margin", MD.SCORE])
+def q_boosted_newton(spark, d):
+    """The test client-months scored by the boosted trees."""
+    return boosted_scores(spark, d).where(F.col("split") == "test").drop("split")
+
+
+@register("boosted_confusion", O.sql(f"""
+SELECT count(*) FILTER (WHERE target_churn_3m = 0 AND s < 0.5) AS tn,
+       count(*) FILTER (WHERE target_churn_3m = 0 AND s >= 0.5) AS fp,
+       count(*) FILTER (WHERE target_churn_3m = 1 AND s < 0.5) AS fn,
+       count(*) FILTER (WHERE target_churn_3m = 1 AND s >= 0.5) AS tp
+FROM (SELECT *, {MD.SCORE} AS s FROM boosted) WHERE split = 'test'""", ["boosted"]))
+def q_boosted_confusion(spark, d):
+    return MT.confusion(boosted_scores(spark, d).where(F.col("split") == "test"), "target_churn_3m", MD.SCORE)
+
+
+_BOOST_SPLITS = [f"s{r}_{level}" for r in range(BOOST_ROUNDS) for level in range(BOOST_DEPTH)]
+
+
+@register("boosted_importance", O.sql(
+    "SELECT f.feature, f.business_feature, COALESCE(sum(s.gain), 0.0) / (SELECT sum(gain) FROM (" + " UNION ALL ".join(
+        f"SELECT gain FROM {t}" for t in _BOOST_SPLITS) + ")) AS importance FROM (VALUES " + ", ".join(
+        f"({i}, '{f}', '{MD.business_label(f)}')" for i, f in enumerate(FEATURES))
+    + ") f(i, feature, business_feature) LEFT JOIN (" + " UNION ALL ".join(f"SELECT feature, gain FROM {t}" for t in _BOOST_SPLITS)
+    + ") s ON s.feature = f.i GROUP BY ALL", _BOOST_SPLITS), r6=["importance"])
+def q_boosted_importance(spark, d):
+    """Each feature's share of the splits' gain, under its business label."""
+    return MD.shares(BO.gains(boosted(spark, d), FEATURES), spark).orderBy(F.desc("importance"), "feature")
+
+
+def boosted_ranking(spark, d):
+    def build():
+        latest = DE.latest_per_client(boosted_scores(spark, d))
+        return DE.risk_ranking(latest.select("client_id", F.round(MD.SCORE, LB.SCORE_DIGITS).alias(MD.SCORE)),
+                               clients_clean(spark, d))
+    return product(spark, d, "boosted_ranking", build)
+
+
+O.cte("boosted_ranking", ["boosted", "clients_clean"], f"""
+SELECT c.client_id, c.client_name, c.account_manager, c.monthly_recurring_revenue, c.contract_type, c.is_churned,
+       s.p AS predicted_churn_probability,
+       CASE WHEN s.p >= {X.TIER_HIGH} THEN 'High' WHEN s.p >= {X.TIER_MEDIUM} THEN 'Medium'
+            WHEN s.p IS NOT NULL THEN 'Low' END AS risk_tier
+FROM clients_clean c LEFT JOIN (
+  SELECT client_id, round({MD.SCORE}, {LB.SCORE_DIGITS}) AS p FROM boosted
+  QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY year_month DESC) = 1) s USING (client_id)""")
+
+
+@register("boosted_risk_ranking", O.sql("SELECT * FROM boosted_ranking", ["boosted_ranking"]),
+          r4=["monthly_recurring_revenue"], r6=["predicted_churn_probability"])
+def q_boosted_risk_ranking(spark, d):
+    """Every client's latest month scored by the boosted trees, with its tier."""
+    return boosted_ranking(spark, d).orderBy(F.desc_nulls_last("predicted_churn_probability"), "client_id")
+
+
 def fitted_models(spark, d):
     """Fitted pipelines, memoised per session and input folder (model objects,
     not data, are kept)."""
