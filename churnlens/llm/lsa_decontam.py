@@ -5,13 +5,10 @@
    length.  A distributed randomised SVD gives their leading right singular
    vectors: tasks sum A'(A R) for a fixed random R, and the driver
    decomposes that (features x rank) sum by Nystrom's method.
-3. Benchmark passages and sliding document windows of about their length meet in the
-   latent space, each direction scaled by its singular value; a cosine above a
+3. Benchmark passages and sliding document windows, as long as the passage and shorter, meet
+   in the latent space, each direction scaled by its singular value; a cosine above a
    bound makes a candidate.
-4. Windows that the latent space ranks too low become candidates by counting: a bound on
-   the common subsequence, from the passage words that each window holds, leaves out only
-   windows that the verification would refuse.
-5. Candidates are verified on their words: longest common subsequence, and for
+4. Candidates are verified on their words: longest common subsequence, and for
    paraphrases the share of the answer's words.
 """
 
@@ -23,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,16 +28,17 @@ from churnlens.llm.store import written
 from churnlens.llm.text import U64, slices, words
 
 FEATURES = 1 << 13
-RANK = 32
+RANK = 64
 EXTRA = 8              # oversampling of the random range
 PASSAGE = 64           # words of a passage at most: one bit each in the subsequence search
 STEP = 4               # words between window starts
-MIN_COSINE = 0.6
+MIN_COSINE = 0.44
+SPANS = (1.0, 0.7)     # lengths of the search windows, as shares of the passage's: words may have been deleted
+DENSE = 8              # windows of up to so many steps start every step, longer ones every other
 VERBATIM = 0.8         # share of a passage in common order that settles it
 PARAPHRASE = 0.6       # share that settles it together with the answer
 ANSWER_SHARE = 0.5     # share of the answer's words in the window
 BLOCK = 100_000        # benchmark passages (256 bytes each) that are broadcast at a time
-COUNTED = 256          # passages whose words are counted side by side
 _NO_WORD = np.uint32(0)
 
 
@@ -148,12 +147,12 @@ def _summed(table: DataFrame, each) -> np.ndarray:
                           or [np.empty(0)])
 
 
-def latent_basis(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(idf, idf-weighted basis: FEATURES x RANK) of all passages.  Empty corpora give a zero basis."""
+def latent_basis(table: DataFrame) -> np.ndarray:
+    """The idf-weighted basis (FEATURES x RANK) of all passages.  Empty corpora give a zero basis."""
     df, n = _document_frequency(table)
     idf = np.log((n + 1) / (df + 1)).astype(np.float32)
     if not df.any():
-        return idf, np.zeros((FEATURES, RANK), np.float32)
+        return np.zeros((FEATURES, RANK), np.float32)
     width = RANK + EXTRA
     start = np.random.default_rng(20).standard_normal((FEATURES, width)).astype(np.float32)
     weighted = start * idf[:, None]
@@ -185,7 +184,7 @@ def latent_basis(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     vectors, values, _ = np.linalg.svd(np.linalg.solve(lower, y.T).T, full_matrices=False)
     scale = np.where(values[:RANK] > 1e-6 * values[0], 1 / np.maximum(values[:RANK], 1e-300), 0)
     basis = vectors[:, :RANK] * scale / scale.max()
-    return idf, (basis * idf[:, None]).astype(np.float32)
+    return (basis * idf[:, None]).astype(np.float32)
 
 
 def subsequence(passage: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -208,35 +207,19 @@ def subsequence(passage: np.ndarray, windows: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Passages:
-    """Benchmark passages: item number, words, answer words, latent unit vectors; for the counting
-    the words of each that count, and how many of them a window needs."""
+    """Benchmark passages: item number, words, answer words, latent unit vectors."""
 
     item: list[int]
     codes: list[np.ndarray]
     answer: list[np.ndarray]
     latent: np.ndarray
-    counted: list[np.ndarray]
-    needed: np.ndarray
 
 
 def _margin(n: int) -> int:
     return max(STEP, n // 4)
 
 
-def _counted(passage: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, int]:
-    """Distinct words of a passage to count in a window, and the count below which it cannot be verified.
-
-    A word adds to the common subsequence at most its number in the passage, and at most its
-    number in the window: words expected more often in a window than in the passage are granted,
-    the others are counted.  Any choice gives a bound; this one lets few windows pass.
-    """
-    word, own = np.unique(passage, return_counts=True)
-    rate = -np.log1p(-np.minimum(np.exp(-idf[_feature(word)]), 0.999)) / PASSAGE
-    rare = rate * (len(passage) + 2 * _margin(len(passage)) + STEP) < own
-    return word[rare], int(np.ceil(PARAPHRASE * len(passage) - 1e-9)) - int(own[~rare].sum())
-
-
-def benchmark_passages(rows: list[tuple[int, str]], basis: np.ndarray, idf: np.ndarray) -> Passages:
+def benchmark_passages(rows: list[tuple[int, str]], basis: np.ndarray) -> Passages:
     """Cut items into passages of 64 words at most, of even length.
 
     The benchmark names no answers; an item's answer is taken to be its last line
@@ -255,73 +238,43 @@ def benchmark_passages(rows: list[tuple[int, str]], basis: np.ndarray, idf: np.n
             answer.append(np.unique(last))
     latent = np.array([basis[_feature(c)].sum(axis=0) for c in codes]).reshape(len(codes), basis.shape[1])
     norm = np.linalg.norm(latent, axis=1, keepdims=True)
-    chosen = [_counted(c, idf) for c in codes]
-    return Passages(item, codes, answer, (latent / np.maximum(norm, 1e-9)).astype(np.float32),
-                    [c for c, _ in chosen], np.array([n for _, n in chosen], np.int64))
-
-
-def _by_count(codes: np.ndarray, offsets: np.ndarray, doc_of: np.ndarray, first: np.ndarray, bench: Passages):
-    """(passage number, steps whose window may be verified for it), by a bound that leaves out no such step."""
-    steps = len(doc_of)
-    place = np.arange(steps) - first[doc_of]
-    at = offsets[doc_of] + place * STEP
-    end = offsets[doc_of + 1]
-    for some in range(0, len(bench.codes), COUNTED):
-        group = range(some, min(some + COUNTED, len(bench.codes)))
-        vocab = np.unique(np.concatenate([bench.counted[p] for p in group]))
-        held = np.zeros((len(vocab) + 1, len(group)), np.uint8)
-        for k, p in enumerate(group):
-            held[np.searchsorted(vocab, bench.counted[p]), k] = 1
-        row = np.full(len(codes), len(vocab))  # the last row counts nothing
-        if len(vocab):
-            near = np.minimum(np.searchsorted(vocab, codes), len(vocab) - 1)
-            row = np.where(vocab[near] == codes, near, len(vocab))
-        # windows hold fewer than 256 words, so differences of sums that wrap at 256 are right
-        running = np.zeros((steps + 1, len(group)), np.uint8)
-        for k in range(STEP):
-            inside = at + k < end
-            running[1:] += held[np.where(inside, row[np.minimum(at + k, len(codes) - 1)], len(vocab))]
-        np.cumsum(running, axis=0, dtype=np.uint8, out=running)
-        sizes = np.array([len(bench.codes[p]) for p in group])
-        for n in np.unique(sizes):
-            members = np.flatnonzero(sizes == n)
-            margin = _margin(int(n))
-            low = np.maximum(place - -(-margin // STEP), 0) + first[doc_of]
-            high = np.minimum(low + -(-(n + 2 * margin + STEP) // STEP) + 1, first[doc_of + 1])
-            own = np.ascontiguousarray(running[:, members])
-            need = np.maximum(bench.needed[some + members], 0).astype(np.uint8)
-            step, which = np.nonzero(own[high] - own[low] >= need)
-            for m in np.unique(which):
-                yield some + int(members[m]), step[which == m]
+    return Passages(item, codes, answer, (latent / np.maximum(norm, 1e-9)).astype(np.float32))
 
 
-def _search(codes: np.ndarray, offsets: np.ndarray, basis: np.ndarray, bench: Passages):
-    """Verified (document, passage number, subsequence length, first word), one per document at most."""
-    if not len(codes) or not bench.codes:
-        return []
+def _candidates(codes: np.ndarray, offsets: np.ndarray, basis: np.ndarray, bench: Passages):
+    """(steps, passage numbers) whose windows point into a passage's direction, each pair once, and each step's
+    document and first word.  Windows of every share in SPANS of the passage's length are looked at."""
     sums, first = _step_sums(basis, codes, offsets)
     doc_of = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     place = np.arange(len(sums)) - first[doc_of]
-    starts = offsets[doc_of] + place * STEP
     running = np.concatenate((np.zeros((1, basis.shape[1]), np.float32), np.cumsum(sums, axis=0)))
     lengths = np.array([len(c) for c in bench.codes])
-    spans = np.maximum(-(-lengths // STEP), 1)
-    best: dict[int, tuple] = {}
+    spans = np.maximum(np.rint(np.outer(SPANS, lengths) / STEP).astype(np.int64), 1)
+    steps, passages = [], []
     for span in np.unique(spans):
-        members = np.flatnonzero(spans == span)
-        at = np.flatnonzero(place % max(1, span // 4) == 0)  # windows overlap by three quarters
-        found = []
-        for some in np.array_split(at, -(-len(at) // 16384)):
+        members = np.flatnonzero((spans == span).any(axis=0))
+        latent = np.ascontiguousarray(bench.latent[members].T)
+        at = np.flatnonzero(place % (1 if span <= DENSE else 2) == 0)
+        for some in np.array_split(at, -(-len(at) // 4096)):
             z = running[np.minimum(some + span, first[doc_of[some] + 1])] - running[some]
-            z /= np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-9)[:, None]
-            hit, which = np.nonzero(z @ bench.latent[members].T >= MIN_COSINE)
-            found.append((some[hit], which))
-        hits, which = (np.concatenate(x) for x in zip(*found))
-        for k in np.unique(which):
-            _verify(codes, offsets, doc_of, starts, hits[which == k], members[k], bench, best)
-    for p, hits in _by_count(codes, offsets, doc_of, first, bench):
-        for some in range(0, len(hits), 16384):
-            _verify(codes, offsets, doc_of, starts, hits[some:some + 16384], p, bench, best)
+            bound = MIN_COSINE * np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-9)
+            hit, which = np.divmod(np.flatnonzero(z @ latent >= bound[:, None]), len(members))
+            steps.append(some[hit])
+            passages.append(members[which])
+    pairs = np.unique(np.concatenate(passages) * len(sums) + np.concatenate(steps))
+    return pairs % len(sums), pairs // len(sums), doc_of, offsets[doc_of] + place * STEP
+
+
+def _search(codes: np.ndarray, offsets: np.ndarray, basis: np.ndarray, bench: Passages):
+    """Verified (document, passage number, subsequence length, first word), one per document at most."""
+    if not len(codes) or not bench.codes:
+        return []
+    steps, passages, doc_of, starts = _candidates(codes, offsets, basis, bench)
+    best: dict[int, tuple] = {}
+    edges = np.flatnonzero(np.diff(passages, prepend=-1, append=len(bench.codes)))
+    for begin, end in zip(edges, edges[1:]):
+        for some in range(begin, end, 16384):
+            _verify(codes, offsets, doc_of, starts, steps[some:min(some + 16384, end)], int(passages[begin]), bench, best)
     return [(d, *v) for d, v in best.items()]
 
 
@@ -361,21 +314,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     best passage, overlap (its share in common order) and at_word; the last three
     are NULL for kept documents.  NULL and word-less texts are kept; a NULL doc_id
     is passed on; items without words match nothing; ties go to the passage
-    named first by item_id.  The benchmark is searched in blocks of BLOCK passages.
+    named first by item_id.  Texts are read whole, however long, and repeated rows are judged alike.  A larger
+    benchmark is searched in blocks of BLOCK passages, each block's matches written before the next.
     """
     table = written(docs.select("doc_id", "text").mapInArrow(_encode, "doc_id long, codes binary")
                     .withColumn("row", F.monotonically_increasing_id()), "codes")
-    idf, basis = latent_basis(table)
+    basis = latent_basis(table)
     shared = docs.sparkSession.sparkContext.broadcast(basis)
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     passages = items.agg(F.sum(F.ceil(F.size(F.split("text", r"\s+")) / PASSAGE))).head()[0] or 0
     n_blocks = max(1, -(-int(passages) // BLOCK))
     schema = "row long, doc_id long, item_id long, overlap double, at_word long"
 
-    def matches(block: int) -> DataFrame:
+    def matches(block: int) -> tuple[DataFrame, Broadcast]:
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block).orderBy("item_id", "text")
         bench = docs.sparkSession.sparkContext.broadcast(
-            benchmark_passages([(r.item_id, r.text) for r in own.collect()], basis, idf))
+            benchmark_passages([(r.item_id, r.text) for r in own.collect()], basis))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part, codes, offsets in _stream(batches):
@@ -387,12 +341,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                      pa.array(overlap, pa.float64()), pa.array(at, pa.int64())],
                     ["row", "doc_id", "item_id", "overlap", "at_word"])
 
-        return table.mapInArrow(run, schema)
-
-    found = matches(0)
-    for block in range(1, n_blocks):
-        found = found.unionAll(matches(block))
-    if n_blocks > 1:
+        return table.mapInArrow(run, schema), bench
+
+    if n_blocks == 1:
+        found, _ = matches(0)
+    else:
+        found = None
+        for block in range(n_blocks):
+            rows, passages = matches(block)
+            rows = written(rows, "matches")
+            passages.unpersist()   # the driver and the executors hold one block at a time
+            found = rows if found is None else found.unionAll(rows)
         found = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.max(F.struct(
             "overlap", -F.col("item_id"), "item_id", "at_word")).alias("m")).select("row", "doc_id", "m.*")
     return found.select("doc_id", F.col("item_id").isNull().alias("kept"), "item_id", "overlap", "at_word")

@@ -130,3 +130,16 @@ def test_recall_against_the_verification_over_all_windows(spark):
     print({f"{k} {s}": round(float(r), 3) for (k, s), r in recall.items()})
     assert recall == dict.fromkeys(kinds, 1.0)
     assert found <= set(truth)
+
+
+def test_blocks_and_the_cosine_bound(spark, corpus, monkeypatch):
+    """Blocks of a large benchmark give what one search gives; without cosine candidates nothing is found."""
+    from churnlens.llm import lsa_decontam
+    docs, items, _ = corpus
+    df, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(*i, 1) for i in items], ITEMS)
+    rows = lambda: sorted((tuple(r) for r in decontaminate(df, bench).collect()), key=str)
+    want = rows()
+    monkeypatch.setattr(lsa_decontam, "BLOCK", 10)
+    assert rows() == want
+    monkeypatch.setattr(lsa_decontam, "MIN_COSINE", 9.0)
+    assert all(r[1] for r in rows())
