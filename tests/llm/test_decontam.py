@@ -132,8 +132,7 @@ def test_recall_against_the_verification_over_all_windows(spark):
     assert found <= set(truth)
 
 
-def test_blocks_and_the_cosine_bound(spark, corpus, monkeypatch):
-    """Blocks of a large benchmark give what one search gives; without cosine candidates nothing is found."""
+def test_blocks_give_what_one_search_gives(spark, corpus, monkeypatch):
     from churnlens.llm import lsa_decontam
     docs, items, _ = corpus
     df, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(*i, 1) for i in items], ITEMS)
@@ -141,5 +140,18 @@ def test_blocks_and_the_cosine_bound(spark, corpus, monkeypatch):
     want = rows()
     monkeypatch.setattr(lsa_decontam, "BLOCK", 10)
     assert rows() == want
+
+
+def test_only_the_cosine_search_finds(corpus, monkeypatch):
+    """No path beside the latent space: without its candidates nothing is found."""
+    import pyarrow as pa
+
+    from churnlens.llm import lsa_decontam
+    docs, items, planted = corpus
+    basis = np.random.default_rng(3).standard_normal((lsa_decontam.FEATURES, lsa_decontam.RANK)).astype(np.float32)
+    bench = lsa_decontam.benchmark_passages([i for i in items if i[0] is not None and i[1]], basis)
+    codes, offsets = lsa_decontam._codes(pa.array([d[1] for d in docs]))
+    found = lsa_decontam._search(codes, offsets, basis, bench)
+    assert {d for d, *_ in found} >= {d for d in planted if d % 3 == 0}
     monkeypatch.setattr(lsa_decontam, "MIN_COSINE", 9.0)
-    assert all(r[1] for r in rows())
+    assert lsa_decontam._search(codes, offsets, basis, bench) == []
