@@ -33,8 +33,10 @@ SAME_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table select".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>|</?[a-zA-Z][^>]*>""",
-                  re.DOTALL)
+_OPEN = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+# A tag as the HTML tokenizer reads it: a quote opens a value only right after "=".  Every part is possessive.
+_TAG = re.compile(r"""</?[a-zA-Z][^\s/>]*+
+    (?:[\s/]++ | [^\s/>][^\s/>=]*+ (?:\s*+=\s*+(?:"[^"]*+" | '[^']*+' | [^\s>"'][^\s>]*+))?+ )*+>""", re.VERBOSE)
 _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 _MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -65,9 +67,34 @@ def _raw_end(name: str) -> re.Pattern:
     return re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE)
 
 
+def _tags(page: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the page's tags, comments and declarations; the caller may send the position to go on from.
+
+    A comment or declaration that never ends reaches to the page's end.  A tag whose quotes never close ends at
+    the next ``>``, and so do all tags behind it, so no stretch is scanned again and again.  Behind the
+    last ``>`` all is text.
+    """
+    position, last, quoted = 0, page.rfind(">"), True
+    while m := _OPEN.search(page, position):
+        start = m.start()
+        if page.startswith("<!--", start):
+            close = page.find("-->", start + 2)
+            end = close + 3 if close >= 0 else len(page)
+        elif page[start + 1] in "!?":
+            end = page.find(">", start) + 1 or len(page)
+        elif start > last:
+            return
+        else:
+            tag = _TAG.match(page, start) if quoted else None
+            quoted = tag is not None
+            end = tag.end() if tag else page.find(">", start) + 1
+        position = (yield start, end) or end
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """Cut a page into its leaf blocks, in page order.  Character references are decoded, white space
-    becomes one space; comments, scripts, styles and titles give no block."""
+    becomes one space; comments, scripts, styles and titles give no block.  Stray quotes in tags, unclosed tags and
+    ``<`` before anything but a tag lose no text; the time is linear in the page's length."""
     blocks: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
@@ -100,13 +127,17 @@ def leaf_blocks(page: str) -> list[Block]:
         links -= sum(e[0] == "a" for e in stack[at:])
         del stack[at:]
 
-    position = 0
-    while m := _TAG.search(page, position):
-        tag = m[0]
+    position, tags, resume = 0, _tags(page), None
+    while True:
+        try:
+            start, end = tags.send(resume)
+        except StopIteration:
+            break
+        tag, resume = page[start:end], None
         name = tag[1]
-        if m.start() > position:
-            add(page[position:m.start()])
-        position = m.end()
+        if start > position:
+            add(page[position:start])
+        position = end
         if name in "!?":
             continue
         if name == "/":
@@ -122,8 +153,8 @@ def leaf_blocks(page: str) -> list[Block]:
             if name not in INLINE:
                 flush()
             if not tag.endswith("/>"):  # no tags or comments inside: only its own end tag counts
-                end = _raw_end(name).search(page, position)
-                position = end.end() if end else len(page)
+                closing = _raw_end(name).search(page, position)
+                position = resume = closing.end() if closing else len(page)
             continue
         if name in VOID:
             if name == "br":

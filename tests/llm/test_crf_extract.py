@@ -77,6 +77,34 @@ def test_scripts_hold_no_tags():
     assert text("<p>a</p><script>i<n</scripts><p>b</p>") == ["a"]
 
 
+def test_stray_quotes_lose_no_text():
+    text = lambda p: [b.text for b in leaf_blocks(p)]
+    assert text('<article><p class="a"">First paragraph.</p><p class="b"">Second paragraph.</p><p>Third.</p></article>') == [
+        "First paragraph.", "Second paragraph.", "Third."]
+    assert text("<p>A</p><a href=x title=Bob's>link</a><p>Lost paragraph here.</p><p>It's the end.</p><p>Z</p>") == [
+        "A", "link", "Lost paragraph here.", "It's the end.", "Z"]
+    for tag in ("<p a'b>", "<p 'x\">", "<p a = 'x>y'>", '<p a="x>y" b>', "<p a=x'\"y>", "<p a=>", "<p =\">", "<p/a='>'/>",
+                "<p a='>'\">", "<p\na\n=\n'>'\n>", '<p a="b"c="d>">'):
+        assert text(f"x{tag}y</p>z") == ["x", "y", "z"], tag
+    assert text("<p>a</p><p title=\"open>b</p><p>it's c</p>") == ["a", "b", "it's c"]
+    assert text("a<!-->b<!--->c<!x>d<?y?>e</3>f<3>g") == ["abcde</3>f<3>g"]
+    assert text("<p>a</p><p b") == ["a", "<p b"]
+
+
+def test_marks_of_tags_with_stray_quotes():
+    (block,) = leaf_blocks("<div class='main text' id=top\"><p class=\"lead\"\">x</p></div>")
+    assert block.path == (("div", ("main", "text", "top")), ("p", ("lead",)))
+
+
+@pytest.mark.parametrize("page", ["<p " * 350_000, "<p a='" * 200_000, '<p a=">" ' * 120_000, "<p a=\"'>" * 120_000,
+                                  "</" * 500_000, "<" * 1_000_000, "<p =" * 250_000 + ">"], ids=range(7))
+def test_broken_megabytes_take_linear_time(page):
+    from time import process_time
+    begin = process_time()
+    leaf_blocks(page)
+    assert process_time() - begin < 3
+
+
 def test_layouts(model):
     page = ('<html><head><title>t</title></head><body><header><h1>Site</h1></header><nav><a href="/">Home</a></nav>'
             '<div class="cookie-banner"><p>We use cookies on this site.</p></div><article><h1>Headline of it</h1>'
