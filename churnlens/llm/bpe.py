@@ -36,6 +36,32 @@ _ODD = re.compile("[^\x00-ɏ]|[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe]")
 _SIMPLE_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 
 
+@lru_cache(maxsize=1)
+def _unassigned() -> tuple[re.Pattern, regex.Pattern, dict[int, str]]:
+    """How to treat letters and digits that Python's Unicode tables do not know but ``regex`` does: what finds
+    them, the word pattern for texts that hold one, and their lower case.
+
+    Three versions of Unicode meet here, so the library is asked about each of these code points.
+    """
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    known = regex.compile(r"[\p{L}\p{N}]")
+    new = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn" and known.match(chr(c))]
+    split = pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]"), "removed").pre_tokenize_str
+
+    def ranges(chars: list[str]) -> str:
+        at = [ord(c) for c in chars]
+        first = [c for k, c in enumerate(at) if k == 0 or at[k - 1] != c - 1]
+        last = [c for k, c in enumerate(at) if k == len(at) - 1 or at[k + 1] != c + 1]
+        return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first, last)) or "\\x00"   # a sign anyway
+
+    signs = ranges([c for c in new if split(c)])
+    word = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{signs}]]+|[\p{{N}}--[{signs}]]"
+                         rf"|(?:[^{_SPACE}\p{{L}}\p{{N}}]|[{signs}])+")
+    lower = normalizers.Lowercase().normalize_str
+    return re.compile(f"[{ranges(new)}]"), word, {ord(c): lower(c) for c in new if lower(c) != c}
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: printable Latin-1 for itself, the rest from U+0100 on."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -128,7 +154,10 @@ class WordBpe:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case knows no final sigma
         text = text.lower()
-        return (_WORD if _ODD.search(text) else _SIMPLE_WORD).findall(text)
+        if not _ODD.search(text):
+            return _SIMPLE_WORD.findall(text)
+        new, word, lower = _unassigned()
+        return word.findall(text.translate(lower)) if new.search(text) else _WORD.findall(text)
 
     def encode_decode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian unsigned 32-bit integers, and the text that they decode to."""

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.llm.store import written
 from churnlens.llm.text import slices
 
 BLOCK = 256  # lengths of a block: sums run over blocks first, then inside them
@@ -49,12 +50,12 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     (c - L) * docs_longer(L), so the rows answer every limit.  An empty table gives no row.
 
     Documents are counted per length before the shuffle, so a length of a third of
-    all documents is one row per task.  The unpartitioned window sees one row
-    per 256 lengths.
+    all documents is one row per task; the counts are written, so the texts are encoded
+    once.  The unpartitioned window sees one row per 256 lengths.
     """
-    counts = (lengths.groupBy("n_tokens").agg(F.count("*").alias("docs"))
-              .withColumn("tokens", F.col("n_tokens") * F.col("docs"))
-              .withColumn("block", F.floor(F.col("n_tokens") / BLOCK)))
+    counts = written(lengths.groupBy("n_tokens").agg(F.count("*").alias("docs"))
+                     .withColumn("tokens", F.col("n_tokens") * F.col("docs"))
+                     .withColumn("block", F.floor(F.col("n_tokens") / BLOCK)), "lengths")
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     blocks = (counts.groupBy("block").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))

@@ -30,6 +30,16 @@ def expected(library, text):
     return b"".join(i.to_bytes(4, "little") for i in ids), library.decode(ids, skip_special_tokens=False)
 
 
+def test_every_code_point(library, own):
+    """All planes that hold characters; the others are unassigned or for private use throughout."""
+    points = [chr(c) for c in (*range(0x35000), *range(0xE0000, 0xE1000), 0xF0000, 0x100000, 0x10FFFF)
+              if not 0xD800 <= c <= 0xDFFF]
+    for first in range(0, len(points), 20):
+        some = points[first:first + 20]
+        text = " ".join(f"a{c}a{c}1{c}" for c in some)
+        assert own.encode_decode(text) == expected(library, text), [hex(ord(c)) for c in some]
+
+
 def test_random_texts(library, own):
     rnd = random.Random(5)
     signs = "aAbB'sStTdDlLmM 123²½éÉñ\n\t \x1c\x85ΣςİKⅧ<|endoftext|>_-!?.,é日本😀"
