@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.llm.store import written
-from churnlens.llm.text import slices
+from churnlens.llm.text import mix64, slices
 
 MIN_BLOCK_WORDS = 10   # shorter common blocks stay: chance matches of short lines
 PAIRS_PER_COPY = 1000  # pairs that share one copy of an earlier document's lines
@@ -72,21 +72,53 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _runs(a: list[int], b: list[int], words: list[int], cut: set[int], least: int) -> None:
+    """Adds to ``cut`` the runs of ``b`` that ``a`` holds somewhere, though the alignment left them because a
+    line repeats or the block moved: of several lines, found by their first two, or of one long line."""
+    lines = set(a)
+    at: dict[tuple[int, int], int] = {}
+    for i in range(len(a) - 1):
+        at.setdefault((a[i], a[i + 1]), i)
+    j = 0
+    while j < len(b):
+        if j in cut or not words[j] or b[j] not in lines:
+            j += 1
+            continue
+        end, total, i = j + 1, words[j], at.get((b[j], b[j + 1])) if j + 1 < len(b) else None
+        if i is not None:
+            while end < len(b) and i + end - j < len(a) and a[i + end - j] == b[end] and end not in cut:
+                total += words[end]
+                end += 1
+        if total >= least:
+            cut.update(range(j, end))
+            j = end
+        else:
+            j += 1
+
+
 def common_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN_BLOCK_WORDS) -> list[int]:
-    """Line numbers of ``b`` in aligned blocks (adjacent on both sides) of ``least`` words or more."""
-    out, block, last = [], [], None
+    """Line numbers of ``b`` in aligned blocks (adjacent on both sides) of ``least`` words or more; then those of
+    repeated and moved runs, as blocks of their own."""
+    cut, block, last = set(), [], None
     for i, j in [*patience(a, b), (-1, -1)]:
         if last is not None and (i, j) != (last[0] + 1, last[1] + 1):
             if sum(words[k] for k in block) >= least:
-                out += block
+                cut.update(block)
             block = []
         block.append(j)
         last = (i, j)
-    return out
+    _runs(a, b, words, cut, least)
+    return sorted(cut)
+
+
+def _keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Distinct keys of a text: its worded lines, and each two worded lines that follow each other."""
+    worded = hashes[sizes > 0].view(np.uint64)
+    return np.unique(np.concatenate((worded, mix64(mix64(worded[:-1]) ^ worded[1:])))).view(np.int64)
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text: the hash and word count of every line, and its distinct worded lines."""
+    """Per text: the hash and word count of every line, and its distinct keys."""
     for part in slices(batches):
         lists = pc.split_pattern(part.column("text"), "\n")
         encoded = lists.values.dictionary_encode()
@@ -99,7 +131,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoded.indices.to_numpy(zero_copy_only=False)
         at = lists.offsets.to_numpy().astype(np.int64)
         hashes, sizes = h[code], count[code]
-        keys = [np.unique(hashes[s:e][sizes[s:e] > 0]) for s, e in zip(at[:-1], at[1:])]
+        keys = [_keys(hashes[s:e], sizes[s:e]) for s, e in zip(at[:-1], at[1:])]
         ends = pa.array(np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32))
         offsets = pa.array((at - at[0]).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
@@ -128,9 +160,9 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def common_lines(docs: DataFrame) -> DataFrame:
     """doc_id, version (hash of the text), cut: the line numbers to delete, for documents that lose any.
 
-    Every line pairs the documents that hold it with the smallest doc_id that does,
-    so a line of a third of all documents gives one pair each, never all pairs; a
-    block's rarest line is the one that leads to its source.  The smallest
+    Every line, and every two lines that follow each other, pair the documents that hold them with the smallest
+    doc_id that does, so a line of a third of all documents gives one pair each, never all pairs; a
+    block's rarest line or line pair is the one that leads to its source.  The smallest
     doc_id of a line never loses it, so no line vanishes from the corpus.
     """
     texts = docs.where("doc_id is not null and text is not null").select(

@@ -16,19 +16,22 @@ def run(spark, rows):
 
 
 def brute(rows):
-    """Each document against, for each of its lines, the smallest doc_id that holds it."""
+    """Each document against the smallest doc_id that holds a line of its, or two lines in a row."""
     worded = lambda line: re.search(r"[^\x20\x09-\x0D]", line)
     lines = [(d, (t or "").split("\n") if t is not None else []) for d, t in rows]
+    def keys(own):
+        full = [x for x in own if worded(x)]
+        return full + list(zip(full, full[1:]))
     first = {}
     for d, own in lines:
-        for line in own:
-            if d is not None and worded(line):
-                first[line] = min(d, first.get(line, d))
+        for key in keys(own):
+            if d is not None:
+                first[key] = min(d, first.get(key, d))
     out = []
     for (d, t), (_, own) in zip(rows, lines):
         cut = set()
         if d is not None:
-            for e in {first[x] for x in own if worded(x) and first[x] < d}:
+            for e in {first[x] for x in keys(own) if first[x] < d}:
                 for other in (o for k, o in lines if k == e):
                     n = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in own]
                     cut.update(common_blocks(other, own, n))
@@ -58,6 +61,25 @@ def test_blocks_need_words():
     assert MIN_BLOCK_WORDS == 10
 
 
+def test_repeated_and_moved_runs():
+    assert common_blocks([1, 2, 9, 1, 2], [7, 1, 2, 8], [5] * 4) == [1, 2]
+    assert common_blocks([1, 2, 3, 4], [3, 4, 1, 2], [5] * 4) == [0, 1, 2, 3]
+    assert common_blocks([1, 1], [1, 2, 1, 3, 1], [10] * 5) == [0, 2, 4]
+    assert common_blocks([1, 5, 2], [1, 2], [5, 5]) == []
+    assert common_blocks([1, 0, 0, 2], [9, 1, 0, 0, 2], [9, 5, 0, 0, 5]) == [1, 2, 3, 4]
+    assert common_blocks([0] * 3000, [0] * 3000, [0] * 3000) == []
+    assert common_blocks([1] * 50_000, [1] * 40_000, [10] * 40_000) == list(range(40_000))
+
+
+def test_a_block_whose_lines_have_older_holders(spark):
+    """Each line alone leads to an unrelated older document; the two together lead to the source."""
+    one, two = "one " * 6, "two " * 6
+    rows = [(1, f"{one}\nother a"), (2, f"other b\n{two}"), (3, f"mine c\n{one}\n{two}\nmine d"),
+            (4, f"more e\n{one}\n{two}\nmore f")]
+    got = run(spark, rows)
+    assert [r[3] for r in got] == [0, 0, 0, 2] and got[3][1] == "more e\nmore f"
+
+
 def test_equals_brute_force(spark):
     rnd = random.Random(11)
     pool = [" ".join(f"w{rnd.randrange(300)}" for _ in range(rnd.choice([1, 4, 9, 12, 30, 60]))) for _ in range(120)]

@@ -106,3 +106,17 @@ def test_run_and_empty_documents(spark, stages, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert cp.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_dedup_of_null_and_repeated_ids(spark, tmp_path):
+    """Exact copies under NULL and repeated ids leave one row; a clean text under a shared id stays; so do texts
+    without words."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(None, a), (None, a), (7, a), (7, a), (7, b), (None, c), (None, c), (9, ""), (10, ""), (11, None), (12, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/d")
+    out = corpus_pipeline.near_dedup(spark, spark.read.parquet(f"{tmp_path}/d"), "")
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(7, a), (7, b), (None, c), (9, ""), (10, ""), (11, None), (12, " ")], key=str)
+    assert out.columns == docs.columns
