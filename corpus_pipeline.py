@@ -48,9 +48,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest doc_id."""
-    copies = near_duplicates(docs, SIMILARITY_PERCENT).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each near-duplicate group: the smallest doc_id (NULL comes last), then the least text hash.
+
+    Texts are compared, not ids: repeated rows, texts under NULL ids and different texts under one id take part
+    each for itself, and no clean text goes with another.  Texts without words all stay.
+    """
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.where(words).withColumn("_text", F.xxhash64("text"))
+    groups = (near_duplicates(rows.select(F.col("_text").alias("doc_id"), "text"), SIMILARITY_PERCENT)
+              .select(F.col("doc_id").alias("_text"), "component_id").distinct())
+    held = rows.groupBy("_text", F.col("doc_id").alias("_least")).agg(F.count("*").alias("_n"))
+    best = F.min(F.struct(F.col("_least").isNull(), "_least", "_text", "_n")).alias("_b")
+    kept = held.join(groups, "_text").groupBy("component_id").agg(best).select(
+        F.col("_b._text").alias("_text"), F.col("_b._least").alias("_least"), F.col("_b._n").alias("_n"))
+    one = rows.join(written(kept, "kept"), "_text").where("doc_id <=> _least")
+    # only rows that repeat as they are need a shuffle of texts
+    return (one.where("_n = 1").select(*docs.columns)
+            .unionByName(one.where("_n > 1").dropDuplicates(["_text"]).select(*docs.columns))
+            .unionByName(docs.where(~words).select(*docs.columns)))
 
 
 @stage
