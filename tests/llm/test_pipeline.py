@@ -116,7 +116,7 @@ def test_near_dedup_of_null_and_repeated_ids(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/d")
-    out = corpus_pipeline.near_dedup(spark, spark.read.parquet(f"{tmp_path}/d"), "")
+    out = cp.near_dedup(spark, spark.read.parquet(f"{tmp_path}/d"), "")
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
     assert got == sorted([(7, a), (7, b), (None, c), (9, ""), (10, ""), (11, None), (12, " ")], key=str)
     assert out.columns == docs.columns
