@@ -64,7 +64,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(batch piece, its codes, offsets of its documents)."""
-    for part in slices(batches, text="codes", max_bytes=2_000_000):
+    for part in slices(batches, text="codes", max_bytes=800_000):
         column = part.column("codes")
         at = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1] // 4
         codes = np.frombuffer(column.buffers()[2] or b"", "<u4")[at[0]:at[-1]]
