@@ -32,9 +32,9 @@ RANK = 64
 EXTRA = 8              # oversampling of the random range
 PASSAGE = 64           # words of a passage at most: one bit each in the subsequence search
 STEP = 4               # words between window starts
-MIN_COSINE = 0.44
+MIN_COSINE = 0.48
 SPANS = (1.0, 0.7)     # lengths of the search windows, as shares of the passage's: words may have been deleted
-DENSE = 8              # windows of up to so many steps start every step, longer ones every other
+DENSE = 5              # windows of up to so many steps start every step, longer ones every other
 VERBATIM = 0.8         # share of a passage in common order that settles it
 PARAPHRASE = 0.6       # share that settles it together with the answer
 ANSWER_SHARE = 0.5     # share of the answer's words in the window
