@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
-from .ordering import prefix_sums
+from .ordering import descending, prefix_sums
 
 P = "predicted_churn_probability"
 
@@ -127,7 +127,7 @@ def recommendations(ranking: DataFrame, latest_features: DataFrame,
              .when(F.col("nps_score") < NPS_FLOOR, ISSUE_NPS)
              .otherwise(ISSUE_DEFAULT))
     r = r.withColumn("primary_issue", issue).withColumn("action_item", _action(F.col("primary_issue")))
-    ranked = prefix_sums(r, [F.desc(P), F.col("client_id")], {}, "priority")
+    ranked = prefix_sums(r, [descending(P), F.col("client_id")], {}, "priority")
     return ranked.select(
         "priority", "client_id", "client_name", F.col(P).alias("predicted_probability"),
         "risk_tier", "monthly_recurring_revenue", "account_manager", "contract_type",

@@ -124,16 +124,18 @@ def impute_compare(clients: DataFrame, industry_vocab: Sequence[str],
 
 
 def impute_amounts(transactions: DataFrame, clients: DataFrame,
-                   updown_fill: float = UPDOWN_FILL) -> DataFrame:
+                   updown_fill: float = UPDOWN_FILL, hot: list | None = None) -> DataFrame:
     """I7/I8 at row level: upgrades/downgrades get a constant, invoices and
     payments the client's MRR; tickets and usage logs stay NULL.
 
     Row-level output needs the lookup join; an unknown client keeps NULL.
     (The panel does not use this: it applies the same fill after aggregating.)
+    ``hot`` names the clients known to hold many rows; without it they are looked for in
+    ``transactions``, which evaluates that frame twice more.
     """
     kind = F.col("transaction_type")
     dim = clients.select(F.col("client_id").alias("_cid"), F.col("monthly_recurring_revenue").alias("_mrr"))
-    j = split_hot_join(transactions, dim, "client_id", "_cid", "left")   # a hot client stays out of the shuffle
+    j = split_hot_join(transactions, dim, "client_id", "_cid", "left", hot)   # a hot client stays out of the shuffle
     amount = (F.when(F.col("amount").isNotNull(), F.col("amount"))
               .when(kind.isin(UPGRADE, DOWNGRADE), F.lit(updown_fill))
               .when(kind.isin(INVOICE, PAYMENT), F.col("_mrr")))

@@ -13,8 +13,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     out large is never collected: it is returned unhinted and Spark plans a
     shuffle join (AQE may still convert it from measured sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows, by a bounded job."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 # ---------------------------------------------------------------------------

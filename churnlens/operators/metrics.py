@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import prefix_sums
+from .ordering import descending, prefix_sums
 
 
 def _curve(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -22,7 +22,7 @@ def _curve(df: DataFrame, label: str, score: str) -> DataFrame:
               .groupBy(F.col(score).alias("_s"))
               .agg(F.sum(F.col(label).cast("long")).alias("_pos"),
                    F.sum((1 - F.col(label)).cast("long")).alias("_neg")))
-    cum = prefix_sums(counts, [F.desc("_s")], {"_tp": F.col("_pos"), "_fp": F.col("_neg")},
+    cum = prefix_sums(counts, [descending("_s")], {"_tp": F.col("_pos"), "_fp": F.col("_neg")},
                       "_k")
     tot = F.broadcast(counts.agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
                       .withColumn("_one", F.lit(1)))
@@ -93,7 +93,7 @@ def evaluate_groups(df: DataFrame, group: str, label: str = "label", score: str
     counts = (df.where(F.col(score).isNotNull()).groupBy(group, F.col(score).alias("_s"))
               .agg(F.sum(F.col(label).cast("long")).alias("_pos"),
                    F.sum((1 - F.col(label)).cast("long")).alias("_neg")))
-    cum = prefix_sums(counts, [F.col(group), F.desc("_s")],
+    cum = prefix_sums(counts, [F.col(group), descending("_s")],
                       {"_tp": F.col("_pos"), "_fp": F.col("_neg")}, "_k")
     totals = cum.groupBy(group).agg(
         F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"),

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
-from .joins import bounded_broadcast
-from .ordering import exact_quantiles, prefix_sums
+from .joins import has_at_most
+from .ordering import GROUP_BROADCAST_LIMIT, exact_quantiles, prefix_sums
 
 SEGMENTS = ["industry", "client_size", "contract_type", "region"]
 # Names and order of the reference's columns
@@ -84,11 +84,11 @@ def box_summary(clients: DataFrame, metrics: Sequence[str] = BOX_METRICS,
     long = clients.select(by, F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
         for m in metrics])).alias("m")).select(by, "m.metric", "m.value")
-    q = exact_quantiles(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["metric", by])
+    # one row per (metric, status): broadcast behind a check of the number of statuses
+    few = has_at_most(clients.select(by).distinct(), GROUP_BROADCAST_LIMIT // max(len(metrics), 1))
+    q = exact_quantiles(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["metric", by], few)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    # one row per (metric, status): broadcast behind a row-count check
-    j = long.where(F.col("value").isNotNull()).join(bounded_broadcast(q, 100_000),
-                                                    ["metric", by])
+    j = long.where(F.col("value").isNotNull()).join(F.broadcast(q) if few else q, ["metric", by])
     lo_fence = F.col("q1") - 1.5 * F.col("iqr")
     hi_fence = F.col("q3") + 1.5 * F.col("iqr")
     return (j.groupBy("metric", by)

@@ -31,6 +31,7 @@ from ..operators import panel as PA
 from ..operators import profile as PR
 from ..operators import quality as QA
 from ..operators import smote as SM
+from ..operators.joins import split_hot_join
 from ..session import ensure_checkpoint_dir
 from ..sources import adapters as A
 from ..sources import io as IO
@@ -242,7 +243,7 @@ def q_impute_compare(spark, d):
 
 @register("impute_amounts", O.sql("SELECT * FROM tx_filled", ["tx_filled"]), r4=["amount"])
 def q_impute_amounts(spark, d):
-    return IM.impute_amounts(transactions(spark, d), clients_clean(spark, d))
+    return IM.impute_amounts(transactions(spark, d), clients_clean(spark, d), hot=A.hot_clients(spark, d))
 
 
 # --------------------------------------------------------------------------
@@ -1264,9 +1265,9 @@ JOIN (SELECT series_id, model FROM hw_naive_choice) USING (series_id, model)
 LEFT JOIN series_loss USING (series_id)""")
 
 
-@memo
 def hw(spark, d):
-    return FC.holt_winters(complete_series(spark, d))
+    """Holt-Winters rows (a few per series): fitted once, read by five queries."""
+    return product(spark, d, "holt_winters", lambda: FC.holt_winters(complete_series(spark, d)))
 
 
 @register("hw_forecast", O.sql("SELECT * FROM hw", ["hw"]), r4=["actual", "prediction", "resid_std"],
@@ -1558,7 +1559,7 @@ def q_delivery_status(spark, d):
     """on-time or late by days between the order (due) and shipping (done)."""
     orders = IO.read_table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("due"))
     lines = IO.read_table(spark, d, "lineitem").select("l_orderkey", F.col("l_shipdate").cast("date").alias("done"))
-    return (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return (split_hot_join(lines, orders, "l_orderkey", "o_orderkey")   # a hot order stays out of the shuffle
             .groupBy(X.late_status("due", "done").alias("status")).agg(F.count(F.lit(1)).alias("lines")))
 
 

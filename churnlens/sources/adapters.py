@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
-from ..operators.joins import split_hot_join
+from ..operators.joins import hot_keys, split_hot_join
 from .io import read_table
 
 # ---------------------------------------------------------------------------
@@ -170,3 +170,14 @@ def line_transactions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         (F.col("l_quantity") > 40).cast("int").alias("notes_flag"),
     )
     return line_rows
+
+
+def hot_clients(spark: SparkSession, sf_dir: str) -> list:
+    """Clients with a large share of the transactions, from bounded samples of the raw key columns:
+    those with many orders and those of orders with many lines."""
+    orders, lineitem = read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem")
+    clients, large = hot_keys(orders, "o_custkey"), hot_keys(lineitem, "l_orderkey")
+    if large:   # at most 100 orders
+        owners = orders.where(F.col("o_orderkey").isin(large)).select("o_custkey").distinct().collect()
+        clients = list({*clients, *(r["o_custkey"] for r in owners)} - {None})
+    return clients

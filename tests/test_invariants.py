@@ -33,6 +33,21 @@ def test_prefix_sums_match_cumsum(spark):
         assert [r["pos"] for r in got] == list(range(1, len(vals) + 1))
 
 
+def test_prefix_sums_shuffle_rows_once_and_keep_nulls_in_order(spark):
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else f"v{i % 3}", i % 7) for i in range(200)],
+                               "k long, v string, x int").repartition(4)
+    out = prefix_sums(df, ["v", "k"], {"cx": F.col("x")}, "pos", 2)
+    assert out.columns == ["k", "v", "x", "pos", "cx"]
+    rows = out.orderBy("pos").collect()
+    order = sorted(((f"v{i % 3}" if i % 5 else ""), i) for i in range(200))
+    assert [r["k"] for r in rows] == [i for _, i in order]
+    assert [r["cx"] for r in rows] == np.cumsum([i % 7 for _, i in order]).tolist()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # by slice: the rows, and the sums that the map tasks have combined; no shuffle by range
+    assert plan.count("Exchange hashpartitioning(_slice") == 2 and "rangepartitioning" not in plan
+    assert prefix_sums(df.where("k < 0"), ["k"], {}, "pos").count() == 0
+
+
 def test_panel_independent_of_partitioning(spark):
     tx = A.transactions_view(spark, SF_SMALL)
     a = PA.client_month_panel(tx)

@@ -36,14 +36,34 @@ def test_quantiles_match_numpy(spark):
     import numpy as np
     vals = [float(v) for v in np.random.default_rng(7).integers(0, 50, 301)]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "x double, g int")
-    for n in (1, 3):   # whatever the number of range slices
-        q = exact_quantiles(df, "x", {"q1": .25, "q3": .75}, ["g"], partitions=n)
-        got = {r["g"]: r for r in q.collect()}
-        for g in range(3):
-            sub = np.array(vals[g::3])
-            assert got[g]["n"] == len(sub)
-            assert got[g]["q1"] == pytest.approx(np.percentile(sub, 25))
-            assert got[g]["q3"] == pytest.approx(np.percentile(sub, 75))
+    q = exact_quantiles(df, "x", {"q1": .25, "q3": .75}, ["g"])
+    got = {r["g"]: r for r in q.collect()}
+    for g in range(3):
+        sub = np.array(vals[g::3])
+        assert got[g]["n"] == len(sub)
+        assert got[g]["q1"] == pytest.approx(np.percentile(sub, 25))
+        assert got[g]["q3"] == pytest.approx(np.percentile(sub, 75))
+
+
+def test_quantiles_of_distinct_tied_and_infinite_values(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    n = 60_000
+    cases = {"distinct": rng.permutation(n) * 1.5 - 3000,
+             "hot": np.where(rng.random(n) < 0.4, 7.0, rng.normal(7, 3, n)),
+             "one": np.full(n, 2.0)}
+    rows = spark.createDataFrame([(g, float(v)) for g, vs in cases.items() for v in vs]
+                                 + [("inf", float("inf")), ("inf", 1.0), ("inf", 2.0), ("nan", float("nan")),
+                                    ("null", None)], "g string, x double").repartition(5)
+    probs = {"p0": 0.0, "p1": 0.01, "p50": 0.5, "p50b": 0.50005, "p99": 0.99, "p100": 1.0}
+    for few in (True, False):
+        got = {r["g"]: r for r in exact_quantiles(rows, "x", probs, ["g"], few).collect()}
+        assert set(got) == {*cases, "inf"}
+        assert (got["inf"]["n"], got["inf"]["p50"]) == (3, 2.0)
+        for g, vs in cases.items():
+            assert got[g]["n"] == n
+            for name, q in probs.items():
+                assert got[g][name] == pytest.approx(np.quantile(vs, q), rel=1e-12), (g, name, few)
 
 
 def test_zero_denominators_and_short_history(spark):
