@@ -38,6 +38,7 @@ DENSE = 5              # windows of up to so many steps start every step, longer
 VERBATIM = 0.8         # share of a passage in common order that settles it
 PARAPHRASE = 0.6       # share that settles it together with the answer
 ANSWER_SHARE = 0.5     # share of the answer's words in the window
+AT_ONCE = 2048         # steps searched together, an even number
 BLOCK = 100_000        # benchmark passages (256 bytes each) that are broadcast at a time
 _NO_WORD = np.uint32(0)
 
@@ -247,20 +248,36 @@ def _candidates(codes: np.ndarray, offsets: np.ndarray, basis: np.ndarray, bench
     sums, first = _step_sums(basis, codes, offsets)
     doc_of = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     place = np.arange(len(sums)) - first[doc_of]
-    running = np.concatenate((np.zeros((1, basis.shape[1]), np.float32), np.cumsum(sums, axis=0)))
     lengths = np.array([len(c) for c in bench.codes])
     spans = np.maximum(np.rint(np.outer(SPANS, lengths) / STEP).astype(np.int64), 1)
-    steps, passages = [], []
+    longest = int(spans.max())
+    # steps are laid out with empty ones between documents, so no window runs into the next document
+    room = np.diff(first) + longest
+    begin = np.concatenate(([0], np.cumsum(room + room % 2)))
+    at, end = begin[doc_of] + place, int(begin[-1])
+    laid = np.zeros((end + longest, basis.shape[1]), np.float32)
+    laid[at] = sums
+    step_at = np.full(end, -1)
+    step_at[at] = np.arange(len(sums))
+    of_span = {}
     for span in np.unique(spans):
         members = np.flatnonzero((spans == span).any(axis=0))
-        latent = np.ascontiguousarray(bench.latent[members].T)
-        at = np.flatnonzero(place % (1 if span <= DENSE else 2) == 0)
-        for some in np.array_split(at, -(-len(at) // 4096)):
-            z = running[np.minimum(some + span, first[doc_of[some] + 1])] - running[some]
-            bound = MIN_COSINE * np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-9)
-            hit, which = np.divmod(np.flatnonzero(z @ latent >= bound[:, None]), len(members))
-            steps.append(some[hit])
-            passages.append(members[which])
+        of_span[int(span)] = members, np.ascontiguousarray(bench.latent[members].T)
+    steps, passages = [], []
+    for low in range(0, end, AT_ONCE):
+        high = min(low + AT_ONCE, end)
+        z = np.zeros((high - low, basis.shape[1]), np.float32)
+        for span in range(1, longest + 1):   # each window grows by a step; a piece stays in the processor's cache
+            z += laid[low + span - 1:high + span - 1]
+            if span in of_span:
+                members, latent = of_span[span]
+                every = 1 if span <= DENSE else 2
+                some = z[::every]
+                bound = MIN_COSINE * np.maximum(np.sqrt(np.einsum("ij,ij->i", some, some)), 1e-9)
+                hit, which = np.divmod(np.flatnonzero(some @ latent >= bound[:, None]), len(members))
+                step = step_at[low + hit * every]
+                steps.append(step[step >= 0])
+                passages.append(members[which[step >= 0]])
     pairs = np.unique(np.concatenate(passages) * len(sums) + np.concatenate(steps))
     return pairs % len(sums), pairs // len(sums), doc_of, offsets[doc_of] + place * STEP
 
