@@ -95,7 +95,7 @@ def _step_sums(basis: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> tup
     total = np.zeros((len(at), basis.shape[1]), basis.dtype)
     for k in range(STEP):
         inside = at + k < offsets[doc + 1]
-        total += padded[np.where(inside, feature[np.minimum(at + k, len(codes) - 1)], FEATURES)]
+        total += np.take(padded, np.where(inside, feature[np.minimum(at + k, len(codes) - 1)], FEATURES), axis=0)
     return total, first
 
 
@@ -130,7 +130,7 @@ def _summed(table: DataFrame, each) -> np.ndarray:
         for _, codes, offsets in _stream(batches):
             if len(codes):
                 value = each(codes, offsets)
-                total = value if total is None else total + value
+                total = value if total is None else np.add(total, value, out=total)
         if total is not None:
             shares = np.array_split(total, 64)
             yield pa.RecordBatch.from_arrays(
@@ -168,12 +168,10 @@ def latent_basis(table: DataFrame) -> np.ndarray:
         # a random projection keeps lengths: its mean square estimates the row's squared length
         rows /= np.maximum(np.mean(rows * rows, axis=1, keepdims=True), 1e-9)
         of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        order = np.argsort(f.astype(np.uint16), kind="stable")
-        count = np.bincount(f, minlength=FEATURES)
-        used = np.flatnonzero(count)
-        out = np.zeros((FEATURES, width))
-        out[used] = np.add.reduceat(rows[of[order]], (np.cumsum(count) - count)[used], axis=0) * idf[used, None]
-        return out
+        out = np.empty((width, FEATURES))
+        for column, of_row in zip(out, np.ascontiguousarray(rows.T, np.float64)):
+            column[:] = np.bincount(f, of_row[of], FEATURES)
+        return out.T * idf[:, None]
 
     # A'A ~ Y (R'Y)^-1 Y', shifted for stability (Tropp et al., 2017)
     y = _summed(table, back).reshape(FEATURES, width)
