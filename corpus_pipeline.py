@@ -75,7 +75,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     text_key = F.xxhash64("text")
     found = decontaminate(docs.select(text_key.alias("doc_id"), "text"),
                           spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    rejected = found.where("not kept").select(F.col("doc_id").alias("_text")).distinct()
+    # written first: its size decides the join, which else shuffles all texts before it is known
+    rejected = written(found.where("not kept").select(F.col("doc_id").alias("_text")).distinct(), "rejected")
     return docs.withColumn("_text", text_key).join(rejected, "_text", "left_anti").select(*docs.columns)
 
 

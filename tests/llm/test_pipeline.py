@@ -120,3 +120,14 @@ def test_near_dedup_of_null_and_repeated_ids(spark, tmp_path):
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
     assert got == sorted([(7, a), (7, b), (None, c), (9, ""), (10, ""), (11, None), (12, " ")], key=str)
     assert out.columns == docs.columns
+
+
+def test_decontamination_shuffles_no_texts(spark):
+    """The join that drops the found documents broadcasts them, though the benchmark search reads a larger table."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 20_000)
+    try:
+        plan = cp.decontamination(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
