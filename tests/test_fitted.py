@@ -132,3 +132,25 @@ def test_population_scaling_and_both_balances(spark):
     z = np.stack([(v - v[:300].mean()) / v[:300].std() for v in (a, b)], axis=1)
     assert np.allclose(p[0], 1 / (1 + np.exp(-(z @ w + c))), atol=1e-5)
     assert np.corrcoef(*p)[0, 1] > 0.98 and abs(p[0] - p[1]).mean() < 0.1
+
+
+def test_forest_is_fitted_after_the_others_on_rows_not_held(spark, monkeypatch):
+    """The fits hold their own copies of the rows: no third copy lies beside them, nor the forest's beside the others."""
+    events = []
+
+    class Fit:
+        def __init__(self, name):
+            self.name = name
+
+        def fit(self, rows):
+            events.append(("begin", self.name, rows.is_cached))
+            rows.count()
+            events.append(("end", self.name, rows.is_cached))
+            return self.name
+
+    monkeypatch.setattr(MD, "_estimators", lambda n: {m: Fit(m) for m in MD.MODEL_ORDER})
+    df = spark.createDataFrame([(float(i), i % 2, "train") for i in range(20)], "a double, target_churn_3m int, split string")
+    fitted = MD.fit_models(df, ["a"])
+    assert list(fitted) == MD.MODEL_ORDER and [m.stages[-1] for m in fitted.values()] == MD.MODEL_ORDER
+    assert [(what, name) for what, name, _ in events[-2:]] == [("begin", "Random Forest"), ("end", "Random Forest")]
+    assert not any(held for _, _, held in events)
