@@ -84,18 +84,20 @@ def _passages(offsets: np.ndarray) -> np.ndarray:
     return np.concatenate((first + k * PASSAGE, offsets[-1:]))
 
 
-def _step_sums(basis: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of the basis rows of every STEP words of a document, and the first step of each document."""
-    steps = -(-np.diff(offsets) // STEP)
-    first = np.concatenate(([0], np.cumsum(steps)))
-    doc = np.repeat(np.arange(len(steps)), steps)
-    at = offsets[doc] + (np.arange(len(doc)) - first[doc]) * STEP
+def _sums(basis: np.ndarray, codes: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the basis rows of every ``size`` words of a document, and the number of each document's first sum."""
+    first = np.concatenate(([0], np.cumsum(-(-np.diff(offsets) // size))))
+    # documents are filled up to whole sums with a feature of no weight
+    filled = np.full(first[-1] * size, FEATURES, np.int32)
+    filled[np.arange(len(codes)) + np.repeat(first[:-1] * size - offsets[:-1], np.diff(offsets))] = _feature(codes)
+    nth = np.ascontiguousarray(filled.reshape(-1, size).T)
     padded = np.concatenate((basis, np.zeros((1, basis.shape[1]), basis.dtype)))
-    feature = _feature(codes)
-    total = np.zeros((len(at), basis.shape[1]), basis.dtype)
-    for k in range(STEP):
-        inside = at + k < offsets[doc + 1]
-        total += np.take(padded, np.where(inside, feature[np.minimum(at + k, len(codes) - 1)], FEATURES), axis=0)
+    total = np.zeros((first[-1], basis.shape[1]), basis.dtype)
+    rows = np.empty((1024, basis.shape[1]), basis.dtype)
+    for low in range(0, len(total), len(rows)):   # a piece stays in the processor's cache
+        own = total[low:low + len(rows)]
+        for word in nth[:, low:low + len(rows)]:
+            own += np.take(padded, word, axis=0, out=rows[:len(own)], mode="clip")
     return total, first
 
 
@@ -103,15 +105,14 @@ def _document_frequency(table: DataFrame) -> tuple[np.ndarray, int]:
     """Passages that hold each feature, and the number of passages: FEATURES + 1 rows are collected."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(FEATURES, np.int64), 0
-        held = np.zeros((1024, FEATURES), bool)
         for _, codes, offsets in _stream(batches):
             starts, f = _passages(offsets), _feature(codes)
-            of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-            for first in range(0, len(starts) - 1, len(held)):
-                at = slice(starts[first], starts[min(first + len(held), len(starts) - 1)])
-                held[:] = False
-                held[of[at] - first, f[at]] = True
-                df += held.sum(axis=0)
+            for first in range(0, len(starts) - 1, 1024):
+                ends = starts[first:first + 1025]
+                of = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+                held = np.sort((of * FEATURES + f[ends[0]:ends[-1]]).astype(np.uint32))
+                once = held[np.flatnonzero(np.diff(held, prepend=~held[:1]))]
+                df += np.bincount(once % np.uint32(FEATURES), minlength=FEATURES)
             n += len(starts) - 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES + 1)), pa.array(np.append(df, n))],
                                          ["feature", "n"])
@@ -159,22 +160,18 @@ def latent_basis(table: DataFrame) -> np.ndarray:
     weighted = start * idf[:, None]
 
     def back(codes, offsets):
-        f, starts = _feature(codes), _passages(offsets)
-        steps, first = _step_sums(weighted, codes, offsets)
-        per_doc = -(-np.diff(first) // (PASSAGE // STEP))
-        doc = np.repeat(np.arange(len(per_doc)), per_doc)
-        at = first[doc] + (np.arange(len(doc)) - (np.cumsum(per_doc) - per_doc)[doc]) * (PASSAGE // STEP)
-        rows = np.add.reduceat(steps, at, axis=0)
+        f = _feature(codes)
+        rows, _ = _sums(weighted, codes, offsets, PASSAGE)
         # a random projection keeps lengths: its mean square estimates the row's squared length
         rows /= np.maximum(np.mean(rows * rows, axis=1, keepdims=True), 1e-9)
-        of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        out = np.empty((width, FEATURES))
+        of = np.repeat(np.arange(len(rows)), np.diff(_passages(offsets)))
+        out, of_word = np.empty((width, FEATURES)), np.empty(len(f))
         for column, of_row in zip(out, np.ascontiguousarray(rows.T, np.float64)):
-            column[:] = np.bincount(f, of_row[of], FEATURES)
-        return out.T * idf[:, None]
+            column[:] = np.bincount(f, np.take(of_row, of, out=of_word, mode="clip"), FEATURES)
+        return out
 
     # A'A ~ Y (R'Y)^-1 Y', shifted for stability (Tropp et al., 2017)
-    y = _summed(table, back).reshape(FEATURES, width)
+    y = _summed(table, back).reshape(width, FEATURES).T * idf[:, None]
     r = start.astype(np.float64)
     shift = 1e-6 * np.linalg.norm(y)
     y = y + shift * r
@@ -191,14 +188,17 @@ def subsequence(passage: np.ndarray, windows: np.ndarray) -> np.ndarray:
 
     Bit-parallel: a cleared bit of a row's word marks a passage word that lengthened the subsequence.
     """
-    masks = np.zeros(windows.shape, U64)
-    for k, word in enumerate(passage):
-        masks |= (windows == word).astype(U64) << U64(k)
+    order = np.argsort(passage, kind="stable")
+    vocab, first = np.unique(passage[order], return_index=True)
+    bits = np.bitwise_or.reduceat(U64(1) << order.astype(U64), first)
+    by_place = np.ascontiguousarray(windows.T)
+    at = np.minimum(np.searchsorted(vocab, by_place), len(vocab) - 1)
+    masks = np.where(vocab[at] == by_place, bits[at], U64(0))
     full = U64(2**64 - 1)
     v = np.full(len(windows), full)
     with np.errstate(over="ignore"):
-        for j in range(windows.shape[1]):
-            u = v & masks[:, j]
+        for mask in masks:
+            u = v & mask
             v = (v + u) | (v - u)
     used = U64((1 << len(passage)) - 1) if len(passage) < 64 else full
     return np.bitwise_count(~v & used).astype(np.int64)
@@ -243,7 +243,7 @@ def benchmark_passages(rows: list[tuple[int, str]], basis: np.ndarray) -> Passag
 def _candidates(codes: np.ndarray, offsets: np.ndarray, basis: np.ndarray, bench: Passages):
     """(steps, passage numbers) whose windows point into a passage's direction, each pair once, and each step's
     document and first word.  Windows of every share in SPANS of the passage's length are looked at."""
-    sums, first = _step_sums(basis, codes, offsets)
+    sums, first = _sums(basis, codes, offsets, STEP)
     doc_of = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     place = np.arange(len(sums)) - first[doc_of]
     lengths = np.array([len(c) for c in bench.codes])
@@ -264,15 +264,15 @@ def _candidates(codes: np.ndarray, offsets: np.ndarray, basis: np.ndarray, bench
     steps, passages = [], []
     for low in range(0, end, AT_ONCE):
         high = min(low + AT_ONCE, end)
-        z = np.zeros((high - low, basis.shape[1]), np.float32)
+        z, every = np.zeros((high - low, basis.shape[1]), np.float32), 1
         for span in range(1, longest + 1):   # each window grows by a step; a piece stays in the processor's cache
-            z += laid[low + span - 1:high + span - 1]
+            if span == DENSE + 1:
+                z, every = z[::2].copy(), 2
+            z += laid[low + span - 1:high + span - 1:every]
             if span in of_span:
                 members, latent = of_span[span]
-                every = 1 if span <= DENSE else 2
-                some = z[::every]
-                bound = MIN_COSINE * np.maximum(np.sqrt(np.einsum("ij,ij->i", some, some)), 1e-9)
-                hit, which = np.divmod(np.flatnonzero(some @ latent >= bound[:, None]), len(members))
+                bound = MIN_COSINE * np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-9)
+                hit, which = np.divmod(np.flatnonzero(z @ latent >= bound[:, None]), len(members))
                 step = step_at[low + hit * every]
                 steps.append(step[step >= 0])
                 passages.append(members[which[step >= 0]])

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +47,8 @@ class Words:
 
     def hashes(self, seed: int = 0) -> np.ndarray:
         """64-bit hash of each vocabulary entry."""
-        h = xxhash.xxh3_64_intdigest
-        return np.fromiter((h(w, seed) for w in self.vocab.cast(pa.binary()).to_pylist()),
-                           dtype=U64, count=len(self.vocab))
+        vocab = self.vocab.cast(pa.binary()).to_numpy(zero_copy_only=False)
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, vocab, repeat(seed)), dtype=U64, count=len(vocab))
 
 
 def words(texts: pa.Array, lower: bool = False) -> Words:
