@@ -21,10 +21,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.text import slices
+from churnlens.llm.text import PIECE_BYTES, slices
 
 LONG_WORD = 128
-CACHE_WORDS = 150_000  # distinct words a Python worker remembers
+CACHE_WORDS = 50_000   # distinct words a Python worker remembers, also while it serves other operators
 _NONE = 1 << 60        # rank of a pair that does not merge
 
 # White space as the vocabulary's pattern means it (the Unicode White_Space property)
@@ -196,7 +196,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=PIECE_BYTES):
             ids, decoded = zip(*(bpe.encode_decode(t or "") for t in part.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),

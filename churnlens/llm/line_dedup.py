@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.llm.store import written
-from churnlens.llm.text import mix64, slices
+from churnlens.llm.text import PIECE_BYTES, mix64, slices
 
 MIN_BLOCK_WORDS = 10   # shorter common blocks stay: chance matches of short lines
 PAIRS_PER_COPY = 1000  # pairs that share one copy of an earlier document's lines
+PAIRS_AT_ONCE = 256    # pairs whose lines a worker holds as Python numbers
 
 
 def _longest_rise(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -119,7 +120,7 @@ def _keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per text: the hash and word count of every line, and its distinct keys."""
-    for part in slices(batches):
+    for part in slices(batches, max_bytes=PIECE_BYTES):
         lists = pc.split_pattern(part.column("text"), "\n")
         encoded = lists.values.dictionary_encode()
         line = encoded.dictionary
@@ -143,7 +144,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(k, PAIRS_AT_ONCE) for b in batches for k in range(0, b.num_rows, PAIRS_AT_ONCE)):
         ids, versions, cuts = [], [], []
         earlier, later, sizes = (batch.column(c).to_pylist() for c in ("earlier_hashes", "hashes", "sizes"))
         for k, (a, b, n) in enumerate(zip(earlier, later, sizes)):

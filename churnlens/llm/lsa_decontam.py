@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.llm.store import written
-from churnlens.llm.text import U64, slices, words
+from churnlens.llm.text import PIECE_BYTES, U64, slices, words
 
 FEATURES = 1 << 13
 RANK = 64
@@ -55,7 +55,7 @@ def _codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
+    for part in slices(batches, max_bytes=PIECE_BYTES):
         codes, at = _codes(part.column("text").fill_null(""))
         raw = pa.py_buffer(codes.astype("<u4").tobytes())
         binary = pa.Array.from_buffers(pa.binary(), part.num_rows,

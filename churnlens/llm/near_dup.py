@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from churnlens.llm.components import components
 from churnlens.llm.store import written
-from churnlens.llm.text import U64, mix64, slices, windows, words
+from churnlens.llm.text import PIECE_BYTES, U64, mix64, slices, windows, words
 
 SHINGLE_WORDS = 5
 ROWS = 4          # signature slots per band
@@ -84,7 +84,7 @@ def band_hashes(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, max_rows=1 << _DOC_BITS):
+    for part in slices(batches, max_rows=1 << _DOC_BITS, max_bytes=PIECE_BYTES):
         keys, sizes = shingle_sets(part.column("text"))
         at = np.concatenate(([0], np.cumsum(sizes)))
         sums = [np.concatenate((np.zeros(1, U64), np.cumsum(mix64(keys ^ U64(salt)), dtype=U64)))
@@ -99,7 +99,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, max_rows=1 << _DOC_BITS):
+    for part in slices(batches, max_rows=1 << _DOC_BITS, max_bytes=PIECE_BYTES):
         keys, sizes = shingle_sets(part.column("text"))
         at = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
         yield pa.RecordBatch.from_arrays(

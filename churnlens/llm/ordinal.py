@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from churnlens.llm.rated import RATED_ROWS, rated_sample
 from churnlens.llm.store import written
-from churnlens.llm.text import Words, mix64, slices, words
+from churnlens.llm.text import PIECE_BYTES, Words, mix64, slices, words
 
 N_GRADES = 3
 BUCKETS = 1 << 18
@@ -163,7 +163,7 @@ def fit(doc: np.ndarray, bucket: np.ndarray, grade: np.ndarray, used: np.ndarray
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, grade and the document's buckets as packed 32-bit integers."""
-    for part in slices(batches):
+    for part in slices(batches, max_bytes=PIECE_BYTES):
         doc, bucket = features(part.column("text"))
         at = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=part.num_rows))))
         packed = bucket.astype("<u4")
@@ -232,7 +232,7 @@ def classify(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = weights.value
         only = own.weights != 0
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=PIECE_BYTES):
             doc, bucket = features(part.column("text"), only)
             p = own.probabilities(own.score(doc, bucket, part.num_rows))
             p[words(part.column("text")).lengths == 0] = [1.0] + [0.0] * (p.shape[1] - 1)
@@ -252,7 +252,7 @@ def select_documents(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = weights.value
         only = own.weights != 0
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=PIECE_BYTES):
             doc, bucket = features(part.column("text"), only)
             tail = own.probabilities(own.score(doc, bucket, part.num_rows))[:, -1]
             worded = words(part.column("text")).lengths > 0

@@ -18,6 +18,7 @@ U64 = np.uint64
 _GOLD = U64(0x9E3779B97F4A7C15)
 _MIX1 = U64(0xBF58476D1CE4E5B9)
 _MIX2 = U64(0x94D049BB133111EB)
+PIECE_BYTES = 1_000_000  # of text at a time where a piece takes many times its size in a worker
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -76,7 +77,8 @@ def words(texts: pa.Array, lower: bool = False) -> Words:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", max_rows: int = 4096,
            max_bytes: int = 6_000_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds few rows and few text bytes
-    (a single longer text is a piece of its own: texts are never cut)."""
+    (a single longer text is a piece of its own: texts are never cut).  Workers live on between tasks, so
+    what Arrow has freed goes back to the system after each batch."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -89,6 +91,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", max_rows: int
             stop = min(max(stop, start + 1), start + max_rows, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def windows(hashes: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
