@@ -129,3 +129,18 @@ def test_scaling_and_grid_are_one_pass_and_unchanged(spark):
     plain = [F.floor((SM.rounded(f) - F.lit(m)) / F.lit(s) * SM.GRID + 0.5) for f, (m, s) in scale.items()]
     both = SM.on_grid(df, scale).select("z", F.array(*plain).alias("p")).collect()
     assert all(list(r.z) == list(r.p) for r in both)
+
+
+def test_synthetic_rows_are_made_in_several_tasks(spark, monkeypatch):
+    """Few seeds make many rows: the tasks are as many as the rows made ask for, and the rows stay the same."""
+    from churnlens.operators import smote as SM
+    keys = ["client_id", "year_month"]
+    df = spark.createDataFrame([(i, "2020-01", int(i < 6), [37 * i, i * i, -i]) for i in range(400)],
+                               "client_id long, year_month string, y int, z array<long>")
+    near = SM.nearest(df.where("y = 1"), keys)
+    few = SM.balanced(df, near, ["a", "b", "c"], keys, "y")
+    monkeypatch.setattr(SM, "MADE", 50)
+    many = SM.balanced(df, near, ["a", "b", "c"], keys, "y")
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert ", 8), REPARTITION_BY_NUM" in plan, plan
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect())) and few.count() == 2 * 394
